@@ -74,10 +74,12 @@ def length_between(column: str, low: int, high: int) -> Rule:
 
 
 def max_length(column: str, limit: int) -> Rule:
-    return Rule(
-        f"max_length_{limit}", column,
-        lambda df: F.coalesce(F.char_length(_c(column)) > limit, F.lit(False)),
-    )
+    """Length cap; a column the batch does not carry has nothing to cap."""
+    def bad(df: DataFrame) -> Column:
+        if not has_path(df.schema, column):
+            return F.lit(False)
+        return F.coalesce(F.char_length(_c(column)) > limit, F.lit(False))
+    return Rule(f"max_length_{limit}", column, bad)
 
 
 def isin(column: str, values: Iterable[str], label: str = "isin") -> Rule:

@@ -1,0 +1,75 @@
+from pyspark.sql import Row
+
+from terrapipe.operators.dedup import dedup
+from terrapipe.operators.hierarchy import dimension, transform_municipalities, transform_states
+from terrapipe.schemas import MUNICIPALITY_COLUMNS, MUNICIPALITY_RAW, STATE_COLUMNS, STATE_RAW
+
+
+def _muni(mid, nome, uf_sigla, uf_id=33, micro=None):
+    region = {"id": 3, "sigla": "se", "nome": "sudeste"}
+    uf = {"id": uf_id, "sigla": uf_sigla, "nome": " rio de janeiro", "regiao": region}
+    meso = {"id": 3301, "nome": "metropolitana", "UF": uf}
+    return {"id": mid, "nome": nome,
+            "microrregiao": micro if micro is not None else {"id": 33018, "nome": "rio", "mesorregiao": meso},
+            "regiao-imediata": {"id": 330001, "nome": " rio de janeiro "}}
+
+
+def test_transform_states_reference_fixture(spark):
+    raw = spark.createDataFrame(
+        [{"id": 33, "sigla": " rj", "nome": "rio de janeiro ", "regiao": {"id": 3, "sigla": "se", "nome": "sudeste"}}],
+        STATE_RAW)
+    out = transform_states(raw)
+    assert tuple(out.columns) == STATE_COLUMNS
+    assert out.collect() == [Row(id=33, sigla="RJ", nome="Rio De Janeiro", regiao_id=3,
+                                 regiao_sigla="SE", regiao_nome="Sudeste")]
+
+
+def test_transform_municipalities_columns_dedup_and_order(spark):
+    raw = spark.createDataFrame([
+        _muni(3304557, "rio de janeiro", "rj"),
+        _muni(3304557, "rio de janeiro", "rj"),          # exact duplicate
+        _muni(3550308, "são paulo", "sp", uf_id=35),
+        _muni(3550308, "  ahh são paulo", "sp", uf_id=35),  # conflicting duplicate: smallest row wins
+        _muni(1, "beta", "rj"),
+    ], MUNICIPALITY_RAW)
+    out = transform_municipalities(raw.drop("regiao-intermediaria"))
+    assert tuple(out.columns) == MUNICIPALITY_COLUMNS
+    rows = out.collect()
+    assert [r.id for r in rows] == [3550308, 1, 3304557]  # ordered by nome
+    assert rows[0].nome == "Ahh São Paulo"
+    assert rows[2].sigla_uf == "RJ" and rows[2].uf_nome == "Rio De Janeiro"
+    assert rows[2].regiao_imediata_nome == "Rio De Janeiro"
+    assert rows[2].regiao_intermediaria_id is None and rows[2].regiao_intermediaria_nome is None
+
+
+def test_null_struct_and_bad_ids_become_null(spark):
+    raw = spark.createDataFrame([
+        {"id": 7, "nome": "x", "microrregiao": None},
+        {"id": 2 ** 40, "nome": "big", "microrregiao": None},
+    ], MUNICIPALITY_RAW)
+    rows = {r.nome: r for r in transform_municipalities(raw).collect()}
+    assert rows["X"].sigla_uf is None and rows["X"].regiao_nome is None
+    assert rows["Big"].id is None  # beyond 32 bits
+
+
+def test_dedup_is_deterministic_and_null_lowest(spark):
+    df = spark.createDataFrame([(1, "b", "x"), (1, None, "z"), (1, "a", "y"), (None, "q", "q"), (None, "p", "p")],
+                               "id int, a string, b string")
+    got = sorted(dedup(df, "id").collect(), key=lambda r: (r.id is not None, r.id))
+    assert [tuple(r) for r in got] == [(None, "p", "p"), (1, None, "z")]
+    assert dedup(df, "id").columns == ["id", "a", "b"]
+
+
+def test_dedup_partial_aggregate_before_shuffle(spark):
+    df = spark.range(1000).selectExpr("id % 3 AS k", "CAST(id AS STRING) AS v")
+    from conftest import plan_text
+    plan = plan_text(dedup(df, "k"))
+    assert "partial_min" in plan
+
+
+def test_dimension_levels(spark):
+    raw = spark.createDataFrame([_muni(1, "a", "rj"), _muni(2, "b", "rj")], MUNICIPALITY_RAW)
+    muni = transform_municipalities(raw)
+    regions = dimension(muni, "regiao").collect()
+    assert [tuple(r) for r in regions] == [(3, "SE", "Sudeste")]
+    assert dimension(muni, "regiao_intermediaria").count() == 0
