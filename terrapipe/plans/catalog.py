@@ -12,17 +12,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType
 
-from terrapipe.functions.clean import first_present, flatten, optional_path
+from terrapipe.functions.clean import (
+    clean_code, clean_title, first_present, flatten, optional_path, to_int,
+)
 from terrapipe.operators import quality as Q
 from terrapipe.operators.analytics import describe_counts, frequency, share, summary
 from terrapipe.operators.dedup import dedup
 from terrapipe.operators.hierarchy import dimension, transform_municipalities, transform_states
 from terrapipe.plans import fixtures as fx
-from terrapipe.plans.daily import load_all, run_day
+from terrapipe.plans.daily import landing_path, load_all, run_day
 from terrapipe.schemas import (
     CORRUPT_COLUMN,
-    MUNICIPALITY_LIMITS,
     MUNICIPALITY_PROCESSED,
     MUNICIPALITY_RAW,
     STATE_RAW,
@@ -34,8 +36,6 @@ from terrapipe.sinks.landing import landing_duplicates, replace_day, stamp
 from terrapipe.sources.aggregates import aggregate_slice
 from terrapipe.sources.listing import list_municipalities, list_states
 from terrapipe.sources.readers import read_csv, read_json, read_parquet, read_preferred
-from terrapipe.functions.clean import clean_code, clean_title, to_int
-from pyspark.sql.types import IntegerType, StringType
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -213,9 +213,15 @@ def _changed_batch(muni: DataFrame) -> DataFrame:
                 .withColumn("nome", F.upper("nome")))
 
 
+def _materialised(spark, df: DataFrame, name: str) -> DataFrame:
+    """Write a processed batch once (as the daily job does) and read it back,
+    so gates and loads scan Parquet instead of recomputing the lineage."""
+    return read_parquet(spark, write_parquet(df, run_dir(spark, name)))
+
+
 def q_replace_day(spark, sf):
     target = run_dir(spark, "landing_municipalities")
-    muni = municipalities(spark, sf)
+    muni = _materialised(spark, municipalities(spark, sf), "processed_municipalities")
     limits = Q.MUNICIPALITY_LANDING_RULES
     replace_day(muni, target, LOAD_TS, Q.MUNICIPALITIES_CONTRACT, limits)
     replace_day(muni, target, LOAD_TS_DAY2, Q.MUNICIPALITIES_CONTRACT, limits)
@@ -232,13 +238,13 @@ def q_landing_dupes(spark, sf):
 
 def q_load_counts(spark, sf):
     base = run_dir(spark, "landing")
-    load_all(spark, {"states": states(spark, sf), "municipalities": municipalities(spark, sf)},
+    load_all(spark, {"states": _materialised(spark, states(spark, sf), "processed_states"),
+                     "municipalities": _materialised(spark, municipalities(spark, sf), "processed_municipalities")},
              base, LOAD_TS)
     return _landing_counts(spark, base)
 
 
 def _landing_counts(spark, base):
-    from terrapipe.plans.daily import landing_path
     parts = [read_parquet(spark, landing_path(base, name))
              .where(F.col("load_date") == F.lit(LOAD_DAY).cast("date"))
              .agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("rows"))

@@ -102,7 +102,7 @@ def replace_day_jdbc(spark: SparkSession, df: DataFrame, url: str, table: str,
     staging = f"{table}_staging"
     stamped = stamp(df, load_ts)
     stamped.write.jdbc(url, staging, mode="overwrite", properties=props)
-    day = stamped.select(LOAD_DAY_COLUMN).first()[0]
+    day = spark.range(1).select(F.to_date(_ts(load_ts))).first()[0]  # evaluates the literal only
     cols = ", ".join(f'"{c}"' for c in stamped.columns)
     jvm = spark.sparkContext._jvm
     conn = jvm.java.sql.DriverManager.getConnection(url, props.get("user"), props.get("password"))
