@@ -133,11 +133,17 @@ def _default_example(df: DataFrame) -> Column:
 
 
 def check(df: DataFrame, rules: Sequence[Rule],
-          example: Callable[[DataFrame], Column] | None = None) -> DataFrame:
-    """Lazy report DataFrame, one row per rule (see module docstring)."""
+          example: Callable[[DataFrame], Column] | None = None,
+          with_examples: bool = True) -> DataFrame:
+    """Lazy report DataFrame, one row per rule (see module docstring).
+
+    ``with_examples=False`` leaves ``example`` NULL; the aggregate then has
+    fixed-width buffers only (counts) and runs as a codegen'd hash aggregate.
+    """
     example = example or _default_example
     row_rules = [r for r in rules if not r.unique]
     parts: list[DataFrame] = []
+    no_example = F.lit(None).cast("string")
 
     aggs = [F.count(F.lit(1)).alias("_total")]
     for i, rule in enumerate(row_rules):
@@ -145,7 +151,7 @@ def check(df: DataFrame, rules: Sequence[Rule],
             continue
         bad = rule.bad(df)
         aggs.append(F.count_if(bad).alias(f"_bad{i}"))
-        aggs.append(F.min(F.when(bad, example(df))).alias(f"_ex{i}"))
+        aggs.append((F.min(F.when(bad, example(df))) if with_examples else no_example).alias(f"_ex{i}"))
     one = df.agg(*aggs)
     if row_rules:
         rows = []
@@ -171,7 +177,8 @@ def check(df: DataFrame, rules: Sequence[Rule],
             F.lit(rule.name).alias("rule"), F.lit(rule.column).alias("column"),
             F.coalesce(F.sum(F.when(dup, F.col("_n"))), F.lit(0)).cast("bigint").alias("bad_rows"),
             F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_rows"),
-            F.min(F.when(dup, F.col("_key"))).cast("string").alias("example"),
+            (F.min(F.when(dup, F.col("_key"))).cast("string") if with_examples else no_example)
+            .alias("example"),
         ))
     if not parts:
         raise ValueError("no rules given")
@@ -182,23 +189,49 @@ def failures(report_rows: Sequence) -> list:
     return [r for r in report_rows if r["bad_rows"] > 0]
 
 
+def _fast_counts(df: DataFrame, rules: Sequence[Rule]) -> list[dict]:
+    """Counts only, fetched as the single aggregate row (plus one row per
+    uniqueness rule): fixed-width buffers, codegen'd hash aggregation."""
+    row_rules = [r for r in rules if not r.unique and not r.whole_batch]
+    row = df.agg(F.count(F.lit(1)).alias("_total"),
+                 *[F.count_if(r.bad(df)).alias(f"_bad{i}") for i, r in enumerate(row_rules)]).first()
+    total = int(row["_total"])
+    out = []
+    for rule in rules:
+        if rule.whole_batch:
+            bad = int(total == 0)
+        elif rule.unique:
+            counts = df.groupBy(_c(rule.column).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+            dup = F.col("_key").isNotNull() & (F.col("_n") > 1)
+            bad = int(counts.agg(F.coalesce(F.sum(F.when(dup, F.col("_n"))), F.lit(0))).first()[0])
+        else:
+            bad = int(row[f"_bad{row_rules.index(rule)}"])
+        out.append({"rule": rule.name, "column": rule.column, "bad_rows": bad, "total_rows": total})
+    return out
+
+
 def enforce(df: DataFrame, rules: Sequence[Rule], source: str = "batch",
             columns: dict[str, str] | None = None) -> int:
     """Eager gate: raise ``DataQualityError`` on any failing rule.
 
-    Returns the batch row count (taken from the same aggregate).
+    The common (passing) case costs one counts-only aggregate plus one
+    grouped count per uniqueness rule; examples are computed in a second
+    pass only for the rules that failed. Returns the batch row count.
     """
     if columns:
         check_columns(df, columns, source)
-    report = check(df, list(rules) + [non_empty()]).collect()
+    rules = list(rules) + [non_empty()]
+    report = _fast_counts(df, rules)
     failed = failures(report)
     if failed:
+        failing = {(r["rule"], r["column"]) for r in failed}
+        failed = check(df, [r for r in rules if (r.name, r.column) in failing]).collect()
         detail = "; ".join(
             f"{r['rule']}({r['column']}): {r['bad_rows']}/{r['total_rows']} e.g. {r['example']}"
             for r in failed
         )
         raise DataQualityError(f"{source}: {detail}")
-    return int(report[0]["total_rows"]) if report else 0
+    return int(report[0]["total_rows"])
 
 
 # Column kinds accepted by the contracts (D4): "int" is any integral type.

@@ -93,3 +93,27 @@ def test_length_and_max_length(spark):
 def test_registry(spark):
     assert Q.CONTRACTS[("territory", "states")] is Q.STATES_CONTRACT
     assert len(UF_CODES) == 27 and len(set(UF_CODES)) == 27
+
+
+def _jobs(spark, group, fn):
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        fn()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    return len(sc.statusTracker().getJobIdsForGroup(group))
+
+
+def test_row_rules_share_one_aggregate_job(spark, tmp):
+    path = f"{tmp}/t"
+    spark.createDataFrame([(i + 1, f"n{i}", "SP") for i in range(500)],
+                          "id int, nome string, sigla_uf string").write.parquet(path)
+    df = spark.read.parquet(path)
+    one = _jobs(spark, "one-rule", lambda: Q.enforce(df, [Q.not_null("id")]))
+    many = _jobs(spark, "many-rules", lambda: Q.enforce(df, [
+        Q.not_null("id"), Q.positive("id"), Q.not_null("nome"), Q.max_length("nome", 200),
+        Q.not_null("sigla_uf"), Q.isin("sigla_uf", UF_CODES), Q.length_between("sigla_uf", 2, 2)]))
+    assert many == one
+    with_unique = _jobs(spark, "with-unique", lambda: Q.enforce(df, [Q.not_null("id"), Q.unique("id")]))
+    assert with_unique > one  # one extra grouped count per uniqueness rule
