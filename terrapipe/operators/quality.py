@@ -27,7 +27,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from terrapipe.functions.clean import has_path, quote_path
+from terrapipe.functions.clean import has_path, quote_path, split_path
 from terrapipe.schemas import (
     CORRUPT_COLUMN,
     MUNICIPALITY_LIMITS,
@@ -117,7 +117,6 @@ def truthy(*paths: str) -> Rule:
 
 
 def _field_type(schema: StructType, path: str) -> DataType:
-    from terrapipe.functions.clean import split_path
     current: DataType = schema
     for step in split_path(path):
         current = current[step].dataType  # type: ignore[index]
@@ -185,6 +184,22 @@ def check(df: DataFrame, rules: Sequence[Rule],
     return reduce(DataFrame.unionByName, parts)
 
 
+def check_in_table(df: DataFrame, column: str, domain: DataFrame, domain_column: str | None = None,
+                   label: str = "in_table") -> DataFrame:
+    """G10 with the domain given as a table: non-NULL values of ``column``
+    missing from ``domain`` (a left-anti join; Spark broadcasts the domain
+    side only when its statistics say it is small). Same report shape."""
+    values = domain.select(F.col(quote_path(domain_column or column)).alias("_v")).distinct()
+    outside = (df.where(_c(column).isNotNull())
+                 .join(values, _c(column) == F.col("_v"), "left_anti"))
+    total = df.select(F.count(F.lit(1))).scalar()
+    return outside.agg(
+        F.lit(label).alias("rule"), F.lit(column).alias("column"),
+        F.count(F.lit(1)).alias("bad_rows"), total.alias("total_rows"),
+        F.min(_c(column)).cast("string").alias("example"),
+    )
+
+
 def failures(report_rows: Sequence) -> list:
     return [r for r in report_rows if r["bad_rows"] > 0]
 

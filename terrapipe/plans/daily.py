@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from terrapipe.operators import quality as Q
 from terrapipe.operators.hierarchy import transform_municipalities, transform_states
 from terrapipe.schemas import MUNICIPALITY_RAW, STATE_RAW
-from terrapipe.sinks.files import preview, write_csv, write_json, write_parquet
+from terrapipe.sinks.files import preview, publish, write_csv, write_json, write_parquet
 from terrapipe.sinks.landing import replace_day
 from terrapipe.sources.readers import read_json, read_parquet, try_read
 
@@ -45,11 +45,14 @@ def ingest(df: DataFrame, dataset: str, raw_base: str) -> str:
 
 
 def transform_stage(spark: SparkSession, raw_paths: dict[str, str | None], out_base: str,
-                    export_csv: bool = True, preview_rows: int = 0) -> dict[str, dict]:
+                    export_csv: bool = True, preview_rows: int = 0,
+                    tables: dict[str, str] | None = None) -> dict[str, dict]:
     """For each dataset whose raw input exists, read (explicit schema),
     transform, write Parquet once; CSV export and preview read that Parquet
     back instead of recomputing from the raw input. Missing inputs are
-    reported as skipped (S5)."""
+    reported as skipped (S5). With ``tables``, each finished run directory
+    is then published as that catalog table (readers switch only after the
+    write succeeded)."""
     result: dict[str, dict] = {}
     for dataset, path in raw_paths.items():
         schema, _, transform, _, _ = DATASETS[dataset]
@@ -64,6 +67,9 @@ def transform_stage(spark: SparkSession, raw_paths: dict[str, str | None], out_b
             entry["csv"] = write_csv(read_parquet(spark, parquet), f"{run}/csv")
         if preview_rows:
             entry["preview"] = preview(read_parquet(spark, parquet), preview_rows)
+        if tables and dataset in tables:
+            publish(spark, tables[dataset], parquet)
+            entry["table"] = tables[dataset]
         result[dataset] = entry
     return result
 

@@ -44,3 +44,17 @@ def test_run_day_refuses_a_batch_failing_gate_2(spark, tmp, sf_small):
     with pytest.raises(Q.DataQualityError, match="isin"):
         run_day(spark, None, raw_m, tmp, TS)
     assert not os.path.exists(landing_path(tmp, "municipalities"))
+
+
+def test_transform_stage_publishes_only_finished_runs(spark, tmp, sf_small):
+    table = "terrapipe_published_states"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    raw = ingest(fx.raw_states(spark, sf_small), "states", os.path.join(tmp, "raw"))
+    first = transform_stage(spark, {"states": raw}, os.path.join(tmp, "p"), export_csv=False,
+                            tables={"states": table})
+    assert spark.table(table).count() == 25
+    second = transform_stage(spark, {"states": raw}, os.path.join(tmp, "p"), export_csv=False,
+                             tables={"states": table})
+    assert first["states"]["path"] != second["states"]["path"]
+    assert spark.table(table).inputFiles()[0].find(second["states"]["path"].split("run=")[1]) >= 0
+    spark.sql(f"DROP TABLE {table}")

@@ -117,3 +117,10 @@ def test_row_rules_share_one_aggregate_job(spark, tmp):
     assert many == one
     with_unique = _jobs(spark, "with-unique", lambda: Q.enforce(df, [Q.not_null("id"), Q.unique("id")]))
     assert with_unique > one  # one extra grouped count per uniqueness rule
+
+
+def test_isin_against_a_domain_table(spark):
+    df = _processed(spark, [(1, "A", "SP"), (2, "B", "XX"), (3, "C", None), (4, "D", "YY"), (5, "E", "XX")])
+    domain = spark.createDataFrame([(c,) for c in UF_CODES], "sigla string")
+    r = Q.check_in_table(df, "sigla_uf", domain, "sigla").first()
+    assert (r.rule, r.bad_rows, r.total_rows, r.example) == ("in_table", 3, 5, "XX")
