@@ -187,16 +187,19 @@ def check(df: DataFrame, rules: Sequence[Rule],
 def check_in_table(df: DataFrame, column: str, domain: DataFrame, domain_column: str | None = None,
                    label: str = "in_table") -> DataFrame:
     """G10 with the domain given as a table: non-NULL values of ``column``
-    missing from ``domain`` (a left-anti join; Spark broadcasts the domain
-    side only when its statistics say it is small). Same report shape."""
+    missing from ``domain``. Values are counted first (map-side combine), so
+    the left-anti join sees one row per distinct value however skewed the
+    column is; Spark broadcasts a side only when its statistics say it is
+    small. Same report shape as ``check``."""
     values = domain.select(F.col(quote_path(domain_column or column)).alias("_v")).distinct()
-    outside = (df.where(_c(column).isNotNull())
-                 .join(values, _c(column) == F.col("_v"), "left_anti"))
+    counts = (df.where(_c(column).isNotNull())
+                .groupBy(_c(column).alias("_k")).agg(F.count(F.lit(1)).alias("_n")))
+    outside = counts.join(values, F.col("_k") == F.col("_v"), "left_anti")
     total = df.select(F.count(F.lit(1))).scalar()
     return outside.agg(
         F.lit(label).alias("rule"), F.lit(column).alias("column"),
-        F.count(F.lit(1)).alias("bad_rows"), total.alias("total_rows"),
-        F.min(_c(column)).cast("string").alias("example"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("bad_rows"), total.alias("total_rows"),
+        F.min("_k").cast("string").alias("example"),
     )
 
 
