@@ -101,3 +101,15 @@ def test_catalog_table_ddl_and_insert_into(spark, tmp):
     desc = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
     assert desc.get("Comment") == MUNICIPALITY_COMMENT
     spark.sql(f"DROP TABLE {table}")
+
+
+def test_day_write_needs_no_sort(spark, tmp):
+    """The day key is a literal, so the writer's partition sort folds away."""
+    spark.sql("DROP TABLE IF EXISTS terrapipe_sortless")
+    spark.sql("CREATE TABLE terrapipe_sortless (id int, nome string, loaded_at timestamp, load_date date) "
+              f"USING parquet PARTITIONED BY (load_date) LOCATION '{tmp}/t'")
+    stamp(_batch(spark, [(1, "A", "RJ", "x")]).select("id", "nome"), DAY1).createOrReplaceTempView("day_batch")
+    plan = spark.sql("EXPLAIN INSERT OVERWRITE TABLE terrapipe_sortless PARTITION (load_date) "
+                     "SELECT id, nome, loaded_at, load_date FROM day_batch").first()[0]
+    assert "WriteFiles" in plan and "Sort" not in plan
+    spark.sql("DROP TABLE terrapipe_sortless")
