@@ -18,7 +18,7 @@ from terrapipe.functions.clean import (
     clean_code, clean_title, first_present, flatten, optional_path, to_int,
 )
 from terrapipe.operators import quality as Q
-from terrapipe.operators.analytics import describe_counts, frequency, share, summary
+from terrapipe.operators.analytics import describe_counts, distinct_count, frequency, share, summary
 from terrapipe.operators.dedup import dedup
 from terrapipe.operators.hierarchy import dimension, transform_municipalities, transform_states
 from terrapipe.plans import fixtures as fx
@@ -111,6 +111,18 @@ def q_dim_regions(spark, sf):
     return dimension(municipalities(spark, sf), "regiao")
 
 
+def q_dim_states(spark, sf):
+    return dimension(municipalities(spark, sf), "uf")
+
+
+def q_dim_microregions(spark, sf):
+    return dimension(municipalities(spark, sf), "microrregiao")
+
+
+def q_distinct_states(spark, sf):
+    return distinct_count(municipalities(spark, sf), "sigla_uf", "states_with_municipalities")
+
+
 # --- listings and slices -------------------------------------------------
 
 def q_list_states(spark, sf):
@@ -365,6 +377,10 @@ def q_dq_max_length(spark, sf):
     return _report(Q.check(faulted_municipalities(spark, sf), list(Q.MUNICIPALITY_LANDING_RULES)))
 
 
+def q_dq_in_table(spark, sf):
+    return Q.check_in_table(faulted_municipalities(spark, sf), "sigla_uf", states(spark, sf), "sigla")
+
+
 def q_contract_states(spark, sf):
     return _report(Q.STATES_CONTRACT.check(faulted_states(spark, sf)))
 

@@ -231,6 +231,14 @@ FROM (SELECT regiao_nome, count(*) AS count FROM m_d WHERE regiao_nome IS NOT NU
   count(DISTINCT sigla_uf) AS states_with_municipalities FROM m_d""",
     "dim_regions": MUNIS + """SELECT regiao_id, regiao_sigla, regiao_nome FROM m_d WHERE regiao_id IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY regiao_id ORDER BY regiao_sigla NULLS FIRST, regiao_nome NULLS FIRST) = 1""",
+    "dim_states": MUNIS + """SELECT uf_id, sigla_uf, uf_nome, regiao_id FROM m_d WHERE uf_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY uf_id
+  ORDER BY sigla_uf NULLS FIRST, uf_nome NULLS FIRST, regiao_id NULLS FIRST) = 1""",
+    "dim_microregions": MUNIS + """SELECT microrregiao_id, microrregiao_nome, mesorregiao_id FROM m_d
+WHERE microrregiao_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY microrregiao_id
+  ORDER BY microrregiao_nome NULLS FIRST, mesorregiao_id NULLS FIRST) = 1""",
+    "distinct_states": MUNIS + "SELECT count(DISTINCT sigla_uf) AS states_with_municipalities FROM m_d",
     "list_states": STATES + "SELECT id, sigla, nome FROM s_d",
     "list_by_state_id": MUNIS + f"SELECT id, nome FROM m_d WHERE uf_id = {C.LIST_STATE_ID}",
     "list_by_state_code": MUNIS + f"SELECT id, nome FROM m_d WHERE sigla_uf = '{C.LIST_STATE_CODE.upper()}'",
@@ -318,6 +326,12 @@ ORACLE_SQL.update({
     "dq_isin": _union(FAULT_MT, "m_t", [row_rule("isin", "sigla_uf", in_codes("sigla_uf"))], False),
     "dq_max_length": _union(FAULT_MT, "m_t", [row_rule("not_null", "id", not_null("id"))] + [
         row_rule(f"max_length_{n}", c, max_len(c, n)) for c, n in MUNICIPALITY_LIMITS.items()], False),
+    "dq_in_table": with_(GRAIN, raw_states_cte(False), transform_states_cte("s_raw", "s_d", True),
+                         raw_municipalities_cte(True, "m_raw"), transform_municipalities_cte("m_raw", "m_t", False))
+    + """SELECT 'in_table' AS rule, 'sigla_uf' AS "column",
+  CAST(count(*) AS BIGINT) AS bad_rows, (SELECT count(*) FROM m_t) AS total_rows,
+  CAST(min(sigla_uf) AS VARCHAR) AS example
+FROM m_t WHERE sigla_uf IS NOT NULL AND sigla_uf NOT IN (SELECT sigla FROM s_d WHERE sigla IS NOT NULL)""",
     "contract_states": _union(FAULT_ST, "s_t", _contract_states(), False),
     "contract_municipalities": _union(FAULT_MT, "m_t", _contract_municipalities(), False),
 })
