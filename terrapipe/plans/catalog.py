@@ -35,7 +35,7 @@ from terrapipe.sinks.files import preview, write_csv, write_json, write_parquet
 from terrapipe.sinks.landing import landing_duplicates, replace_day, stamp
 from terrapipe.sources.aggregates import aggregate_slice
 from terrapipe.sources.listing import list_municipalities, list_states
-from terrapipe.sources.readers import read_csv, read_json, read_parquet, read_preferred
+from terrapipe.sources.readers import read_csv, read_json, read_parquet, read_preferred, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -332,7 +332,7 @@ def q_first_present(spark, sf):
 
 
 def q_dedup(spark, sf):
-    li = fx.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    li = spread(fx.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     return dedup(li, "l_orderkey")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrapipe.schemas import UF_CODES
+from terrapipe.sources.readers import spread
 
 # Identifiers of the aggregate series built from orders.
 FACT_TABLE_ID = 6579
@@ -25,14 +26,33 @@ MUNICIPALITY_FAULTS = {"null_micro": 23, "empty_uf_code": 29, "blank_name": 31,
 COPY_SAME, COPY_RENAMED, STATE_RENAMED = 7, 11, 11
 
 
+# Schemas of the driver tables the fixtures read. Declaring them
+# spares the footer-reading job that schema inference runs on every read.
+DRIVER_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in DRIVER_SCHEMAS:
+        reader = reader.schema(DRIVER_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def order_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders x customer x nation x region, only the columns the fixtures use."""
-    o = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate", "o_totalprice")
+    o = spread(table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate", "o_totalprice"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -131,7 +151,7 @@ def raw_municipalities(spark: SparkSession, sf_dir: str, faults: bool = False,
 def aggregate_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long aggregate series: yearly order value per state (N3) and country
     (N1), one rollup pass over orders x customer."""
-    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    o = spread(table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     rows = (o.join(c, o.o_custkey == c.c_custkey)
              .select(F.year("o_orderdate").cast("string").alias("period"),

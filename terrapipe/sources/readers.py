@@ -39,8 +39,22 @@ def read_csv(spark: SparkSession, path: str, sep: str = ";", header: bool = True
     return reader.csv(path)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """Parquet scan; a declared schema skips the footer-reading inference job."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that came out with fewer splits than the cluster
+    has cores (a small file with a single row group cannot be split), so the
+    narrow work fused after it runs in parallel. Large inputs already have
+    enough splits and pass through untouched: no shuffle is added at scale.
+    Checking the split count plans the scan but runs no job."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
 
 
 def _missing(exc: AnalysisException) -> bool:
