@@ -208,20 +208,30 @@ def failures(report_rows: Sequence) -> list:
 
 
 def _fast_counts(df: DataFrame, rules: Sequence[Rule]) -> list[dict]:
-    """Counts only, fetched as the single aggregate row (plus one row per
-    uniqueness rule): fixed-width buffers, codegen'd hash aggregation."""
+    """Counts only, in ONE action: the row rules as one aggregate with
+    fixed-width buffers (codegen'd hash aggregation), each uniqueness rule as
+    a scalar subquery over a map-side-combined grouped count."""
     row_rules = [r for r in rules if not r.unique and not r.whole_batch]
-    row = df.agg(F.count(F.lit(1)).alias("_total"),
-                 *[F.count_if(r.bad(df)).alias(f"_bad{i}") for i, r in enumerate(row_rules)]).first()
+    cols = [F.count(F.lit(1)).alias("_total"),
+            *[F.count_if(r.bad(df)).alias(f"_bad{i}") for i, r in enumerate(row_rules)]]
+    uniq = [r for r in rules if r.unique]
+    agg = df.agg(*cols)
+    if uniq:
+        extra = []
+        for j, rule in enumerate(uniq):
+            counts = df.groupBy(_c(rule.column).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+            dup = F.col("_key").isNotNull() & (F.col("_n") > 1)
+            extra.append(counts.agg(F.coalesce(F.sum(F.when(dup, F.col("_n"))), F.lit(0))).scalar()
+                         .alias(f"_dup{j}"))
+        agg = agg.select("*", *extra)
+    row = agg.first()
     total = int(row["_total"])
     out = []
     for rule in rules:
         if rule.whole_batch:
             bad = int(total == 0)
         elif rule.unique:
-            counts = df.groupBy(_c(rule.column).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-            dup = F.col("_key").isNotNull() & (F.col("_n") > 1)
-            bad = int(counts.agg(F.coalesce(F.sum(F.when(dup, F.col("_n"))), F.lit(0))).first()[0])
+            bad = int(row[f"_dup{uniq.index(rule)}"])
         else:
             bad = int(row[f"_bad{row_rules.index(rule)}"])
         out.append({"rule": rule.name, "column": rule.column, "bad_rows": bad, "total_rows": total})
