@@ -99,6 +99,9 @@ def replace_day_jdbc(spark: SparkSession, df: DataFrame, url: str, table: str,
         rows = enforce(df, tuple(contract.rules) + tuple(limits), contract.name, contract.columns)
     else:
         rows = enforce(df, tuple(limits), table)
+    if load_ts is None:  # pin "now" once, so the rows and the deleted day agree
+        load_ts = spark.range(1).select(
+            F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
     staging = f"{table}_staging"
     stamped = stamp(df, load_ts)
     stamped.write.jdbc(url, staging, mode="overwrite", properties=props)
