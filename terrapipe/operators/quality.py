@@ -40,7 +40,6 @@ class DataQualityError(Exception):
     """A batch failed a data-quality gate."""
 
 
-REPORT_COLUMNS = ("rule", "column", "bad_rows", "total_rows", "example")
 EXAMPLE_CHARS = 200
 
 

@@ -71,10 +71,6 @@ def try_read(read: Callable[[], DataFrame]) -> DataFrame | None:
         raise
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    return try_read(lambda: spark.read.format("binaryFile").load(path).select("path")) is not None
-
-
 def read_preferred(spark: SparkSession, processed: str, raw: str, schema: StructType,
                    renames: dict[str, str] | None = None, multi_line: bool = False) -> DataFrame:
     """The processed Parquet if present, else the raw JSON flattened and
