@@ -143,22 +143,26 @@ def check(df: DataFrame, rules: Sequence[Rule],
     parts: list[DataFrame] = []
     no_example = F.lit(None).cast("string")
 
-    aggs = [F.count(F.lit(1)).alias("_total")]
-    for i, rule in enumerate(row_rules):
-        if rule.whole_batch:
-            continue
-        bad = rule.bad(df)
-        aggs.append(F.count_if(bad).alias(f"_bad{i}"))
-        aggs.append((F.min(F.when(bad, example(df))) if with_examples else no_example).alias(f"_ex{i}"))
-    one = df.agg(*aggs)
+    # counts: fixed-width buffers over every row (codegen'd hash aggregate)
+    bads = {i: r.bad(df) for i, r in enumerate(row_rules) if not r.whole_batch}
+    one = df.agg(F.count(F.lit(1)).alias("_total"),
+                 *[F.count_if(b).alias(f"_bad{i}") for i, b in bads.items()])
+    if with_examples and bads:
+        # examples: one scalar subquery over the offending rows only
+        offending = df.where(reduce(lambda a, b: a | b, bads.values()))
+        examples = offending.agg(F.struct(*[
+            F.min(F.when(b, example(df))).alias(f"_ex{i}") for i, b in bads.items()
+        ]).alias("_examples"))
+        one = one.select("*", examples.scalar().alias("_examples"))
     if row_rules:
         rows = []
         for i, rule in enumerate(row_rules):
             if rule.whole_batch:
                 bad_rows = F.when(F.col("_total") == 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-                ex = F.lit(None).cast("string")
+                ex = no_example
             else:
-                bad_rows, ex = F.col(f"_bad{i}").cast("bigint"), F.col(f"_ex{i}")
+                bad_rows = F.col(f"_bad{i}").cast("bigint")
+                ex = F.col("_examples").getField(f"_ex{i}") if with_examples else no_example
             rows.append(F.struct(
                 F.lit(rule.name).alias("rule"), F.lit(rule.column).alias("column"),
                 bad_rows.alias("bad_rows"), F.col("_total").alias("total_rows"),
