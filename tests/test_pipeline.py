@@ -34,6 +34,9 @@ def test_transform_stage_skips_missing_and_materialises_once(spark, tmp, sf_smal
     assert spark.read.parquet(st["path"]).count() == 25
     assert spark.read.option("sep", ";").option("header", "true").csv(st["csv"]).count() == 25
     assert st["preview"].count() == 10
+    # everything after the one Parquet write reads that Parquet, never the raw JSON again
+    files = st["preview"].inputFiles()
+    assert files and all(st["path"].split("run=")[1] in f and f.endswith(".parquet") for f in files)
 
 
 def test_run_day_refuses_a_batch_failing_gate_2(spark, tmp, sf_small):
