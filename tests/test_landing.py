@@ -113,3 +113,19 @@ def test_day_write_needs_no_sort(spark, tmp):
                      "SELECT id, nome, loaded_at, load_date FROM day_batch").first()[0]
     assert "WriteFiles" in plan and "Sort" not in plan
     spark.sql("DROP TABLE terrapipe_sortless")
+
+
+def test_replace_day_is_dynamic_even_in_a_static_session(spark, tmp):
+    """A caller's session may default to static overwrite, which would wipe
+    every other day; the writer option keeps the load to its own day."""
+    target = os.path.join(tmp, "landing")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        _load(_batch(spark, [(1, "A", "RJ", "x")]), target, DAY1)
+        _load(_batch(spark, [(2, "B", "RJ", "x")]), target, DAY2)
+        _load(_batch(spark, [(3, "C", "RJ", "x")]), target, DAY2)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    assert _day_rows(spark, target, "2024-03-01") == [(1, "A")]
+    assert _day_rows(spark, target, "2024-03-02") == [(3, "C")]
