@@ -25,3 +25,17 @@ def test_stream_rejects_bad_collection(spark, tmp, sf_small):
     with pytest.raises(Exception, match="truthy"):
         load_new_collections(spark, raw_dir + "/*", "states", tmp, ckpt, TS)
     assert not os.path.exists(landing_path(tmp, "states"))
+
+
+def test_later_collection_replaces_the_day(spark, tmp, sf_small):
+    from pyspark.sql import functions as F
+    raw_dir, ckpt = os.path.join(tmp, "raw"), os.path.join(tmp, "ckpt")
+    first = fx.raw_states(spark, sf_small)
+    write_json(first, os.path.join(raw_dir, "c1"))
+    assert load_new_collections(spark, raw_dir + "/*", "states", tmp, ckpt, TS) == [25]
+    renamed = first.withColumn("nome", F.concat(F.lit("novo "), F.col("nome")))
+    write_json(renamed, os.path.join(raw_dir, "c2"))
+    assert load_new_collections(spark, raw_dir + "/*", "states", tmp, ckpt, TS) == [25]
+    landed = spark.read.parquet(landing_path(tmp, "states"))
+    assert landed.count() == 25
+    assert landed.where(~F.col("nome").startswith("Novo ")).count() == 0
