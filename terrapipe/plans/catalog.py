@@ -162,7 +162,7 @@ def q_preview(spark, sf):
 # --- scans and sinks -----------------------------------------------------
 
 def q_parquet_scan(spark, sf):
-    return (read_parquet(spark, f"{sf}/supplier.parquet")
+    return (read_parquet(spark, f"{sf.rstrip('/')}/supplier.parquet")
             .where(F.col("s_nationkey") == 3).select("s_suppkey", "s_name"))
 
 
