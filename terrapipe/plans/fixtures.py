@@ -19,7 +19,8 @@ from terrapipe.sources.readers import spread
 FACT_TABLE_ID = 6579
 FACT_VARIABLE_ID = 9324
 
-# Fault and duplicate injection, keyed on the order key.
+# Fault and duplicate injection, keyed on the order key. These
+# add copies or alter values on every n-th row; they never drop rows.
 STATE_FAULTS = {"zero_id": 13, "empty_code": 17, "null_name": 19}
 MUNICIPALITY_FAULTS = {"null_micro": 23, "empty_uf_code": 29, "blank_name": 31,
                        "zero_id": 37, "long_name": 41}
