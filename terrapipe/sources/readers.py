@@ -29,13 +29,17 @@ def read_json(spark: SparkSession, path: str, schema: StructType | None = None,
 
 
 def read_csv(spark: SparkSession, path: str, sep: str = ";", header: bool = True,
-             schema: StructType | None = None) -> DataFrame:
-    """Types are inferred (an extra pass) only when no schema is given."""
+             schema: StructType | None = None, sampling_ratio: float | None = None) -> DataFrame:
+    """Types are inferred (an extra pass over the input) only when no schema
+    is given; ``sampling_ratio`` bounds that pass to a fraction of the lines
+    (inference only: every row is still read)."""
     reader = spark.read.option("header", str(header).lower()).option("sep", sep)
     if schema is not None:
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", "true")
+        if sampling_ratio is not None:
+            reader = reader.option("samplingRatio", sampling_ratio)
     return reader.csv(path)
 
 

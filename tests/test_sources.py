@@ -47,6 +47,8 @@ def test_csv_roundtrip_inferred_and_explicit(spark, tmp):
                for f in os.listdir(path) if f.endswith(".csv"))
     inferred = read_csv(spark, path)
     assert dict(inferred.dtypes) == {"id": "int", "name": "string", "v": "double"}
+    sampled = read_csv(spark, path, sampling_ratio=0.5)
+    assert sampled.count() == 2 and "id" in sampled.columns
     explicit = read_csv(spark, path, schema=df.schema)
     assert sorted(map(tuple, explicit.collect())) == [(1, "a;b", 2.5), (2, "c", None)]
     single = write_csv(df, os.path.join(tmp, "one"), single_file=True)
