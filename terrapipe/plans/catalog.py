@@ -51,12 +51,12 @@ CHANGED_STATE = "RJ"
 DESCRIBE_DECIMALS = 6
 
 
-def states(spark: SparkSession, sf: str) -> DataFrame:
-    return transform_states(fx.raw_states(spark, sf))
+def states(spark: SparkSession, sf: str, sort: bool = True) -> DataFrame:
+    return transform_states(fx.raw_states(spark, sf), sort=sort)
 
 
-def municipalities(spark: SparkSession, sf: str) -> DataFrame:
-    return transform_municipalities(fx.raw_municipalities(spark, sf))
+def municipalities(spark: SparkSession, sf: str, sort: bool = True) -> DataFrame:
+    return transform_municipalities(fx.raw_municipalities(spark, sf), sort=sort)
 
 
 def faulted_states(spark: SparkSession, sf: str) -> DataFrame:
@@ -233,7 +233,7 @@ def _materialised(spark, df: DataFrame, name: str) -> DataFrame:
 
 def q_replace_day(spark, sf):
     target = run_dir(spark, "landing_municipalities")
-    muni = _materialised(spark, municipalities(spark, sf), "processed_municipalities")
+    muni = _materialised(spark, municipalities(spark, sf, sort=False), "processed_municipalities")
     limits = Q.MUNICIPALITY_LANDING_RULES
     replace_day(muni, target, LOAD_TS, Q.MUNICIPALITIES_CONTRACT, limits)
     replace_day(muni, target, LOAD_TS_DAY2, Q.MUNICIPALITIES_CONTRACT, limits)
@@ -250,8 +250,10 @@ def q_landing_dupes(spark, sf):
 
 def q_load_counts(spark, sf):
     base = run_dir(spark, "landing")
-    load_all(spark, {"states": _materialised(spark, states(spark, sf), "processed_states"),
-                     "municipalities": _materialised(spark, municipalities(spark, sf), "processed_municipalities")},
+    # landing tables have no order: materialise the batches unsorted
+    load_all(spark, {"states": _materialised(spark, states(spark, sf, sort=False), "processed_states"),
+                     "municipalities": _materialised(spark, municipalities(spark, sf, sort=False),
+                                                     "processed_municipalities")},
              base, LOAD_TS)
     return _landing_counts(spark, base)
 
