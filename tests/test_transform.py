@@ -73,3 +73,16 @@ def test_dimension_levels(spark):
     regions = dimension(muni, "regiao").collect()
     assert [tuple(r) for r in regions] == [(3, "SE", "Sudeste")]
     assert dimension(muni, "regiao_intermediaria").count() == 0
+
+
+def test_every_dimension_level_has_one_row_per_unit(spark, sf_small):
+    from pyspark.sql import functions as F
+    from terrapipe.operators.hierarchy import LEVELS
+    from terrapipe.plans import fixtures as fx
+    muni = transform_municipalities(fx.raw_municipalities(spark, sf_small, intermediate=True)).cache()
+    for level, (key, *attrs) in LEVELS.items():
+        dim = dimension(muni, level)
+        assert dim.columns == [key, *attrs]
+        expected = muni.select(F.count_distinct(key)).first()[0]
+        assert expected > 0 and dim.count() == expected, level
+    muni.unpersist()
