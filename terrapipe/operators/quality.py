@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
@@ -265,6 +265,35 @@ def enforce(df: DataFrame, rules: Sequence[Rule], source: str = "batch",
     return int(report[0]["total_rows"])
 
 
+def enforce_while_writing(df: DataFrame, rules: Sequence[Rule], write: Callable[[DataFrame], object],
+                          source: str = "batch") -> int:
+    """Gate a batch in the same pass that writes it: the row-rule counts are
+    ``Observation`` metrics of the write, so the input is read once, not
+    twice. Only for a target nothing reads before the gate passed (a fresh
+    run directory): on failure the written files stay unpublished and
+    ``DataQualityError`` is raised. Uniqueness needs a grouped pass; use
+    ``enforce`` for it."""
+    if any(r.unique for r in rules):
+        raise ValueError("uniqueness rules need a grouped pass; use enforce()")
+    rules = list(rules) + [non_empty()]
+    row_rules = [r for r in rules if not r.whole_batch]
+    observation = Observation()
+    write(df.observe(observation, F.count(F.lit(1)).alias("_total"),
+                     *[F.count_if(r.bad(df)).alias(f"_bad{i}") for i, r in enumerate(row_rules)]))
+    metrics = observation.get
+    total = int(metrics["_total"])
+    failing = [r for r in rules
+               if (total == 0 if r.whole_batch else metrics[f"_bad{row_rules.index(r)}"] > 0)]
+    if failing:
+        failed = check(df, failing).collect()
+        detail = "; ".join(
+            f"{r['rule']}({r['column']}): {r['bad_rows']}/{r['total_rows']} e.g. {r['example']}"
+            for r in failed
+        )
+        raise DataQualityError(f"{source}: {detail}")
+    return total
+
+
 # Column kinds accepted by the contracts (D4): "int" is any integral type.
 _KINDS: dict[str, Callable[[DataType], bool]] = {
     "int": lambda t: isinstance(t, IntegralType),

@@ -37,11 +37,20 @@ def landing_path(base: str, dataset: str) -> str:
     return f"{base.rstrip('/')}/landing/{dataset}"
 
 
-def ingest(df: DataFrame, dataset: str, raw_base: str) -> str:
-    """Gate 1 on a raw batch, then land it as JSON Lines; returns the path."""
+def ingest(df: DataFrame, dataset: str, raw_base: str, single_pass: bool = False) -> str:
+    """Gate 1 on a raw batch, land it as JSON Lines, return the path.
+
+    By default the gate runs before anything is written. ``single_pass``
+    gates while writing (one read of the input instead of two); a rejected
+    batch then leaves only an unpublished run directory, since its path is
+    never returned."""
     _, rules, _, _, _ = DATASETS[dataset]
+    path = f"{raw_base.rstrip('/')}/{dataset}/run={_run_id()}"
+    if single_pass:
+        Q.enforce_while_writing(df, rules, lambda checked: write_json(checked, path), f"raw {dataset}")
+        return path
     Q.enforce(df, rules, f"raw {dataset}")
-    return write_json(df, f"{raw_base.rstrip('/')}/{dataset}/run={_run_id()}")
+    return write_json(df, path)
 
 
 def transform_stage(spark: SparkSession, raw_paths: dict[str, str | None], out_base: str,
@@ -90,14 +99,18 @@ def load_all(spark: SparkSession, datasets: dict[str, DataFrame], base: str,
 
 
 def run_day(spark: SparkSession, raw_states: DataFrame | None, raw_municipalities: DataFrame | None,
-            base: str, load_ts: dt.datetime | str | None = None, export_csv: bool = False) -> dict[str, int]:
+            base: str, load_ts: dt.datetime | str | None = None, export_csv: bool = False,
+            single_pass_ingest: bool = True) -> dict[str, int]:
     """Collect -> transform -> load for one day, stopping at the first
     failure. Rerun-safe: the load replaces the day instead of appending.
-    Only datasets produced by this run are loaded (D9)."""
+    Only datasets produced by this run are loaded (D9). Raw batches are
+    gated while they are landed (one pass), since their run directories are
+    private to this run."""
     base = base.rstrip("/")
     raw_paths: dict[str, str | None] = {}
     for dataset, df in (("municipalities", raw_municipalities), ("states", raw_states)):
-        raw_paths[dataset] = ingest(df, dataset, f"{base}/raw") if df is not None else None
+        raw_paths[dataset] = (ingest(df, dataset, f"{base}/raw", single_pass_ingest)
+                              if df is not None else None)
     staged = transform_stage(spark, raw_paths, f"{base}/processed", export_csv=export_csv)
     produced = {d: read_parquet(spark, s["path"]) for d, s in staged.items() if not s["skipped"]}
     return load_all(spark, produced, base, load_ts)

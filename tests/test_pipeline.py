@@ -61,3 +61,17 @@ def test_transform_stage_publishes_only_finished_runs(spark, tmp, sf_small):
     assert first["states"]["path"] != second["states"]["path"]
     assert spark.table(table).inputFiles()[0].find(second["states"]["path"].split("run=")[1]) >= 0
     spark.sql(f"DROP TABLE {table}")
+
+
+def test_single_pass_ingest_gates_while_landing(spark, tmp, sf_small):
+    from test_quality import _jobs
+    good = fx.raw_states(spark, sf_small)
+    path = ingest(good, "states", os.path.join(tmp, "raw1"), single_pass=True)
+    assert spark.read.json(path).count() == 1500
+    two = _jobs(spark, "two-pass", lambda: ingest(good, "states", os.path.join(tmp, "raw2")))
+    one = _jobs(spark, "one-pass", lambda: ingest(good, "states", os.path.join(tmp, "raw3"), single_pass=True))
+    assert one < two
+    with pytest.raises(Q.DataQualityError, match="truthy"):
+        ingest(fx.raw_states(spark, sf_small, faults=True), "states", os.path.join(tmp, "raw4"), single_pass=True)
+    with pytest.raises(Q.DataQualityError, match="non_empty"):
+        ingest(good.limit(0), "states", os.path.join(tmp, "raw5"), single_pass=True)
