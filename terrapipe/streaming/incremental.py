@@ -35,10 +35,16 @@ def load_new_collections(spark: SparkSession, raw_dir: str, dataset: str, base:
     loaded: list[int] = []
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        Q.enforce(batch, raw_rules, f"raw {dataset} (batch {epoch_id})")
-        processed = transform(batch, sort=False)
-        loaded.append(replace_day(processed, landing_path(base, dataset), load_ts,
-                                  Q.CONTRACTS.get(key), limits))
+        # three consumers (raw gate, contract gate, write) share one read of
+        # the new files; lost blocks are recomputed from those files
+        batch.persist()
+        try:
+            Q.enforce(batch, raw_rules, f"raw {dataset} (batch {epoch_id})")
+            processed = transform(batch, sort=False)
+            loaded.append(replace_day(processed, landing_path(base, dataset), load_ts,
+                                      Q.CONTRACTS.get(key), limits))
+        finally:
+            batch.unpersist()
 
     query = (reader.json(raw_dir).writeStream.foreachBatch(handle)
              .option("checkpointLocation", checkpoint)
