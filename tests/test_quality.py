@@ -124,3 +124,12 @@ def test_isin_against_a_domain_table(spark):
     domain = spark.createDataFrame([(c,) for c in UF_CODES], "sigla string")
     r = Q.check_in_table(df, "sigla_uf", domain, "sigla").first()
     assert (r.rule, r.bad_rows, r.total_rows, r.example) == ("in_table", 3, 5, "XX")
+
+
+def test_gating_while_writing_refuses_uniqueness_rules(spark, tmp):
+    df = _processed(spark, [(1, "A", "SP")])
+    with pytest.raises(ValueError, match="grouped pass"):
+        Q.enforce_while_writing(df, [Q.unique("id")], lambda d: d.write.json(f"{tmp}/never"))
+    written = []
+    assert Q.enforce_while_writing(df, [Q.not_null("id")], lambda d: written.append(d.write.json(f"{tmp}/ok"))) == 1
+    assert spark.read.json(f"{tmp}/ok").count() == 1
