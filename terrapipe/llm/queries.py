@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from terrapipe.llm.packing import pack
 from terrapipe.llm.shared import table
+from terrapipe.llm.warc import archive
 
 def vocabulary() -> str:
     import public_tokenizers
@@ -21,8 +22,23 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack": op2_pack,
+    "op10_warc": op10_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_warc": """
+        WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS payload_digest,
+                          octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes FROM pages),
+             f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first_id IS NOT NULL AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first_id IS NOT NULL AND page_id <> first_id THEN first_id END AS refers_to
+        FROM p LEFT JOIN f USING (payload_digest)""",
+}
