@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrapipe.llm import toxicity
 from terrapipe.llm.packing import pack
 from terrapipe.llm.shared import table
 from terrapipe.llm.warc import archive
@@ -27,8 +28,17 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 4
+    model = toxicity.fit(docs, labels, where=fold != 2)
+    return toxicity.score(docs, model).select(
+        "doc_id", (fold == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack": op2_pack,
+    "op8_toxicity": op8_toxicity,
     "op10_warc": op10_warc,
 }
 
