@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrapipe.llm import toxicity
+from terrapipe.llm import quality, toxicity
 from terrapipe.llm.packing import pack
 from terrapipe.llm.shared import table
 from terrapipe.llm.warc import archive
@@ -36,9 +36,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")), threshold=0.5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack": op2_pack,
     "op8_toxicity": op8_toxicity,
+    "op9_quality": op9_quality,
     "op10_warc": op10_warc,
 }
 
