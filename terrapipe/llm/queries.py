@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from terrapipe.llm import quality, toxicity
 from terrapipe.llm.packing import pack
 from terrapipe.llm.shared import table
+from terrapipe.llm.simhash import near_duplicates
 from terrapipe.llm.warc import archive
 
 def vocabulary() -> str:
@@ -28,6 +29,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4).withColumnRenamed("id", "doc_id")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     fold = F.crc32(F.col("doc_id").cast("string")) % 4
@@ -43,6 +48,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack": op2_pack,
+    "op4_simhash": op4_simhash,
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
