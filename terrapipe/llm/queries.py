@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 from terrapipe.llm import quality, toxicity
 from terrapipe.llm.decontaminate import contamination
 from terrapipe.llm.packing import pack
+from terrapipe.llm.pii import pseudonymise
 from terrapipe.llm.shared import table
 from terrapipe.llm.simhash import near_duplicates
 from terrapipe.llm.warc import archive
 
+#: The key of the registered queries; a deployment passes its own, kept secret.
+PSEUDONYM_KEY = b"terrapipe registered query"
+
+
 def vocabulary() -> str:
     import public_tokenizers
 
@@ -34,6 +39,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymise(docs, PSEUDONYM_KEY).withColumn("n_replaced", F.size("pii").cast("long"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4).withColumnRenamed("id", "doc_id")
 
@@ -54,6 +64,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_pack": op2_pack,
+    "op3_pii": op3_pii,
     "op4_simhash": op4_simhash,
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
