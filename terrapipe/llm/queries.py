@@ -13,6 +13,7 @@ from terrapipe.llm.packing import pack
 from terrapipe.llm.pii import pseudonymise
 from terrapipe.llm.shared import table
 from terrapipe.llm.simhash import near_duplicates
+from terrapipe.llm.token_files import token_files
 from terrapipe.llm.warc import archive
 
 #: The key of the registered queries; a deployment passes its own, kept secret.
@@ -48,6 +49,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4).withColumnRenamed("id", "doc_id")
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"), vocabulary(), end_id=2).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     fold = F.crc32(F.col("doc_id").cast("string")) % 4
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack": op2_pack,
     "op3_pii": op3_pii,
     "op4_simhash": op4_simhash,
+    "op6_token_files": op6_token_files,
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
