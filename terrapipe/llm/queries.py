@@ -11,6 +11,7 @@ from terrapipe.llm import quality, toxicity
 from terrapipe.llm.decontaminate import contamination
 from terrapipe.llm.packing import pack
 from terrapipe.llm.pii import pseudonymise
+from terrapipe.llm.repeats import remove_repeats
 from terrapipe.llm.shared import table
 from terrapipe.llm.simhash import near_duplicates
 from terrapipe.llm.token_files import token_files
@@ -54,6 +55,12 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_bytes", F.expr("aggregate(spans, 0L, (a, s) -> a + s.end - s.start)").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     fold = F.crc32(F.col("doc_id").cast("string")) % 4
@@ -73,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op4_simhash": op4_simhash,
     "op6_token_files": op6_token_files,
+    "op7_repeats": op7_repeats,
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
