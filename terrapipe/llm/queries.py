@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from terrapipe.llm import quality, toxicity
 from terrapipe.llm.decontaminate import contamination
+from terrapipe.llm.html_text import extract
 from terrapipe.llm.packing import pack
 from terrapipe.llm.pii import pseudonymise
 from terrapipe.llm.repeats import remove_repeats
@@ -50,6 +51,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4).withColumnRenamed("id", "doc_id")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), vocabulary(), end_id=2).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack": op2_pack,
     "op3_pii": op3_pii,
     "op4_simhash": op4_simhash,
+    "op5_html_text": op5_html_text,
     "op6_token_files": op6_token_files,
     "op7_repeats": op7_repeats,
     "op8_toxicity": op8_toxicity,
