@@ -23,6 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
