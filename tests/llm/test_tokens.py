@@ -1,0 +1,26 @@
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from terrapipe.llm.tokens import Encoder
+
+ALPHABET = list("abcXYZ09.,!?;:'&%$#*|<>-_\"()[] \n\t\x0b\x85\xa0éÉßÿçñİſ́日本") + ["'s", "'LL", "<|endoftext|>", "<|ENDOFTEXT|>", ". ", "! "]
+
+
+def wanted(encoder, text):
+    return np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(ALPHABET), max_size=12).map("".join), max_size=6))
+def test_ids_are_those_of_the_library(vocabulary, texts):
+    encoder = Encoder(vocabulary, cached=7)
+    assert list(encoder.encode(pa.array(texts, pa.string()))) == [wanted(encoder, t) for t in texts]
+
+
+def test_nulls_and_slices(vocabulary):
+    encoder = Encoder(vocabulary)
+    texts = pa.array(["one two", None, "", "two, three!", "four"]).slice(1, 3)
+    assert list(encoder.encode(texts)) == [b"", b"", wanted(encoder, "two, three!")]
+    assert list(encoder.encode(pa.array([], pa.string()))) == []
