@@ -317,7 +317,8 @@ def _cover(rows: pd.DataFrame) -> pd.DataFrame:
     least = covered_windows(distinct, lowest)
     masks = np.zeros(len(docs), np.uint64)
     for j in range(SIDE + 1):
-        masks |= (least[place, j] < docs).astype(np.uint64) << np.uint64(j)
+        has = (records[:, -2] <= j) & (records[:, -1] >= j)
+        masks |= (has & (least[place, j] < docs)).astype(np.uint64) << np.uint64(j)
     ends = np.cumsum(rows["n"].to_numpy())
     squeeze = zstandard.ZstdCompressor(level=3).compress
     return pd.DataFrame({"chunk": rows["chunk"], "bucket": rows["bucket"],
