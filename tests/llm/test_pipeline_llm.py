@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def steps(spark, tmp_path_factory):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    docs = docs.union(docs.limit(3)).union(spark.createDataFrame([(None, None, None, None, None), (None, "", "en", None, 0), (5, None, None, "s", None)], docs.schema))
+    docs = docs.union(docs.limit(3)).union(spark.createDataFrame([(None, None, None, None, None), (None, "", "en", None, 0), (999_999, None, None, "s", None)], docs.schema))
     docs = docs.withColumn("_place", F.lit("mine"))
     out = [docs]
     for name, stage in C.STAGES:

@@ -63,17 +63,17 @@ def test_damage_is_refused(harm):
         list(read_archive(data))
 
 
-def test_dictionary_shrinks_files(spark, scratch):
+def test_dictionary_shrinks_files(spark, sf_small, scratch):
     from terrapipe.llm.warc import train_dictionary
 
-    pages = spark.createDataFrame([(i, "u", f"<html><head><title>page {i}</title></head><body><nav>one two three {i * 7919}</nav></body></html>" * 9)
-                                   for i in range(400)], "page_id long, url string, html string").coalesce(1)
-    trained = train_dictionary(pages, sample=400, size=4096)
+    pages = spark.read.parquet(f"{sf_small}/pages.parquet").coalesce(1)
+    n = pages.count()
+    trained = train_dictionary(pages, size=4096)
     assert trained
     total = []
     for name, dictionary in (("with", trained), ("without", b"")):
         folder = f"{scratch}/{name}"
-        assert sum(r.records for r in write_warc(pages, folder, dictionary).collect()) == 400
-        assert read_warc(spark, folder).count() == 400
+        assert sum(r.records for r in write_warc(pages, folder, dictionary).collect()) == n
+        assert read_warc(spark, folder).count() == n
         total.append(spark.read.format("binaryFile").load(folder).selectExpr("sum(length)").first()[0])
     assert total[0] < total[1]
