@@ -12,11 +12,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_ROW = "__row"
+_ROW, _COPIES = "__row", "__copies"
 
 
-def dedup(df: DataFrame, keys: str | list[str] | tuple[str, ...]) -> DataFrame:
+def dedup(df: DataFrame, keys: str | list[str] | tuple[str, ...], few_distinct: bool = False) -> DataFrame:
+    """``few_distinct``: the operator knows that few different rows stand behind
+    each key (a dimension at the grain of its facts); equal rows are then
+    hashed together first, so that only those few are sorted."""
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if few_distinct:  # the count keeps the optimiser from dropping the grouping below min()
+        columns = df.columns
+        df = (df.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count(F.lit(1)).alias(_COPIES))
+              .where(F.col(_COPIES) > 0).select(*[F.col(f"`{c}`") for c in columns]))
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()

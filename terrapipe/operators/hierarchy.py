@@ -25,7 +25,7 @@ def transform_states(raw: DataFrame, deduplicate: bool = True, sort: bool = True
         clean_title("regiao.nome").alias("regiao_nome"),
     )
     if deduplicate:
-        df = dedup(df, "id")
+        df = dedup(df, "id", few_distinct=True)
     return df.orderBy("id") if sort else df
 
 
@@ -88,4 +88,4 @@ def dimension(municipalities: DataFrame, level: str) -> DataFrame:
         raise ValueError(f"unknown level {level!r}; one of {sorted(LEVELS)}")
     key, *attrs = LEVELS[level]
     units = municipalities.select(key, *attrs).where(F.col(key).isNotNull())
-    return dedup(units, key).orderBy(key)
+    return dedup(units, key, few_distinct=True).orderBy(key)

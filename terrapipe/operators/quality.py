@@ -1,9 +1,9 @@
 """Declarative data-quality gates.
 
 A rule turns into a boolean "this row breaks me" expression. ``check``
-compiles every row rule of a table into ONE aggregate (``count_if`` plus a
-deterministic example per rule) and each uniqueness rule into one grouped
-count with map-side combine, and returns a small report DataFrame::
+compiles all rules of a table, uniqueness rules included, into ONE pass with
+map-side combined counts (plus one over the offending rows for the examples)
+and returns a small report DataFrame::
 
     rule string, column string, bad_rows bigint, total_rows bigint, example string
 
@@ -40,7 +40,8 @@ class DataQualityError(Exception):
     """A batch failed a data-quality gate."""
 
 
-EXAMPLE_CHARS = 200
+# Fixed value: a raw municipality, four levels deep, is shown by this much of it.
+MUNICIPALITY_EXAMPLE_CHARS = 200
 
 
 @dataclass(frozen=True)
@@ -50,6 +51,7 @@ class Rule:
     bad: Callable[[DataFrame], Column] | None = None  # row rule predicate
     unique: bool = False
     whole_batch: bool = False  # judged on the row count, not per row
+    example_chars: int | None = None  # the example's length; None: the whole row
 
 
 def _c(name: str) -> Column:
@@ -105,14 +107,14 @@ def _truthy(df: DataFrame, path: str) -> Column:
     return c.isNotNull() & (c != F.lit(0))
 
 
-def truthy(*paths: str) -> Rule:
+def truthy(*paths: str, example_chars: int | None = None) -> Rule:
     """Every path truthy; NULL anywhere on a path, or a corrupt line, is bad."""
     def bad(df: DataFrame) -> Column:
         ok = reduce(lambda a, b: a & b, [_truthy(df, p) for p in paths])
         if CORRUPT_COLUMN in df.columns:
             ok = ok & F.col(CORRUPT_COLUMN).isNull()
         return ~F.coalesce(ok, F.lit(False))
-    return Rule("truthy", ",".join(paths), bad)
+    return Rule("truthy", ",".join(paths), bad, example_chars=example_chars)
 
 
 def _field_type(schema: StructType, path: str) -> DataType:
@@ -127,7 +129,7 @@ def _default_example(df: DataFrame) -> Column:
     text = F.to_json(row, {"ignoreNullFields": "false"})
     if CORRUPT_COLUMN in df.columns:
         text = F.coalesce(F.col(CORRUPT_COLUMN), text)
-    return F.substring(text, 1, EXAMPLE_CHARS)
+    return text
 
 
 def check(df: DataFrame, rules: Sequence[Rule],
@@ -140,51 +142,77 @@ def check(df: DataFrame, rules: Sequence[Rule],
     """
     example = example or _default_example
     row_rules = [r for r in rules if not r.unique]
-    parts: list[DataFrame] = []
     no_example = F.lit(None).cast("string")
 
-    # counts: fixed-width buffers over every row (codegen'd hash aggregate)
     bads = {i: r.bad(df) for i, r in enumerate(row_rules) if not r.whole_batch}
-    one = df.agg(F.count(F.lit(1)).alias("_total"),
-                 *[F.count_if(b).alias(f"_bad{i}") for i, b in bads.items()])
+    uniques = [r for r in rules if r.unique]
+    one = _counts(df, list(bads.values()), uniques)
     if with_examples and bads:
         # examples: one scalar subquery over the offending rows only
         offending = df.where(reduce(lambda a, b: a | b, bads.values()))
+        shown = {i: example(df) if (n := row_rules[i].example_chars) is None else F.substring(example(df), 1, n) for i in bads}
         examples = offending.agg(F.struct(*[
-            F.min(F.when(b, example(df))).alias(f"_ex{i}") for i, b in bads.items()
+            F.min(F.when(b, shown[i])).alias(f"_ex{i}") for i, b in bads.items()
         ]).alias("_examples"))
         one = one.select("*", examples.scalar().alias("_examples"))
-    if row_rules:
-        rows = []
-        for i, rule in enumerate(row_rules):
-            if rule.whole_batch:
-                bad_rows = F.when(F.col("_total") == 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-                ex = no_example
-            else:
-                bad_rows = F.col(f"_bad{i}").cast("bigint")
-                ex = F.col("_examples").getField(f"_ex{i}") if with_examples else no_example
-            rows.append(F.struct(
-                F.lit(rule.name).alias("rule"), F.lit(rule.column).alias("column"),
-                bad_rows.alias("bad_rows"), F.col("_total").alias("total_rows"),
-                ex.alias("example"),
-            ))
-        parts.append(one.select(F.inline(F.array(*rows))))
-
-    for rule in rules:
-        if not rule.unique:
-            continue
-        counts = df.groupBy(_c(rule.column).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-        dup = F.col("_key").isNotNull() & (F.col("_n") > 1)
-        parts.append(counts.agg(
-            F.lit(rule.name).alias("rule"), F.lit(rule.column).alias("column"),
-            F.coalesce(F.sum(F.when(dup, F.col("_n"))), F.lit(0)).cast("bigint").alias("bad_rows"),
-            F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_rows"),
-            (F.min(F.when(dup, F.col("_key"))).cast("string") if with_examples else no_example)
-            .alias("example"),
-        ))
-    if not parts:
+    position = {i: k for k, i in enumerate(bads)}
+    if not rules:
         raise ValueError("no rules given")
-    return reduce(DataFrame.unionByName, parts)
+    rows = []
+    for i, rule in enumerate(row_rules):
+        if rule.whole_batch:
+            bad_rows = F.when(F.col("_total") == 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+            ex = no_example
+        else:
+            bad_rows = F.col(f"_bad{position[i]}")
+            ex = F.col("_examples").getField(f"_ex{i}") if with_examples else no_example
+        rows.append(_report_row(rule, bad_rows, ex))
+    for j, rule in enumerate(uniques):
+        rows.append(_report_row(rule, F.col(f"_dup{j}"), F.col(f"_key{j}") if with_examples else no_example))
+    return one.select(F.inline(F.array(*rows)))
+
+
+def _report_row(rule: Rule, bad_rows: Column, example: Column) -> Column:
+    return F.struct(
+        F.lit(rule.name).alias("rule"), F.lit(rule.column).alias("column"),
+        bad_rows.alias("bad_rows"), F.col("_total").alias("total_rows"), example.alias("example"))
+
+
+def _counts(df: DataFrame, bads: Sequence[Column], uniques: Sequence[Rule]) -> DataFrame:
+    """One row from one pass: ``_total``, ``_bad<i>`` and, per uniqueness rule,
+    ``_dup<j>`` and ``_key<j>`` (a repeated key as text).
+
+    Without uniqueness rules a plain aggregate. With them every row is
+    exploded into one element for the row rules and one per key; equal
+    elements are combined map-side before the only exchange on keys.
+    """
+    flags = [b.cast("bigint").alias(f"_b{i}") for i, b in enumerate(bads)]
+    if not uniques:
+        return df.select(*flags, F.lit(1).alias("_one")).agg(
+            F.count("_one").alias("_total"),
+            *[F.coalesce(F.sum(f"_b{i}"), F.lit(0)).cast("bigint").alias(f"_bad{i}") for i in range(len(bads))])
+    keys = [_c(r.column).alias(f"_k{j}") for j, r in enumerate(uniques)]
+    flat = df.select(*flags, *keys)
+    kinds = [flat.schema[f"_k{j}"].dataType for j in range(len(uniques))]
+
+    def element(which: int) -> Column:
+        return F.struct(
+            F.lit(which).alias("_r"),
+            *[(F.col(f"_b{i}") if which < 0 else F.lit(0).cast("bigint")).alias(f"_b{i}") for i in range(len(bads))],
+            *[(F.col(f"_k{j}") if which == j else F.lit(None).cast(kinds[j])).alias(f"_k{j}") for j in range(len(uniques))])
+
+    elements = flat.select(F.inline(F.array(element(-1), *[element(j) for j in range(len(uniques))])))
+    grouped = elements.groupBy("_r", *[f"_k{j}" for j in range(len(uniques))]).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(f"_b{i}").alias(f"_b{i}") for i in range(len(bads))])
+
+    def repeated(j: int) -> Column:
+        return (F.col("_r") == j) & F.col(f"_k{j}").isNotNull() & (F.col("_n") > 1)
+
+    return grouped.agg(
+        F.coalesce(F.sum(F.when(F.col("_r") < 0, F.col("_n"))), F.lit(0)).cast("bigint").alias("_total"),
+        *[F.coalesce(F.sum(f"_b{i}"), F.lit(0)).cast("bigint").alias(f"_bad{i}") for i in range(len(bads))],
+        *[F.coalesce(F.sum(F.when(repeated(j), F.col("_n"))), F.lit(0)).cast("bigint").alias(f"_dup{j}") for j in range(len(uniques))],
+        *[F.min(F.when(repeated(j), F.col(f"_k{j}"))).cast("string").alias(f"_key{j}") for j in range(len(uniques))])
 
 
 def check_in_table(df: DataFrame, column: str, domain: DataFrame, domain_column: str | None = None,
@@ -211,23 +239,10 @@ def failures(report_rows: Sequence) -> list:
 
 
 def _fast_counts(df: DataFrame, rules: Sequence[Rule]) -> list[dict]:
-    """Counts only, in ONE action: the row rules as one aggregate with
-    fixed-width buffers (codegen'd hash aggregation), each uniqueness rule as
-    a scalar subquery over a map-side-combined grouped count."""
+    """Counts only, in one action and one pass over the batch."""
     row_rules = [r for r in rules if not r.unique and not r.whole_batch]
-    cols = [F.count(F.lit(1)).alias("_total"),
-            *[F.count_if(r.bad(df)).alias(f"_bad{i}") for i, r in enumerate(row_rules)]]
     uniq = [r for r in rules if r.unique]
-    agg = df.agg(*cols)
-    if uniq:
-        extra = []
-        for j, rule in enumerate(uniq):
-            counts = df.groupBy(_c(rule.column).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-            dup = F.col("_key").isNotNull() & (F.col("_n") > 1)
-            extra.append(counts.agg(F.coalesce(F.sum(F.when(dup, F.col("_n"))), F.lit(0))).scalar()
-                         .alias(f"_dup{j}"))
-        agg = agg.select("*", *extra)
-    row = agg.first()
+    row = _counts(df, [r.bad(df) for r in row_rules], uniq).first()
     total = int(row["_total"])
     out = []
     for rule in rules:
@@ -245,9 +260,8 @@ def enforce(df: DataFrame, rules: Sequence[Rule], source: str = "batch",
             columns: dict[str, str] | None = None) -> int:
     """Eager gate: raise ``DataQualityError`` on any failing rule.
 
-    The common (passing) case costs one counts-only aggregate plus one
-    grouped count per uniqueness rule; examples are computed in a second
-    pass only for the rules that failed. Returns the batch row count.
+    The common (passing) case reads the batch once; examples are computed in
+    a second pass only for the rules that failed. Returns the row count.
     """
     if columns:
         check_columns(df, columns, source)
@@ -301,14 +315,17 @@ _KINDS: dict[str, Callable[[DataType], bool]] = {
 }
 
 
+def column_violations(df: DataFrame, columns: dict[str, str]) -> list[tuple[str, str, str | None]]:
+    """``(column, expected kind, found type)`` of missing (None) and mistyped columns, from the schema alone."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return [(name, kind, types[name].simpleString() if name in types else None)
+            for name, kind in columns.items() if name not in types or not _KINDS[kind](types[name])]
+
+
 def check_columns(df: DataFrame, columns: dict[str, str], source: str = "batch") -> None:
     """Presence and type on the schema alone; extra columns allowed."""
-    problems = []
-    for name, kind in columns.items():
-        if name not in df.columns:
-            problems.append(f"missing column {name}")
-        elif not _KINDS[kind](df.schema[name].dataType):
-            problems.append(f"column {name} is {df.schema[name].dataType.simpleString()}, expected {kind}")
+    problems = [f"missing column {name}" if found is None else f"column {name} is {found}, expected {kind}"
+                for name, kind, found in column_violations(df, columns)]
     if problems:
         raise DataQualityError(f"{source}: " + "; ".join(problems))
 
@@ -323,6 +340,10 @@ class Contract:
         check_columns(df, self.columns, self.name)
         return check(df, self.rules)
 
+    def column_report(self, df: DataFrame) -> DataFrame:
+        """G5 as a table: ``column, expected, found`` (NULL: missing) of every violation."""
+        return df.sparkSession.createDataFrame(column_violations(df, self.columns), "column string, expected string, found string")
+
     def enforce(self, df: DataFrame) -> int:
         return enforce(df, self.rules, self.name, self.columns)
 
@@ -365,7 +386,8 @@ MUNICIPALITY_LANDING_RULES = landing_limits(MUNICIPALITY_LIMITS)
 
 # Gate 1 on raw batches.
 RAW_STATE_RULES = (truthy("id", "sigla", "nome"),)
-RAW_MUNICIPALITY_RULES = (truthy("id", "nome", "microrregiao.mesorregiao.UF.sigla"),)
+RAW_MUNICIPALITY_RULES = (truthy("id", "nome", "microrregiao.mesorregiao.UF.sigla",
+                                 example_chars=MUNICIPALITY_EXAMPLE_CHARS),)
 
 
 def gate_raw_states(df: DataFrame) -> int:

@@ -8,11 +8,12 @@ written files back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from terrapipe.functions.clean import (
     clean_code, clean_title, first_present, flatten, optional_path, to_int,
@@ -22,20 +23,22 @@ from terrapipe.operators.analytics import describe_counts, distinct_count, frequ
 from terrapipe.operators.dedup import dedup
 from terrapipe.operators.hierarchy import dimension, transform_municipalities, transform_states
 from terrapipe.plans import fixtures as fx
-from terrapipe.plans.daily import landing_path, load_all, run_day
+from terrapipe.plans.daily import ingest, landing_path, load_all, run_day, transform_stage
 from terrapipe.schemas import (
     CORRUPT_COLUMN,
     MUNICIPALITY_PROCESSED,
     MUNICIPALITY_RAW,
+    STATE_COMMENT,
+    STATE_PROCESSED,
     STATE_RAW,
     UF_CODES,
 )
-from terrapipe.session import run_dir
+from terrapipe.session import count_files, run_dir
 from terrapipe.sinks.files import preview, write_csv, write_json, write_parquet
-from terrapipe.sinks.landing import landing_duplicates, replace_day, stamp
-from terrapipe.sources.aggregates import aggregate_slice
+from terrapipe.sinks.landing import create_landing, landing_duplicates, read_day, replace_day, stamp
+from terrapipe.sources.aggregates import aggregate_slice, read_facts, write_facts
 from terrapipe.sources.listing import list_municipalities, list_states
-from terrapipe.sources.readers import read_csv, read_json, read_parquet, read_preferred, spread
+from terrapipe.sources.readers import read_csv, read_json, read_parquet, read_preferred
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,6 +122,23 @@ def q_dim_microregions(spark, sf):
     return dimension(municipalities(spark, sf), "microrregiao")
 
 
+def _with_intermediate(spark, sf):
+    """Municipalities from a raw batch that carries the intermediate region too."""
+    return transform_municipalities(fx.raw_municipalities(spark, sf, intermediate=True), sort=False)
+
+
+def q_dim_mesoregions(spark, sf):
+    return dimension(municipalities(spark, sf, sort=False), "mesorregiao")
+
+
+def q_dim_immediate(spark, sf):
+    return dimension(_with_intermediate(spark, sf), "regiao_imediata")
+
+
+def q_dim_intermediate(spark, sf):
+    return dimension(_with_intermediate(spark, sf), "regiao_intermediaria")
+
+
 def q_distinct_states(spark, sf):
     return distinct_count(municipalities(spark, sf), "sigla_uf", "states_with_municipalities")
 
@@ -129,16 +149,25 @@ def q_list_states(spark, sf):
     return list_states(states(spark, sf)).select("id", "sigla", "nome")
 
 
+def _stored_municipalities(spark, sf):
+    """The processed Parquet, as listings read it."""
+    return _materialised(spark, municipalities(spark, sf, sort=False), "listed_municipalities")
+
+
+def q_list_all_municipalities(spark, sf):
+    return list_municipalities(_stored_municipalities(spark, sf)).select("id", "nome", "sigla_uf")
+
+
 def q_list_by_state_id(spark, sf):
-    return list_municipalities(municipalities(spark, sf), LIST_STATE_ID).select("id", "nome")
+    return list_municipalities(_stored_municipalities(spark, sf), LIST_STATE_ID).select("id", "nome")
 
 
 def q_list_by_state_code(spark, sf):
-    return list_municipalities(municipalities(spark, sf), LIST_STATE_CODE).select("id", "nome")
+    return list_municipalities(_stored_municipalities(spark, sf), LIST_STATE_CODE).select("id", "nome")
 
 
 def _slice(spark, sf, period, territory):
-    facts = fx.aggregate_facts(spark, sf)
+    facts = read_facts(spark, write_facts(fx.aggregate_facts(spark, sf), run_dir(spark, "facts")))
     return (aggregate_slice(facts, fx.FACT_TABLE_ID, period, fx.FACT_VARIABLE_ID, territory)
             .select("period", "locality_id", "value"))
 
@@ -155,6 +184,10 @@ def q_agg_slice_last(spark, sf):
     return _slice(spark, sf, "last", "N1[all]")
 
 
+def q_agg_slice_last_one(spark, sf):
+    return _slice(spark, sf, "last", f"N3[{SLICE_STATE}]")
+
+
 def q_preview(spark, sf):
     return preview(states(spark, sf), 10, ["id"])
 
@@ -162,8 +195,7 @@ def q_preview(spark, sf):
 # --- scans and sinks -----------------------------------------------------
 
 def q_parquet_scan(spark, sf):
-    return (read_parquet(spark, f"{sf.rstrip('/')}/supplier.parquet")
-            .where(F.col("s_nationkey") == 3).select("s_suppkey", "s_name"))
+    return read_parquet(spark, f"{sf.rstrip('/')}/supplier.parquet")
 
 
 def q_parquet_roundtrip(spark, sf):
@@ -172,16 +204,27 @@ def q_parquet_roundtrip(spark, sf):
 
 
 def q_csv_scan(spark, sf):
-    customers = fx.table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
-    path = write_csv(customers, run_dir(spark, "customer_csv"))
-    back = read_csv(spark, path)
-    return back.select(F.col("c_custkey").cast("bigint"), F.col("c_name").cast("string"),
-                       F.col("c_nationkey").cast("int"))
+    """Types as inferred from every line: the keys fit 32 bits."""
+    path = write_csv(fx.table(spark, sf, "customer"), run_dir(spark, "customer_csv"))
+    return read_csv(spark, path)
 
 
 def q_csv_roundtrip(spark, sf):
-    path = write_csv(municipalities(spark, sf), run_dir(spark, "municipalities_csv"))
-    return read_csv(spark, path, schema=MUNICIPALITY_PROCESSED)
+    path = write_csv(municipalities(spark, sf, sort=False), run_dir(spark, "municipalities_csv"))
+    return read_csv(spark, path, schema=MUNICIPALITY_PROCESSED).withColumnRenamed(CORRUPT_COLUMN, "corrupt")
+
+
+def q_csv_misfits(spark, sf):
+    """Lines whose key is no number or that have a field too many carry themselves."""
+    key, name = F.col("c_custkey").cast("string"), F.col("c_name")
+    lines = fx.table(spark, sf, "customer").select(
+        F.when(F.col("c_custkey") % 7 == 0, F.concat(F.lit("no "), key, F.lit(";"), name))
+         .when(F.col("c_custkey") % 11 == 0, F.concat(key, F.lit(";"), name, F.lit(";surplus")))
+         .otherwise(F.concat(key, F.lit(";"), name)).alias("value"))
+    path = run_dir(spark, "misfits_csv")
+    lines.write.text(path)
+    schema = StructType([StructField("key", LongType()), StructField("name", StringType())])
+    return read_csv(spark, path, header=False, schema=schema).withColumnRenamed(CORRUPT_COLUMN, "corrupt")
 
 
 def q_json_scan(spark, sf):
@@ -215,9 +258,18 @@ def q_fallback_scan(spark, sf):
 
 # --- landing -------------------------------------------------------------
 
+def _landed(df: DataFrame) -> DataFrame:
+    """Landed rows with the load time without its zone, as the oracle has it."""
+    return df.withColumn("loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
+
+
 def q_stamp_day(spark, sf):
-    stamped = stamp(municipalities(spark, sf), LOAD_TS)
-    return stamped.where(F.col("load_date") == F.lit(LOAD_DAY).cast("date")).select("id", "load_date")
+    """Two days written, one read back from its own folder."""
+    target = run_dir(spark, "stamped")
+    batch = municipalities(spark, sf, sort=False).select("id", "nome")
+    for ts in (LOAD_TS, LOAD_TS_DAY2):
+        stamp(batch, ts).write.mode("append").partitionBy("load_date").parquet(target)
+    return _landed(read_day(spark, target, LOAD_DAY))
 
 
 def _changed_batch(muni: DataFrame) -> DataFrame:
@@ -255,14 +307,14 @@ def q_load_counts(spark, sf):
                      "municipalities": _materialised(spark, municipalities(spark, sf, sort=False),
                                                      "processed_municipalities")},
              base, LOAD_TS)
-    return _landing_counts(spark, base)
+    return _landing_rows(spark, base)
 
 
-def _landing_counts(spark, base):
-    parts = [read_parquet(spark, landing_path(base, name))
-             .where(F.col("load_date") == F.lit(LOAD_DAY).cast("date"))
-             .agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("rows"))
-             for name in ("states", "municipalities")]
+def _landing_rows(spark, base):
+    """The day's landed rows of both tables: id, name, state code and load time."""
+    parts = [_landed(read_day(spark, landing_path(base, name), LOAD_DAY)).select(
+                 F.lit(name).alias("dataset"), "id", "nome", F.col(code).alias("code"), "load_date", "loaded_at")
+             for name, code in (("states", "sigla"), ("municipalities", "sigla_uf"))]
     return parts[0].unionByName(parts[1])
 
 
@@ -270,7 +322,97 @@ def q_daily_run(spark, sf):
     base = run_dir(spark, "daily")
     for _ in range(2):
         run_day(spark, fx.raw_states(spark, sf), fx.raw_municipalities(spark, sf), base, LOAD_TS)
-    return _landing_counts(spark, base)
+    return _landing_rows(spark, base)
+
+
+def q_landing_ddl(spark, sf):
+    """A landing table made by DDL, loaded through the catalogue by column name, read back."""
+    table = f"terrapipe_landing.states_{uuid.uuid4().hex}"
+    create_landing(spark, table, STATE_PROCESSED, STATE_COMMENT, run_dir(spark, "landing_ddl"))
+    batch = _materialised(spark, states(spark, sf, sort=False), "ddl_states")
+    swapped = batch.select(*reversed(batch.columns))
+    replace_day(swapped, table, LOAD_TS, Q.STATES_CONTRACT, Q.STATE_LANDING_RULES, as_table=True)
+    return _landed(spark.table(table))
+
+
+def q_reject_keeps_day(spark, sf):
+    """A batch with repeated ids is refused; the day keeps the rows of the good load."""
+    target = run_dir(spark, "landing_reject")
+    good = _materialised(spark, municipalities(spark, sf, sort=False), "good_municipalities")
+    replace_day(good, target, LOAD_TS, Q.MUNICIPALITIES_CONTRACT, Q.MUNICIPALITY_LANDING_RULES)
+    bad = _materialised(spark, faulted_municipalities(spark, sf), "bad_municipalities")
+    refused = _refused(lambda: replace_day(bad, target, LOAD_TS, Q.MUNICIPALITIES_CONTRACT, Q.MUNICIPALITY_LANDING_RULES))
+    return _landed(read_day(spark, target, LOAD_DAY)).select("id", "nome", "sigla_uf", "loaded_at", F.lit(refused).alias("refused"))
+
+
+def _refused(load: Callable[[], object]) -> bool:
+    try:
+        load()
+    except Q.DataQualityError:
+        return True
+    return False
+
+
+def q_unregistered_load(spark, sf):
+    """A table without a contract is loaded as it is, faults and repeated ids included."""
+    base = run_dir(spark, "landing_unregistered")
+    load_all(spark, {"drafts": _materialised(spark, faulted_municipalities(spark, sf), "drafts")}, base, LOAD_TS)
+    return read_day(spark, landing_path(base, "drafts"), LOAD_DAY).select("id", "nome", "sigla_uf", "load_date")
+
+
+def q_column_contract(spark, sf):
+    """A processed table with a text id and without the state code, against the contract."""
+    batch = _materialised(spark, municipalities(spark, sf, sort=False).withColumn("id", F.col("id").cast("string")).drop("sigla_uf"), "mistyped")
+    return Q.MUNICIPALITIES_CONTRACT.column_report(batch).withColumn("rows", batch.select(F.count(F.lit(1))).scalar())
+
+
+# --- stages ----------------------------------------------------------------
+
+def q_ingest_land(spark, sf):
+    """Gate 1, then the raw batch as landed."""
+    path = ingest(fx.raw_states(spark, sf), "states", run_dir(spark, "ingest"))
+    return flatten(read_json(spark, path, STATE_RAW).drop(CORRUPT_COLUMN))
+
+
+def q_ingest_rejected(spark, sf):
+    """Batches with bad rows: refused by either way of ingesting, no file left."""
+    rows = []
+    for dataset, raw in (("states", fx.raw_states(spark, sf, faults=True)),
+                         ("municipalities", fx.raw_municipalities(spark, sf, faults=True))):
+        for single_pass in (False, True):
+            base = run_dir(spark, "ingest_rejected")
+            refused = _refused(lambda raw=raw, dataset=dataset, base=base, once=single_pass: ingest(raw, dataset, base, once))
+            rows.append((dataset, single_pass, refused, count_files(spark, base)))
+    return spark.createDataFrame(rows, "dataset string, single_pass boolean, refused boolean, files_left long")
+
+
+def _staged(spark, sf):
+    """The transform stage over landed states and a municipality input that does not exist."""
+    raw = ingest(fx.raw_states(spark, sf), "states", run_dir(spark, "stage_raw"))
+    return transform_stage(spark, {"states": raw, "municipalities": run_dir(spark, "stage_missing")}, run_dir(spark, "stage"))
+
+
+def q_transform_stage(spark, sf):
+    """The stage's CSV export, read back."""
+    return read_csv(spark, _staged(spark, sf)["states"]["csv"], schema=STATE_PROCESSED).drop(CORRUPT_COLUMN)
+
+
+def q_optional_dataset(spark, sf):
+    """Rows that the stage produced by dataset; the missing input is skipped, not an error."""
+    result = _staged(spark, sf)
+    counts = [read_parquet(spark, entry["path"]).agg(F.lit(name).alias("dataset"), F.lit(False).alias("skipped"), F.count(F.lit(1)).alias("rows"))
+              if not entry["skipped"] else spark.range(1).select(F.lit(name).alias("dataset"), F.lit(True).alias("skipped"), F.lit(0).cast("long").alias("rows"))
+              for name, entry in result.items()]
+    return counts[0].unionByName(counts[1])
+
+
+def q_order_proof(spark, sf):
+    """O1 as written: each row's place, by part file and row within it, next to its values."""
+    path = write_parquet(municipalities(spark, sf), run_dir(spark, "ordered"))
+    rows = read_parquet(spark, path).select("nome", "id", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    counts = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    before = counts.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))  # a row per part file
+    return rows.join(before, "file").select("id", "nome", (F.col("before") + F.col("row") + 1).alias("place"))
 
 
 # --- projections and scalar functions ------------------------------------
@@ -328,13 +470,13 @@ def q_flatten_struct(spark, sf):
 
 
 def q_first_present(spark, sf):
-    muni = municipalities(spark, sf).withColumnRenamed("sigla_uf", "sigla")
+    muni = municipalities(spark, sf, sort=False).withColumnRenamed("sigla_uf", "sigla")
     chosen = first_present(muni, ["sigla_uf", "sigla"])
     return muni.select("id", F.col(chosen).alias("uf"))
 
 
 def q_dedup(spark, sf):
-    li = spread(fx.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    li = fx.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return dedup(li, "l_orderkey")
 
 
@@ -355,6 +497,10 @@ def q_gate_report(spark, sf):
                            list(Q.RAW_MUNICIPALITY_RULES)), example=True)
 
 
+def q_gate_report_states(spark, sf):
+    return _report(Q.check(fx.raw_states(spark, sf, faults=True), list(Q.RAW_STATE_RULES)), example=True)
+
+
 def q_dq_positive(spark, sf):
     return _report(Q.check(faulted_municipalities(spark, sf), [Q.positive("id")]), example=True)
 

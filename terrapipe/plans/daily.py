@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from terrapipe.operators import quality as Q
 from terrapipe.operators.hierarchy import transform_municipalities, transform_states
 from terrapipe.schemas import MUNICIPALITY_RAW, STATE_RAW
+from terrapipe.session import delete_path
 from terrapipe.sinks.files import preview, publish, write_csv, write_json, write_parquet
 from terrapipe.sinks.landing import replace_day
-from terrapipe.sources.readers import read_json, read_parquet, try_read
+from terrapipe.sources.readers import read_if_present, read_json, read_parquet
 
 # Dataset registry: raw schema, raw gate rules, transform, contract key and
 # landing limits. The load order is fixed: municipalities, then states.
@@ -40,14 +41,17 @@ def landing_path(base: str, dataset: str) -> str:
 def ingest(df: DataFrame, dataset: str, raw_base: str, single_pass: bool = False) -> str:
     """Gate 1 on a raw batch, land it as JSON Lines, return the path.
 
-    By default the gate runs before anything is written. ``single_pass``
-    gates while writing (one read of the input instead of two); a rejected
-    batch then leaves only an unpublished run directory, since its path is
-    never returned."""
+    The gate runs before anything is written. ``single_pass`` gates while
+    writing (one read of the input instead of two) and deletes the run
+    directory of a batch that is rejected or fails."""
     _, rules, _, _, _ = DATASETS[dataset]
     path = f"{raw_base.rstrip('/')}/{dataset}/run={_run_id()}"
     if single_pass:
-        Q.enforce_while_writing(df, rules, lambda checked: write_json(checked, path), f"raw {dataset}")
+        try:
+            Q.enforce_while_writing(df, rules, lambda checked: write_json(checked, path), f"raw {dataset}")
+        except Exception:
+            delete_path(df.sparkSession, path)
+            raise
         return path
     Q.enforce(df, rules, f"raw {dataset}")
     return write_json(df, path)
@@ -55,22 +59,23 @@ def ingest(df: DataFrame, dataset: str, raw_base: str, single_pass: bool = False
 
 def transform_stage(spark: SparkSession, raw_paths: dict[str, str | None], out_base: str,
                     export_csv: bool = True, preview_rows: int = 0,
-                    tables: dict[str, str] | None = None) -> dict[str, dict]:
+                    tables: dict[str, str] | None = None, sort: bool = True) -> dict[str, dict]:
     """For each dataset whose raw input exists, read (explicit schema),
     transform, write Parquet once; CSV export and preview read that Parquet
     back instead of recomputing from the raw input. Missing inputs are
     reported as skipped (S5). With ``tables``, each finished run directory
     is then published as that catalog table (readers switch only after the
-    write succeeded)."""
+    write succeeded). ``sort=False`` leaves out the output order (O1) where
+    only a load follows."""
     result: dict[str, dict] = {}
     for dataset, path in raw_paths.items():
         schema, _, transform, _, _ = DATASETS[dataset]
-        raw = try_read(lambda: read_json(spark, path, schema)) if path else None
+        raw = read_if_present(spark, path, lambda path=path, schema=schema: read_json(spark, path, schema)) if path else None
         if raw is None:
             result[dataset] = {"skipped": True, "path": None}
             continue
         run = f"{out_base.rstrip('/')}/{dataset}/run={_run_id()}"
-        parquet = write_parquet(transform(raw), f"{run}/parquet")
+        parquet = write_parquet(transform(raw, sort=sort), f"{run}/parquet")
         entry = {"skipped": False, "path": parquet}
         if export_csv:
             entry["csv"] = write_csv(read_parquet(spark, parquet), f"{run}/csv")
@@ -100,17 +105,16 @@ def load_all(spark: SparkSession, datasets: dict[str, DataFrame], base: str,
 
 def run_day(spark: SparkSession, raw_states: DataFrame | None, raw_municipalities: DataFrame | None,
             base: str, load_ts: dt.datetime | str | None = None, export_csv: bool = False,
-            single_pass_ingest: bool = True) -> dict[str, int]:
+            single_pass_ingest: bool = False) -> dict[str, int]:
     """Collect -> transform -> load for one day, stopping at the first
     failure. Rerun-safe: the load replaces the day instead of appending.
     Only datasets produced by this run are loaded (D9). Raw batches are
-    gated while they are landed (one pass), since their run directories are
-    private to this run."""
+    gated before they are landed; a rejected one leaves nothing behind."""
     base = base.rstrip("/")
     raw_paths: dict[str, str | None] = {}
     for dataset, df in (("municipalities", raw_municipalities), ("states", raw_states)):
         raw_paths[dataset] = (ingest(df, dataset, f"{base}/raw", single_pass_ingest)
                               if df is not None else None)
-    staged = transform_stage(spark, raw_paths, f"{base}/processed", export_csv=export_csv)
+    staged = transform_stage(spark, raw_paths, f"{base}/processed", export_csv=export_csv, sort=export_csv)
     produced = {d: read_parquet(spark, s["path"]) for d, s in staged.items() if not s["skipped"]}
     return load_all(spark, produced, base, load_ts)

@@ -51,12 +51,14 @@ def raw_states_cte(faults: bool, name: str = "s_raw") -> str:
   SELECT {sid} AS id, {sig} AS sigla, {nom} AS nome, {REGION} AS regiao FROM grain)"""
 
 
-def raw_municipalities_cte(faults: bool, name: str = "m_raw") -> str:
+def raw_municipalities_cte(faults: bool, name: str = "m_raw", intermediate: bool = False) -> str:
     mid = "o_orderkey + 1"
     suffix = "lower(CASE WHEN copy = 2 THEN o_orderstatus ELSE o_orderpriority END)"
     nom = f"'  ' || lower(c_name) || ' ' || {suffix}"
     uf_code = f"lower({CODES}[n_nationkey + 1])"
     micro_null = "FALSE"
+    inter = (""",
+    struct_pack(id := inter_id, nome := 'intermediaria ' || CAST(inter_id AS VARCHAR)) AS "regiao-intermediaria\"""" if intermediate else "")
     if faults:
         mid = f"CASE WHEN o_orderkey % {MF['zero_id']} = 0 THEN 0 ELSE {mid} END"
         nom = (f"CASE WHEN o_orderkey % {MF['blank_name']} = 0 THEN '  ' "
@@ -73,6 +75,7 @@ def raw_municipalities_cte(faults: bool, name: str = "m_raw") -> str:
          (n_nationkey + 1) * 10 + o_custkey % 5 AS meso_id,
          ((n_nationkey + 1) * 10 + o_custkey % 5) * 10 + o_custkey % 3 AS micro_id,
          CAST((n_nationkey + 1) * 100 + o_custkey % 7 AS BIGINT) AS imm_id,
+         CAST((n_nationkey + 1) * 1000 + o_custkey % 4 AS BIGINT) AS inter_id,
          r_regionkey, r_name
   FROM {name}_copies),
 {name} AS (
@@ -83,7 +86,7 @@ def raw_municipalities_cte(faults: bool, name: str = "m_raw") -> str:
         id := CAST(meso_id AS BIGINT), nome := 'meso ' || CAST(meso_id AS VARCHAR),
         UF := struct_pack(id := uf_id, sigla := uf_sigla, nome := uf_nome, regiao := {REGION})))
     END AS microrregiao,
-    struct_pack(id := imm_id, nome := ' imediata ' || CAST(imm_id AS VARCHAR)) AS "regiao-imediata"
+    struct_pack(id := imm_id, nome := ' imediata ' || CAST(imm_id AS VARCHAR)) AS "regiao-imediata"{inter}
   FROM {name}_leaf)"""
 
 
@@ -98,7 +101,10 @@ def transform_states_cte(src: str, name: str, dedup: bool) -> str:
     return f"{name} AS (\n  {body})"
 
 
-def transform_municipalities_cte(src: str, name: str, dedup: bool) -> str:
+def transform_municipalities_cte(src: str, name: str, dedup: bool, intermediate: bool = False) -> str:
+    inter_id, inter_nome = "CAST(NULL AS INTEGER)", "CAST(NULL AS VARCHAR)"
+    if intermediate:
+        inter_id, inter_nome = 'TRY_CAST("regiao-intermediaria".id AS INTEGER)', initcap('"regiao-intermediaria".nome')
     uf = "microrregiao.mesorregiao.UF"
     body = f"""SELECT TRY_CAST(id AS INTEGER) AS id, {initcap('nome')} AS nome,
          {code(uf + '.sigla')} AS sigla_uf, TRY_CAST({uf}.id AS INTEGER) AS uf_id,
@@ -111,8 +117,8 @@ def transform_municipalities_cte(src: str, name: str, dedup: bool) -> str:
          {initcap('microrregiao.nome')} AS microrregiao_nome,
          TRY_CAST("regiao-imediata".id AS INTEGER) AS regiao_imediata_id,
          {initcap('"regiao-imediata".nome')} AS regiao_imediata_nome,
-         CAST(NULL AS INTEGER) AS regiao_intermediaria_id,
-         CAST(NULL AS VARCHAR) AS regiao_intermediaria_nome
+         {inter_id} AS regiao_intermediaria_id,
+         {inter_nome} AS regiao_intermediaria_nome
   FROM {src}"""
     if dedup:
         order = ", ".join(f"{c} NULLS FIRST" for c in MUNICIPALITY_COLUMNS[1:])
@@ -149,9 +155,14 @@ FAULT_MT = with_(GRAIN, raw_municipalities_cte(True, "m_raw"),
                  transform_municipalities_cte("m_raw", "m_t", False))
 
 
-def json_row(columns) -> str:
+INTERMEDIATE = with_(GRAIN, raw_municipalities_cte(False, intermediate=True),
+                     transform_municipalities_cte("m_raw", "m_d", True, intermediate=True))
+
+
+def json_row(columns, chars: int | None = None) -> str:
     fields = ", ".join(f'"{c}" := "{c}"' for c in columns)
-    return f"substr(to_json(struct_pack({fields})), 1, 200)"
+    row = f"CAST(to_json(struct_pack({fields})) AS VARCHAR)"
+    return row if chars is None else f"substr({row}, 1, {chars})"
 
 
 def row_rule(rule: str, column: str, bad: str, example: str | None = None) -> str:
@@ -208,8 +219,17 @@ def _contract_municipalities() -> list[str]:
 
 
 SLICE = f"FROM facts WHERE table_id = {fx.FACT_TABLE_ID} AND variable_id = {fx.FACT_VARIABLE_ID}"
-COUNTS = """SELECT 'states' AS dataset, count(*) AS "rows" FROM s_d
-UNION ALL SELECT 'municipalities' AS dataset, count(*) AS "rows" FROM m_d"""
+LOADED = f"DATE '{C.LOAD_DAY}' AS load_date, '{C.LOAD_TS}' AS loaded_at"
+LANDED = f"""SELECT 'states' AS dataset, id, nome, sigla AS code, {LOADED} FROM s_d
+UNION ALL SELECT 'municipalities', id, nome, sigla_uf, {LOADED} FROM m_d"""
+
+
+def dim(head: str, key: str, *attributes: str) -> str:
+    order = ", ".join(f"{a} NULLS FIRST" for a in attributes)
+    return head + f"""SELECT {key}, {", ".join(attributes)} FROM m_d WHERE {key} IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {order}) = 1"""
+
+
 TOP = ("SELECT sigla_uf, count(*) AS count FROM m_d WHERE sigla_uf IS NOT NULL "
        "GROUP BY sigla_uf ORDER BY count DESC, sigla_uf LIMIT 10")
 M_COLS = list(MUNICIPALITY_COLUMNS)
@@ -248,10 +268,33 @@ QUALIFY row_number() OVER (PARTITION BY microrregiao_id
     "agg_slice_last": with_(FACTS) + f"""SELECT period, locality_id, value {SLICE} AND level = 'N1'
   AND period = (SELECT max(period) {SLICE} AND level = 'N1')""",
     "preview": STATES + "SELECT * FROM s_d ORDER BY id LIMIT 10",
-    "parquet_scan": "SELECT s_suppkey, s_name FROM supplier WHERE s_nationkey = 3",
+    "parquet_scan": "SELECT * FROM supplier",
     "parquet_roundtrip": STATES + "SELECT * FROM s_d",
-    "csv_scan": "SELECT c_custkey, c_name, c_nationkey FROM customer",
-    "csv_roundtrip": MUNIS + "SELECT * FROM m_d",
+    "csv_scan": "SELECT * REPLACE (CAST(c_custkey AS INTEGER) AS c_custkey) FROM customer",
+    "csv_roundtrip": MUNIS + "SELECT *, CAST(NULL AS VARCHAR) AS corrupt FROM m_d",
+    "csv_misfits": """SELECT CASE WHEN c_custkey % 7 <> 0 THEN c_custkey END AS key, c_name AS name,
+  CASE WHEN c_custkey % 7 = 0 THEN 'no ' || c_custkey || ';' || c_name
+       WHEN c_custkey % 11 = 0 THEN c_custkey || ';' || c_name || ';surplus' END AS corrupt FROM customer""",
+    "dim_mesoregions": dim(MUNIS, "mesorregiao_id", "mesorregiao_nome", "uf_id"),
+    "dim_immediate": dim(INTERMEDIATE, "regiao_imediata_id", "regiao_imediata_nome", "uf_id"),
+    "dim_intermediate": dim(INTERMEDIATE, "regiao_intermediaria_id", "regiao_intermediaria_nome", "uf_id"),
+    "list_all_municipalities": MUNIS + "SELECT id, nome, sigla_uf FROM m_d",
+    "agg_slice_last_one": with_(FACTS) + f"""SELECT period, locality_id, value {SLICE} AND level = 'N3' AND locality_id = {C.SLICE_STATE}
+  AND period = (SELECT max(period) {SLICE} AND level = 'N3' AND locality_id = {C.SLICE_STATE})""",
+    "landing_ddl": STATES + f"SELECT *, {LOADED} FROM s_d",
+    "reject_keeps_day": MUNIS + f"SELECT id, nome, sigla_uf, '{C.LOAD_TS}' AS loaded_at, TRUE AS refused FROM m_d",
+    "unregistered_load": FAULT_MT + f"SELECT id, nome, sigla_uf, DATE '{C.LOAD_DAY}' AS load_date FROM m_t",
+    "column_contract": MUNIS + """SELECT v.*, (SELECT count(*) FROM m_d) AS "rows"
+FROM (VALUES ('id', 'int', 'string'), ('sigla_uf', 'str', NULL)) v("column", expected, found)""",
+    "ingest_land": RAW_S + """SELECT id, sigla, nome, regiao.id AS "regiao.id", regiao.sigla AS "regiao.sigla",
+  regiao.nome AS "regiao.nome" FROM s_raw""",
+    "ingest_rejected": FAULT_S + f"""SELECT dataset, single_pass,
+  (SELECT count(*) FROM s_raw WHERE {RAW_S_TRUTHY}) > 0 AS refused, CAST(0 AS BIGINT) AS files_left
+FROM (VALUES ('states'), ('municipalities')) d(dataset), (VALUES (FALSE), (TRUE)) p(single_pass)""",
+    "transform_stage": STATES + "SELECT * FROM s_d",
+    "optional_dataset": STATES + """SELECT 'states' AS dataset, FALSE AS skipped, count(*) AS "rows" FROM s_d
+UNION ALL SELECT 'municipalities', TRUE, 0""",
+    "order_proof": MUNIS + "SELECT id, nome, row_number() OVER (ORDER BY nome NULLS FIRST, id NULLS FIRST) AS place FROM m_d",
     "json_scan": RAW_M + """SELECT id, nome, microrregiao.id AS microrregiao_id,
   microrregiao.mesorregiao.UF.sigla AS uf_sigla, microrregiao.mesorregiao.UF.regiao.nome AS regiao_nome,
   "regiao-imediata".id AS imediata_id, CAST(NULL AS BIGINT) AS intermediaria_id,
@@ -260,14 +303,14 @@ QUALIFY row_number() OVER (PARTITION BY microrregiao_id
   regiao.nome AS "regiao.nome" FROM s_raw""",
     "fallback_scan": RAW_M + """SELECT id, microrregiao.mesorregiao.UF.sigla AS sigla_uf,
   microrregiao.mesorregiao.UF.regiao.nome AS regiao_nome FROM m_raw""",
-    "stamp_day": MUNIS + f"SELECT id, DATE '{C.LOAD_DAY}' AS load_date FROM m_d",
+    "stamp_day": MUNIS + f"SELECT id, nome, {LOADED} FROM m_d",
     "replace_day": MUNIS + f"""SELECT id, nome, sigla_uf, DATE '{C.LOAD_DAY}' AS load_date FROM m_d
 UNION ALL
 SELECT id, upper(nome) AS nome, sigla_uf, DATE '2024-01-02' AS load_date FROM m_d WHERE sigla_uf <> '{C.CHANGED_STATE}'""",
     "landing_dupes": with_(GRAIN, raw_municipalities_cte(False), transform_municipalities_cte("m_raw", "m_t", False))
     + f"""SELECT id, DATE '{C.LOAD_DAY}' AS load_date, count(*) AS count FROM m_t GROUP BY id HAVING count(*) > 1""",
-    "load_counts": BOTH + COUNTS,
-    "daily_run": BOTH + COUNTS,
+    "load_counts": BOTH + LANDED,
+    "daily_run": BOTH + LANDED,
     "cast_ids": """SELECT c_custkey, TRY_CAST(substr(c_name, 10, 20) AS INTEGER) AS from_name,
   TRY_CAST(' ' || CAST(c_custkey AS VARCHAR) || ' ' AS INTEGER) AS padded,
   TRY_CAST(c_mktsegment AS INTEGER) AS from_text,
@@ -318,7 +361,9 @@ ORACLE_SQL.update({
         non_empty_rule(),
         row_rule("truthy", "id,nome,microrregiao.mesorregiao.UF.sigla", RAW_M_TRUTHY)], False),
     "gate_report": _union(FAULT_M, "m_raw", [
-        row_rule("truthy", "id,nome,microrregiao.mesorregiao.UF.sigla", RAW_M_TRUTHY, json_row(RAW_M_COLUMNS))], True),
+        row_rule("truthy", "id,nome,microrregiao.mesorregiao.UF.sigla", RAW_M_TRUTHY, json_row(RAW_M_COLUMNS, 200))], True),
+    "gate_report_states": _union(FAULT_S, "s_raw", [
+        row_rule("truthy", "id,sigla,nome", RAW_S_TRUTHY, json_row(["id", "sigla", "nome", "regiao"]))], True),
     "dq_positive": _union(FAULT_MT, "m_t", [row_rule("gt_0", "id", positive("id"), json_row(M_COLS))], True),
     "dq_unique": _union(FAULT_MT, "m_t", [unique_rule("id")], True),
     "dq_not_null": _union(FAULT_MT, "m_t", [row_rule("not_null", "sigla_uf", not_null("sigla_uf"))], False),

@@ -27,6 +27,7 @@ def _id_name(*extra: StructField) -> list[StructField]:
     return [StructField("id", LongType()), StructField("nome", StringType()), *extra]
 
 
+# The raw structs, field by field.
 REGION_RAW = StructType([
     StructField("id", LongType()),
     StructField("sigla", StringType()),
@@ -59,6 +60,7 @@ def with_corrupt_column(schema: StructType) -> StructType:
     return StructType([*schema.fields, StructField(CORRUPT_COLUMN, StringType())])
 
 
+# The columns of the processed tables.
 STATE_COLUMNS = ("id", "sigla", "nome", "regiao_id", "regiao_sigla", "regiao_nome")
 
 MUNICIPALITY_COLUMNS = (

@@ -2,8 +2,8 @@
 
 No master is hard-coded: the cluster manager decides. Scratch output
 (round trips, run directories) always goes below the shared folder the
-cluster names in ``spark.checkpoint.dir``; only when that is unset (a
-laptop or a test) do we pick a local folder and register it.
+cluster names in ``spark.checkpoint.dir``; only a local master (a laptop or
+a test) gets a local folder when that is unset.
 """
 
 from __future__ import annotations
@@ -38,16 +38,51 @@ def get_session(app_name: str = "terrapipe", master: str | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; registered locally only when unset."""
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Only a local master, whose tasks all run on this machine, gets a folder of
+    its own when none is named; on a cluster that is an error, since executors
+    would each write to a disk that the others do not see.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="terrapipe-ckpt-")
-        sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir() or current
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="terrapipe-ckpt-"))
+        current = sc.getCheckpointDir()
     return current.rstrip("/")
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused directory below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/terrapipe/{name}/run={uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file, a folder or (for a pattern) any match exists, asked of the path's own file system."""
+    file_system, target = _file_system(spark, path)
+    found = file_system.globStatus(target)
+    return found is not None and len(found) > 0
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    file_system, target = _file_system(spark, path)
+    file_system.delete(target, True)
+
+
+def count_files(spark: SparkSession, path: str) -> int:
+    """Files below ``path``; 0 when it does not exist."""
+    file_system, target = _file_system(spark, path)
+    if not file_system.exists(target):
+        return 0
+    files, n = file_system.listFiles(target, True), 0
+    while files.hasNext():
+        files.next()
+        n += 1
+    return n

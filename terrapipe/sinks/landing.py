@@ -11,6 +11,7 @@ and only renamed in at commit).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,7 +58,10 @@ def replace_day(df: DataFrame, target: str, load_ts: dt.datetime | str | None =
     """Gate, then replace the batch's day slice of ``target``.
 
     ``target`` is a directory (default) or, with ``as_table``, a catalog
-    table whose columns are matched by position, partition key last.
+    table, whose columns are taken from the batch by name (a missing one is
+    an error). Gate and write each read ``df``: pass a stored batch, as the
+    daily job and the stream do, so that what is checked is what is written.
+    A table without a contract is only refused when empty.
     Returns the number of rows loaded.
     """
     if contract is not None:
@@ -66,7 +70,10 @@ def replace_day(df: DataFrame, target: str, load_ts: dt.datetime | str | None =
         rows = enforce(df, tuple(limits), target)
     stamped = stamp(df, load_ts)
     if as_table:
-        (stamped.write.option("partitionOverwriteMode", "dynamic")
+        columns = df.sparkSession.table(target).columns
+        if missing := [c for c in columns if c not in stamped.columns]:
+            raise ValueError(f"{target}: the batch has no column {', '.join(missing)}")
+        (stamped.select(*[F.col(f"`{c}`") for c in columns]).write.option("partitionOverwriteMode", "dynamic")
                 .insertInto(target, overwrite=True))
     else:
         (stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -91,8 +98,11 @@ def replace_day_jdbc(spark: SparkSession, df: DataFrame, url: str, table: str,
     """The same replace-day into a relational table.
 
     The batch is gated, then written in parallel by the executors into a
-    staging table; one transaction on the driver deletes the day and
-    inserts from staging, so readers see either the old or the new day.
+    staging table of this run; one transaction on the driver compares its row
+    count with the gate's (a re-run task may have written rows twice), deletes
+    the day and inserts from staging, so readers see either the old or the new
+    day. The staging table is dropped in any case. Not exercised here: it needs
+    a relational database.
     """
     props = dict(properties or {})
     if contract is not None:
@@ -102,7 +112,7 @@ def replace_day_jdbc(spark: SparkSession, df: DataFrame, url: str, table: str,
     if load_ts is None:  # pin "now" once, so the rows and the deleted day agree
         load_ts = spark.range(1).select(
             F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
-    staging = f"{table}_staging"
+    staging = f"{table}_staging_{uuid.uuid4().hex}"
     stamped = stamp(df, load_ts)
     stamped.write.jdbc(url, staging, mode="overwrite", properties=props)
     day = spark.range(1).select(F.to_date(_ts(load_ts))).first()[0]  # evaluates the literal only
@@ -112,6 +122,10 @@ def replace_day_jdbc(spark: SparkSession, df: DataFrame, url: str, table: str,
     try:
         conn.setAutoCommit(False)
         stmt = conn.createStatement()
+        found = stmt.executeQuery(f"SELECT count(*) FROM {staging}")
+        found.next()
+        if found.getLong(1) != rows:
+            raise RuntimeError(f"{staging} holds {found.getLong(1)} rows, the gate counted {rows}")
         stmt.executeUpdate(f"DELETE FROM {table} WHERE \"{LOAD_DAY_COLUMN}\" = DATE '{day}'")
         stmt.executeUpdate(f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging}")
         conn.commit()
@@ -119,5 +133,7 @@ def replace_day_jdbc(spark: SparkSession, df: DataFrame, url: str, table: str,
         conn.rollback()
         raise
     finally:
+        conn.createStatement().executeUpdate(f"DROP TABLE {staging}")
+        conn.commit()
         conn.close()
     return rows

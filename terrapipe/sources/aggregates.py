@@ -3,17 +3,21 @@
 The series is a fact table ``table_id, period, variable_id, level,
 locality_id, value``. A territorial filter is ``N<level>[all]`` or
 ``N<level>[<id>]``. Period ``"last"`` means the greatest period present in
-that table + variable + territory slice, evaluated as a scalar subquery.
+that table + variable + territory slice, evaluated as a scalar subquery;
+periods compare as text, as the codes of one series have one length
+(``yyyy``, ``yyyymm``).
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FACT_COLUMNS = ("table_id", "period", "variable_id", "level", "locality_id", "value")
+#: The series is stored once, one folder per table, variable, level and period.
+FACT_PARTITIONS = ("table_id", "variable_id", "level", "period")
+FACT_SCHEMA = "locality_id int, value double, table_id int, variable_id int, level string, period string"
 _TERRITORY = re.compile(r"^N(\d+)\[(all|\d+)\]$")
 
 
@@ -25,6 +29,16 @@ def parse_territory(territory: str) -> tuple[str, int | None]:
     return f"N{level}", None if which == "all" else int(which)
 
 
+def write_facts(facts: DataFrame, path: str) -> str:
+    facts.write.mode("overwrite").partitionBy(*FACT_PARTITIONS).parquet(path)
+    return path
+
+
+def read_facts(spark: SparkSession, path: str) -> DataFrame:
+    """The stored series; a slice's predicates prune its folders."""
+    return spark.read.schema(FACT_SCHEMA).parquet(path)
+
+
 def aggregate_slice(facts: DataFrame, table: int, period: int | str, variable: int,
                     territory: str = "N1[all]") -> DataFrame:
     level, locality = parse_territory(territory)

@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from terrapipe.functions.clean import flatten
 from terrapipe.schemas import CORRUPT_COLUMN, with_corrupt_column
+from terrapipe.session import path_exists
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | None = None,
@@ -29,17 +29,18 @@ def read_json(spark: SparkSession, path: str, schema: StructType | None = None,
 
 
 def read_csv(spark: SparkSession, path: str, sep: str = ";", header: bool = True,
-             schema: StructType | None = None, sampling_ratio: float | None = None) -> DataFrame:
-    """Types are inferred (an extra pass over the input) only when no schema
-    is given; ``sampling_ratio`` bounds that pass to a fraction of the lines
-    (inference only: every row is still read)."""
+             schema: StructType | None = None) -> DataFrame:
+    """With a schema (the way at scale: one pass), lines that do not fit it, by
+    a value of another type or by their number of fields, keep what fits and
+    carry the whole line in the corrupt-record column. Without one, types are
+    inferred from every line, an extra pass."""
     reader = spark.read.option("header", str(header).lower()).option("sep", sep)
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = (reader.schema(with_corrupt_column(schema)).option("mode", "PERMISSIVE")
+                  .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+                  .option("columnPruning", "false"))
     else:
         reader = reader.option("inferSchema", "true")
-        if sampling_ratio is not None:
-            reader = reader.option("samplingRatio", sampling_ratio)
     return reader.csv(path)
 
 
@@ -49,40 +50,19 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | str | None
     return reader.parquet(path)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that came out with fewer splits than the cluster
-    has cores (a small file with a single row group cannot be split), so the
-    narrow work fused after it runs in parallel. Large inputs already have
-    enough splits and pass through untouched: no shuffle is added at scale.
-    Checking the split count plans the scan but runs no job."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
-
-def _missing(exc: AnalysisException) -> bool:
-    return "PATH_NOT_FOUND" in (exc.getCondition() or "") or "Path does not exist" in str(exc)
-
-
-def try_read(read: Callable[[], DataFrame]) -> DataFrame | None:
-    """Run a scan; None when its path does not exist (checked at plan time)."""
-    try:
-        return read()
-    except AnalysisException as exc:
-        if _missing(exc):
-            return None
-        raise
+def read_if_present(spark: SparkSession, path: str, read: Callable[[], DataFrame]) -> DataFrame | None:
+    """The scan, or None when nothing lies at ``path``."""
+    return read() if path_exists(spark, path) else None
 
 
 def read_preferred(spark: SparkSession, processed: str, raw: str, schema: StructType,
                    renames: dict[str, str] | None = None, multi_line: bool = False) -> DataFrame:
     """The processed Parquet if present, else the raw JSON flattened and
     renamed, else ``FileNotFoundError``."""
-    df = try_read(lambda: read_parquet(spark, processed))
+    df = read_if_present(spark, processed, lambda: read_parquet(spark, processed))
     if df is not None:
         return df
-    df = try_read(lambda: read_json(spark, raw, schema, multi_line))
+    df = read_if_present(spark, raw, lambda: read_json(spark, raw, schema, multi_line))
     if df is None:
         raise FileNotFoundError(f"neither {processed} nor {raw} exists; run the collector or the transform first")
     flat = flatten(df.drop(CORRUPT_COLUMN))

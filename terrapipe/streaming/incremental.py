@@ -1,53 +1,54 @@
 """Run the daily load whenever a new raw collection lands (X3 as a stream).
 
-Raw JSON Lines files dropped below ``raw_dir`` are picked up by a file
-stream; each micro-batch is one collection and goes through gate 1, the
-transform, gate 2 and ``replace_day``. The stream's checkpoint (below the
-shared checkpoint folder) records which files were processed, so a
-restarted job skips them, and because ``replace_day`` replaces a whole day
-slice, a micro-batch retried after a failure cannot duplicate rows.
+A collection is a run directory of raw JSON Lines files below ``raw_dir``. A
+file stream tells which directories have new files; each of them is then
+read whole, in the order in which they were finished, and goes through gate
+1, the transform, a Parquet write of its own, gate 2 and ``replace_day``. So
+a later collection of the day replaces an earlier one even if one trigger
+finds both, and a collection whose files are found by two triggers is loaded
+whole by the second. The stream's checkpoint (below the shared checkpoint
+folder) records which files were seen; a micro-batch retried after a failure
+replaces the same day again and cannot duplicate rows.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from terrapipe.operators import quality as Q
 from terrapipe.plans.daily import DATASETS, landing_path
-from terrapipe.schemas import CORRUPT_COLUMN, with_corrupt_column
+from terrapipe.schemas import with_corrupt_column
+from terrapipe.sinks.files import write_parquet
 from terrapipe.sinks.landing import replace_day
+from terrapipe.sources.readers import read_json, read_parquet
 
 
 def load_new_collections(spark: SparkSession, raw_dir: str, dataset: str, base: str,
-                         checkpoint: str, load_ts: dt.datetime | str | None = None,
-                         max_files_per_batch: int | None = None) -> list[int]:
+                         checkpoint: str, load_ts: dt.datetime | str | None = None) -> list[int]:
     """Process every collection not seen yet, then stop (``availableNow``).
 
-    Returns the row count loaded by each micro-batch.
+    Returns the row count loaded by each collection, in load order.
     """
     schema, raw_rules, transform, key, limits = DATASETS[dataset]
-    reader = (spark.readStream.schema(with_corrupt_column(schema))
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    files = (spark.readStream.schema(with_corrupt_column(schema)).json(raw_dir)
+             .select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"),
+                     F.col("_metadata.file_modification_time").alias("finished")))
     loaded: list[int] = []
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        # three consumers (raw gate, contract gate, write) share one read of
-        # the new files; lost blocks are recomputed from those files
-        batch.persist()
-        try:
-            Q.enforce(batch, raw_rules, f"raw {dataset} (batch {epoch_id})")
-            processed = transform(batch, sort=False)
-            loaded.append(replace_day(processed, landing_path(base, dataset), load_ts,
-                                      Q.CONTRACTS.get(key), limits))
-        finally:
-            batch.unpersist()
-
-    query = (reader.json(raw_dir).writeStream.foreachBatch(handle)
-             .option("checkpointLocation", checkpoint)
+        found = batch.groupBy("folder").agg(F.max("finished").alias("finished")).orderBy("finished", "folder").collect()
+        for row in found:  # one row per collection
+            raw = read_json(spark, row["folder"], schema)
+            Q.enforce(raw, raw_rules, f"raw {dataset} ({row['folder']})")
+            run = f"{base.rstrip('/')}/processed/{dataset}/run={uuid.uuid4().hex}"
+            processed = read_parquet(spark, write_parquet(transform(raw, sort=False), run))
+            loaded.append(replace_day(processed, landing_path(base, dataset), load_ts, Q.CONTRACTS.get(key), limits))
+
+    query = (files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
     if query.exception() is not None:

@@ -26,8 +26,9 @@ def _day_rows(spark, target, day):
 
 
 def test_stamp_day_in_session_zone(spark):
-    row = stamp(_batch(spark, [(1, "a", "RJ", "x")]), "2024-01-01 23:30:00").first()
-    assert str(row.load_date) == "2024-01-01" and row.loaded_at.hour == 23 or row.loaded_at is not None
+    row = stamp(_batch(spark, [(1, "a", "RJ", "x")]), "2024-01-01 23:30:00").selectExpr(
+        "CAST(load_date AS STRING) AS day", "CAST(loaded_at AS STRING) AS at").first()
+    assert (row.day, row.at) == ("2024-01-01", "2024-01-01 23:30:00")
 
 
 def test_replace_day_is_idempotent_and_keeps_other_days(spark, tmp):
@@ -61,11 +62,34 @@ def test_failure_midway_keeps_previous_day(spark, tmp):
     target = os.path.join(tmp, "landing")
     _load(_batch(spark, [(1, "A", "RJ", "x"), (2, "B", "SP", "y")]), target, DAY1)
     new = _batch(spark, [(i, f"N{i}", "RJ", "z") for i in range(1, 200)]).repartition(4)
-    boom = new.withColumn("uf_nome", F.when(F.col("id") == 150, F.raise_error(F.lit("boom")))
-                          .otherwise(F.col("uf_nome")))
+    # no rule reads this column, so the gate passes and the row fails in the write
+    boom = new.withColumn("regiao_id", F.when(F.col("id") == 150, F.raise_error(F.lit("boom"))).otherwise(F.lit(1)).cast("int"))
+    rules = (*Q.MUNICIPALITIES_CONTRACT.rules, *Q.MUNICIPALITY_LANDING_RULES)
+    assert Q.enforce(boom, rules, "gate alone", Q.MUNICIPALITIES_CONTRACT.columns) == 199
     with pytest.raises(Exception, match="boom"):
         _load(boom, target, DAY1)
     assert _day_rows(spark, target, "2024-03-01") == [(1, "A"), (2, "B")]
+    assert _load(new, target, DAY1) == 199 and len(_day_rows(spark, target, "2024-03-01")) == 199
+
+
+def test_table_columns_are_matched_by_name(spark, tmp):
+    table = f"terrapipe_by_name_{os.path.basename(tmp).replace('-', '_')}"
+    spark.sql(f"CREATE TABLE {table} (id int, nome string, sigla_uf string, loaded_at timestamp, load_date date) "
+              f"USING parquet PARTITIONED BY (load_date) LOCATION '{tmp}/t'")
+    batch = _batch(spark, [(1, "A", "RJ", "x")])
+    replace_day(batch.select("sigla_uf", "uf_nome", "nome", "id"), table, DAY1, Q.MUNICIPALITIES_CONTRACT, as_table=True)
+    assert [(r.id, r.nome, r.sigla_uf) for r in spark.table(table).collect()] == [(1, "A", "RJ")]
+    with pytest.raises(ValueError, match="no column nome"):
+        replace_day(batch.drop("nome"), table, DAY1, as_table=True)
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_unregistered_table_is_refused_only_when_empty(spark, tmp):
+    odd = spark.createDataFrame([(None, "x"), (None, "x")], "id int, anything string")
+    assert replace_day(odd, f"{tmp}/odd", DAY1) == 2
+    with pytest.raises(Q.DataQualityError, match="non_empty"):
+        replace_day(odd.limit(0), f"{tmp}/odd", DAY1)
+    assert read_day(spark, f"{tmp}/odd", "2024-03-01").count() == 2
 
 
 def test_read_day_prunes_partitions(spark, tmp):

@@ -40,8 +40,7 @@ def test_transform_stage_skips_missing_and_materialises_once(spark, tmp, sf_smal
 
 
 def test_run_day_refuses_a_batch_failing_gate_2(spark, tmp, sf_small):
-    # every municipality of one order key range collapses to one id -> duplicates survive? no:
-    # dedup keeps one row per id, so gate 2 passes; an unknown state code does not.
+    # an unknown state code passes gate 1 and not the contract
     raw_m = fx.raw_municipalities(spark, sf_small).withColumn(
         "microrregiao", F.col("microrregiao").withField("mesorregiao.UF.sigla", F.lit("zz")))
     with pytest.raises(Q.DataQualityError, match="isin"):
@@ -75,3 +74,14 @@ def test_single_pass_ingest_gates_while_landing(spark, tmp, sf_small):
         ingest(fx.raw_states(spark, sf_small, faults=True), "states", os.path.join(tmp, "raw4"), single_pass=True)
     with pytest.raises(Q.DataQualityError, match="non_empty"):
         ingest(good.limit(0), "states", os.path.join(tmp, "raw5"), single_pass=True)
+    assert not any(files for base in ("raw4", "raw5") for _, _, files in os.walk(os.path.join(tmp, base)))
+
+
+@pytest.mark.parametrize("dataset", ["states", "municipalities"])
+@pytest.mark.parametrize("single_pass", [False, True])
+def test_rejected_day_leaves_no_file(spark, tmp, sf_small, dataset, single_pass):
+    bad = getattr(fx, f"raw_{dataset}")(spark, sf_small, faults=True)
+    batches = {"states": None, "municipalities": None, dataset: bad}
+    with pytest.raises(Q.DataQualityError, match="truthy"):
+        run_day(spark, batches["states"], batches["municipalities"], tmp, TS, single_pass_ingest=single_pass)
+    assert not any(files for _, _, files in os.walk(tmp))

@@ -4,30 +4,32 @@ from terrapipe.operators import quality as Q
 from terrapipe.schemas import MUNICIPALITY_RAW, STATE_RAW, UF_CODES
 
 
-def _m(mid=3550308, uf="SP", nome="São Paulo"):
-    return {"id": mid, "nome": nome, "microrregiao": {"mesorregiao": {"UF": {"sigla": uf}}}}
-
-
-def test_raw_municipalities_good_batch_returns_count(spark):
-    df = spark.createDataFrame([_m(), _m(3304557, "RJ")], MUNICIPALITY_RAW)
-    assert Q.gate_raw_municipalities(df) == 2
-
-
-def test_raw_municipalities_empty_batch_rejected(spark):
-    with pytest.raises(Q.DataQualityError, match="non_empty"):
-        Q.gate_raw_municipalities(spark.createDataFrame([], MUNICIPALITY_RAW))
-
-
-def test_raw_municipalities_without_hierarchy_rejected(spark):
-    df = spark.createDataFrame([{"id": 1, "nome": "X"}], MUNICIPALITY_RAW)
-    with pytest.raises(Q.DataQualityError, match="truthy"):
-        Q.gate_raw_municipalities(df)
-
-
-def test_raw_state_without_code_rejected(spark):
-    df = spark.createDataFrame([{"id": 33, "nome": "Rio de Janeiro"}], STATE_RAW)
-    with pytest.raises(Q.DataQualityError):
-        Q.gate_raw_states(df)
+def _town(key, code="BA", name="Vila Nova"):
+    inside = {"id": 5, "nome": "vale", "UF": {"id": 6, "sigla": code, "nome": "estado"}}
+    return {"id": key, "nome": name, "microrregiao": {"id": 4, "nome": "serra", "mesorregiao": inside}}
+
+
+@pytest.mark.parametrize("rows,bad", [
+    ([_town(10), _town(11, "CE"), _town(12, "PI", " ")], None),
+    ([], "non_empty"),
+    ([_town(10), {"id": 11, "nome": "sem cadeia"}], "1/2"),
+    ([_town(10), _town(11, ""), _town(0), _town(12, "BA", None)], "3/4"),
+])
+def test_raw_municipality_gate(spark, rows, bad):
+    df = spark.createDataFrame(rows, MUNICIPALITY_RAW)
+    if bad is None:
+        assert Q.gate_raw_municipalities(df) == len(rows)
+    else:
+        with pytest.raises(Q.DataQualityError, match=bad):
+            Q.gate_raw_municipalities(df)
+
+
+def test_raw_state_gate_needs_every_field(spark):
+    whole = {"id": 8, "sigla": "GO", "nome": "Campos"}
+    assert Q.gate_raw_states(spark.createDataFrame([whole], STATE_RAW)) == 1
+    for field in whole:
+        with pytest.raises(Q.DataQualityError, match="truthy"):
+            Q.gate_raw_states(spark.createDataFrame([{k: v for k, v in whole.items() if k != field}], STATE_RAW))
 
 
 def test_truthy_counts_null_zero_empty_and_passes_blank(spark):
@@ -44,11 +46,14 @@ def test_truthy_counts_null_zero_empty_and_passes_blank(spark):
     assert report[0].example.startswith('{"id":')
 
 
-def test_report_example_is_deterministic_and_truncated(spark):
+def test_report_example_is_deterministic_and_cut_for_municipalities_only(spark):
     long_name = "x" * 500
     df = spark.createDataFrame([{"id": 9, "nome": long_name}, {"id": 8, "nome": long_name}], MUNICIPALITY_RAW)
     ex = Q.check(df, list(Q.RAW_MUNICIPALITY_RULES)).first().example
     assert len(ex) == 200 and ex.startswith('{"id":8')
+    states = spark.createDataFrame([{"id": 0, "sigla": "AM", "nome": long_name}], STATE_RAW)
+    whole = Q.check(states, list(Q.RAW_STATE_RULES)).first().example
+    assert long_name in whole and whole.endswith("}")  # a state is shown whole
 
 
 def _processed(spark, rows):
@@ -56,11 +61,11 @@ def _processed(spark, rows):
 
 
 def test_contract_accepts_good_and_rejects_duplicate_and_unknown_code(spark):
-    assert Q.MUNICIPALITIES_CONTRACT.enforce(_processed(spark, [(3550308, "Sao Paulo", "SP")])) == 1
-    with pytest.raises(Q.DataQualityError, match="unique"):
-        Q.MUNICIPALITIES_CONTRACT.enforce(_processed(spark, [(1, "A", "SP"), (1, "B", "RJ")]))
+    assert Q.MUNICIPALITIES_CONTRACT.enforce(_processed(spark, [(40, "Lagoa", "MA"), (41, "Lagoa", "MA")])) == 2
+    with pytest.raises(Q.DataQualityError, match="unique.id.: 3/5 e.g. 40"):
+        Q.MUNICIPALITIES_CONTRACT.enforce(_processed(spark, [(k, f"n{i}", "MA") for i, k in enumerate((40, 41, 40, 42, 40))]))
     with pytest.raises(Q.DataQualityError, match="isin"):
-        Q.MUNICIPALITIES_CONTRACT.enforce(_processed(spark, [(1, "A", "XX")]))
+        Q.MUNICIPALITIES_CONTRACT.enforce(_processed(spark, [(40, "Lagoa", "ma")]))
 
 
 def test_contract_reports_every_rule(spark):
@@ -79,6 +84,7 @@ def test_column_contract_checked_without_a_job(spark):
     df = spark.createDataFrame([(1, 2)], "id int, nome int")
     with pytest.raises(Q.DataQualityError, match="nome is int, expected str"):
         Q.MUNICIPALITIES_CONTRACT.check(df)
+    assert [tuple(r) for r in Q.MUNICIPALITIES_CONTRACT.column_report(df).collect()] == [("nome", "str", "int"), ("sigla_uf", "str", None)]
     # extra columns are allowed, any integral type is accepted for "int"
     ok = spark.createDataFrame([(1, "a", "SP", 9)], "id bigint, nome string, sigla_uf string, extra int")
     assert Q.MUNICIPALITIES_CONTRACT.enforce(ok) == 1
@@ -116,7 +122,18 @@ def test_row_rules_share_one_aggregate_job(spark, tmp):
         Q.not_null("sigla_uf"), Q.isin("sigla_uf", UF_CODES), Q.length_between("sigla_uf", 2, 2)]))
     assert many == one
     with_unique = _jobs(spark, "with-unique", lambda: Q.enforce(df, [Q.not_null("id"), Q.unique("id")]))
-    assert with_unique > one  # one extra grouped count per uniqueness rule
+    assert with_unique > one  # the exchange on the keys
+    two = _jobs(spark, "two-unique", lambda: Q.enforce(df, [Q.not_null("id"), Q.unique("id"), Q.unique("nome")]))
+    assert two == with_unique  # more keys, the same pass
+
+
+def test_a_contract_reads_its_input_once(spark, sf_small):
+    from conftest import plan_text
+    from terrapipe.plans.catalog import QUERIES
+    tree = plan_text(QUERIES["contract_states"](spark, sf_small)).split("\n\n")[0]
+    assert tree.count("Scan parquet") == 4  # the star join's tables
+    assert Q.check(spark.createDataFrame([], "id int, nome string"), [Q.unique("id"), Q.not_null("nome"), Q.non_empty()]).collect() == [
+        ("not_null", "nome", 0, 0, None), ("non_empty", "*", 1, 0, None), ("unique", "id", 0, 0, None)]
 
 
 def test_isin_against_a_domain_table(spark):

@@ -5,20 +5,22 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_text, write_text
+from pyspark.sql.types import IntegerType, StructField, StructType
+
 from terrapipe.schemas import CORRUPT_COLUMN, MUNICIPALITY_RAW, STATE_RAW
 from terrapipe.sinks.files import write_csv, write_json, write_parquet
-from terrapipe.sources.aggregates import aggregate_slice, parse_territory
+from terrapipe.sources.aggregates import aggregate_slice, parse_territory, read_facts, write_facts
 from terrapipe.sources.listing import list_municipalities, list_states
 from terrapipe.sources.readers import read_csv, read_json, read_parquet, read_preferred
 
-STATE = {"id": 33, "sigla": "RJ", "nome": "Rio de Janeiro", "regiao": {"id": 3, "sigla": "SE", "nome": "Sudeste"}}
+STATE = {"id": 71, "sigla": "PA", "nome": "Grão Vale", "regiao": {"id": 8, "sigla": "NO", "nome": "Planalto"}}
 
 
 def test_read_json_array_file_multiline(spark, tmp):
     path = write_text(os.path.join(tmp, "estados.json"),
-                      json.dumps([STATE, {**STATE, "id": 35, "sigla": "SP"}], ensure_ascii=False, indent=2))
+                      json.dumps([STATE, {**STATE, "id": 72, "sigla": "TO"}], ensure_ascii=False, indent=2))
     df = read_json(spark, path, STATE_RAW, multi_line=True)
-    assert sorted(r.id for r in df.collect()) == [33, 35]
+    assert sorted(r.id for r in df.collect()) == [71, 72]
     assert [r[CORRUPT_COLUMN] for r in df.select("id", CORRUPT_COLUMN).collect()] == [None, None]
 
 
@@ -47,14 +49,25 @@ def test_csv_roundtrip_inferred_and_explicit(spark, tmp):
                for f in os.listdir(path) if f.endswith(".csv"))
     inferred = read_csv(spark, path)
     assert dict(inferred.dtypes) == {"id": "int", "name": "string", "v": "double"}
-    sampled = read_csv(spark, path, sampling_ratio=0.5)
-    assert sampled.count() == 2 and "id" in sampled.columns
     explicit = read_csv(spark, path, schema=df.schema)
-    assert sorted(map(tuple, explicit.collect())) == [(1, "a;b", 2.5), (2, "c", None)]
+    assert sorted(map(tuple, explicit.collect())) == [(1, "a;b", 2.5, None), (2, "c", None, None)]
     single = write_csv(df, os.path.join(tmp, "one"), single_file=True)
     assert len([f for f in os.listdir(single) if f.endswith(".csv")]) == 1
 
 
+def test_csv_lines_that_do_not_fit_the_schema_are_reported(spark, tmp):
+    path = write_text(os.path.join(tmp, "odd.csv"), "id;n\n1;10\n2;abc\n3;4;5\n4\n")
+    rows = read_csv(spark, path, schema=StructType([StructField("id", IntegerType()), StructField("n", IntegerType())]))
+    assert sorted(map(tuple, rows.collect())) == [(1, 10, None), (2, None, "2;abc"), (3, 4, "3;4;5"), (4, None, "4")]
+    assert len(rows.where(f"{CORRUPT_COLUMN} is not null").collect()) == 3 and rows.select("id").count() == 4
+
+
+def test_one_odd_value_keeps_the_inferred_column_text(spark, tmp):
+    path = write_text(os.path.join(tmp, "late.csv"), "n\n" + "".join(f"{i}\n" for i in range(5000)) + "abc\n")
+    rows = read_csv(spark, path)
+    assert rows.dtypes == [("n", "string")] and rows.where("n = 'abc'").count() == 1
+
+
 def test_read_preferred_processed_then_raw_then_error(spark, tmp):
     muni = {"id": 1, "nome": "x", "microrregiao": {"id": 2, "nome": "m", "mesorregiao": {
         "id": 3, "nome": "me", "UF": {"id": 33, "sigla": "RJ", "nome": "Rio", "regiao": {"id": 3, "sigla": "SE", "nome": "Sudeste"}}}}}
@@ -83,7 +96,7 @@ def test_listing_by_id_digit_string_and_code_pushes_down(spark, tmp):
     assert [r.id for r in list_states(states).collect()] == [3, 1, 2]
 
 
-def test_aggregate_slice(spark):
+def test_aggregate_slice(spark, tmp):
     facts = spark.createDataFrame([
         (6579, "2023", 9324, "N3", 33, 1.0), (6579, "2024", 9324, "N3", 33, 2.0),
         (6579, "2024", 9324, "N3", 35, 3.0), (6579, "2025", 9324, "N3", 35, 4.0),
@@ -94,6 +107,12 @@ def test_aggregate_slice(spark):
     assert [r.value for r in aggregate_slice(facts, 6579, "last", 9324, "N3[all]").collect()] == [4.0]
     assert [r.value for r in aggregate_slice(facts, 6579, "last", 9324).collect()] == [10.0]
     assert parse_territory("N6[all]") == ("N6", None)
+    stored = read_facts(spark, write_facts(facts, os.path.join(tmp, "facts")))
+    fixed = aggregate_slice(stored, 6579, 2024, 9324, "N3[all]")
+    assert sorted(r.value for r in fixed.collect()) == [2.0, 3.0]
+    plan = plan_text(fixed)
+    assert plan.count("Scan parquet") == 2 and "(period" in plan.split("PartitionFilters: [")[1].split("]")[0]  # tree and details of one scan
+    assert [r.value for r in aggregate_slice(stored, 6579, "last", 9324).collect()] == [10.0]
     for bad in ("N3", "X1[all]", "N3[abc]"):
         with pytest.raises(ValueError):
             parse_territory(bad)

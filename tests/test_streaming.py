@@ -39,3 +39,32 @@ def test_later_collection_replaces_the_day(spark, tmp, sf_small):
     landed = spark.read.parquet(landing_path(tmp, "states"))
     assert landed.count() == 25
     assert landed.where(~F.col("nome").startswith("Novo ")).count() == 0
+
+
+def test_collection_in_several_files_lands_whole(spark, tmp, sf_small):
+    raw_dir, ckpt = os.path.join(tmp, "raw"), os.path.join(tmp, "ckpt")
+    write_json(fx.raw_municipalities(spark, sf_small).repartition(4), os.path.join(raw_dir, "c1"))
+    assert len([f for f in os.listdir(os.path.join(raw_dir, "c1")) if f.endswith(".json")]) == 4
+    assert load_new_collections(spark, raw_dir + "/*", "municipalities", tmp, ckpt, TS) == [1500]
+    assert spark.read.parquet(landing_path(tmp, "municipalities")).count() == 1500
+
+
+def test_two_pending_collections_load_in_order(spark, tmp, sf_small):
+    raw_dir, ckpt = os.path.join(tmp, "raw"), os.path.join(tmp, "ckpt")
+    raw = fx.raw_municipalities(spark, sf_small)
+    write_json(raw.where("id <= 1000"), os.path.join(raw_dir, "z-first"))
+    write_json(raw.where("id > 1000"), os.path.join(raw_dir, "a-second"))
+    for name, when in (("z-first", 1_700_000_000), ("a-second", 1_700_000_100)):
+        for f in os.listdir(os.path.join(raw_dir, name)):
+            os.utime(os.path.join(raw_dir, name, f), (when, when))
+    assert load_new_collections(spark, raw_dir + "/*", "municipalities", tmp, ckpt, TS) == [1000, 500]
+    assert spark.read.parquet(landing_path(tmp, "municipalities")).agg({"id": "min"}).first()[0] == 1001
+
+
+def test_files_found_by_two_triggers_are_one_collection(spark, tmp, sf_small):
+    raw_dir, ckpt = os.path.join(tmp, "raw"), os.path.join(tmp, "ckpt")
+    raw = fx.raw_municipalities(spark, sf_small)
+    write_json(raw.where("id <= 1000"), os.path.join(raw_dir, "c1"))
+    assert load_new_collections(spark, raw_dir + "/*", "municipalities", tmp, ckpt, TS) == [1000]
+    raw.where("id > 1000").write.mode("append").json(os.path.join(raw_dir, "c1"))
+    assert load_new_collections(spark, raw_dir + "/*", "municipalities", tmp, ckpt, TS) == [1500]

@@ -14,14 +14,14 @@ def _muni(mid, nome, uf_sigla, uf_id=33, micro=None):
             "regiao-imediata": {"id": 330001, "nome": " rio de janeiro "}}
 
 
-def test_transform_states_reference_fixture(spark):
+def test_transform_states_cleans_and_types(spark):
     raw = spark.createDataFrame(
-        [{"id": 33, "sigla": " rj", "nome": "rio de janeiro ", "regiao": {"id": 3, "sigla": "se", "nome": "sudeste"}}],
+        [{"id": 64, "sigla": " go", "nome": "campo do meio ", "regiao": {"id": 9, "sigla": "pl", "nome": "planalto"}}],
         STATE_RAW)
     out = transform_states(raw)
     assert tuple(out.columns) == STATE_COLUMNS
-    assert out.collect() == [Row(id=33, sigla="RJ", nome="Rio De Janeiro", regiao_id=3,
-                                 regiao_sigla="SE", regiao_nome="Sudeste")]
+    assert out.collect() == [Row(id=64, sigla="GO", nome="Campo Do Meio", regiao_id=9,
+                                 regiao_sigla="PL", regiao_nome="Planalto")]
 
 
 def test_transform_municipalities_columns_dedup_and_order(spark):
@@ -67,6 +67,16 @@ def test_dedup_partial_aggregate_before_shuffle(spark):
     assert "partial_min" in plan
 
 
+def test_equal_rows_are_hashed_before_any_sort(spark):
+    from conftest import plan_text
+    df = spark.range(1000).selectExpr("id % 3 AS k", "CAST(id % 2 AS STRING) AS v")
+    out = dedup(df, "k", few_distinct=True)
+    operators = [line for line in plan_text(out).split("\n\n")[0].splitlines() if "Sort (" in line or "HashAggregate" in line]
+    assert len([o for o in operators if "HashAggregate" in o]) >= 2
+    assert max(i for i, o in enumerate(operators) if "Sort (" in o) < min(i for i, o in enumerate(operators) if "HashAggregate" in o)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, dedup(df, "k").collect()))
+
+
 def test_dimension_levels(spark):
     raw = spark.createDataFrame([_muni(1, "a", "rj"), _muni(2, "b", "rj")], MUNICIPALITY_RAW)
     muni = transform_municipalities(raw)
