@@ -44,10 +44,13 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 SCOPE = frozenset("article aside body div footer header html main nav ol section table td th ul dl form blockquote".split())
 TEMPLATE_TAGS = frozenset("head nav header footer aside form button select option input svg canvas object dialog menu "
                           "script style textarea title noscript template iframe xmp".split())
-TEMPLATE_WORDS = frozenset("ad ads adv advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie "
-                           "cookies footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices "
-                           "pager pagination popup promo recommended related replies reply search share sharing sidebar signup "
-                           "social sponsor sponsored subscribe toolbar widget".split())
+TEMPLATE_WORDS = frozenset("ad ads adv advert adverts advertisement advertising alert aside banner breadcrumb breadcrumbs comment "
+                           "commentlist comments complementary consent contentinfo cookie cookiebar cookies copyright dialog footer "
+                           "gdpr header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination "
+                           "paywall popup promo recommended related replies reply respond search share sharing sidebar signup social "
+                           "sponsor sponsored subscribe toolbar topbar widget".split())
+#: Words of a container around the article ("has-sidebar"), which its template words do not make a template.
+LAYOUT_WORDS = frozenset("container has layout main no page site with without wrap wrapper".split())
 ARTICLE_TAGS = frozenset(("article", "main"))
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -251,13 +254,16 @@ class Wrapper:
 def in_template(path: tuple[str, ...] | list[str]) -> bool:
     """Whether an element of the path is one of a template; a header inside an article is the article's."""
     inside = False
+    around = sum(1 for part in path if part.split(".", 1)[0] in ARTICLE_TAGS)
     for part in path:
         tag, *words = part.split(".")
         if tag in ARTICLE_TAGS:
-            inside = True
+            inside, around = True, around - 1
         if tag in TEMPLATE_TAGS and not (inside and tag == "header"):
             return True
-        if tag not in ("html", "body", *ARTICLE_TAGS) and not TEMPLATE_WORDS.isdisjoint(words) and not (inside and words == ["header"]):
+        if tag in ("html", "body", *ARTICLE_TAGS) or TEMPLATE_WORDS.isdisjoint(words) or (inside and words == ["header"]):
+            continue
+        if not (around and not LAYOUT_WORDS.isdisjoint(words)):
             return True
     return False
 
@@ -266,12 +272,11 @@ def in_article(path: tuple[str, ...] | list[str]) -> bool:
     return any(part.split(".", 1)[0] in ARTICLE_TAGS for part in path)
 
 
-def article_slots(slots: dict[str, list]) -> list[str]:
-    """The paths of the wrapper's text slots that hold the article."""
+def article_slots(slots: dict[str, list]) -> tuple[frozenset[str], frozenset[str]]:
+    """The paths of the wrapper's text slots below an article element, and those that hold the article of a page without one."""
     open_ = {path: path.split("/") for path in slots if not in_template(path.split("/"))}
-    inside = [path for path, parts in open_.items() if in_article(parts)]
-    if inside:
-        return inside
+    inside = frozenset(path for path, parts in open_.items() if in_article(parts))
+    open_ = {path: parts for path, parts in open_.items() if path not in inside}
     differ = [path for path in open_ if slots[path][0] < 3 or slots[path][1] != slots[path][2]]
     total = sum(slots[p][3] for p in differ)
     prefix: list[str] = []
@@ -285,11 +290,18 @@ def article_slots(slots: dict[str, list]) -> list[str]:
         if top is None or mass[top] < 0.6 * total:
             break
         prefix.append(top)
-    return [p for p in differ if open_[p][:len(prefix)] == prefix]
+    return inside, frozenset(p for p in differ if open_[p][:len(prefix)] == prefix)
+
+
+def main_text(page: str, keep: tuple[frozenset[str], frozenset[str]]) -> str:
+    """The page's article: the slots below its article element or, where there is none, the others."""
+    return kept_text(page, keep[0]) or kept_text(page, keep[1])
 
 
-def main_text(page: str, keep: frozenset[str]) -> str:
+def kept_text(page: str, keep: frozenset[str]) -> str:
     """The blocks of the kept slots, in page order, joined by an empty line."""
+    if not keep:
+        return ""
     blocks: list[str] = []
     held: list[str] = []
 
@@ -360,14 +372,14 @@ def extract(pages: DataFrame, url_column: str = "url", html_column: str = "html"
     out = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, frozenset[str]] = {}
+        known: dict[str, tuple[frozenset[str], frozenset[str]]] = {}
         for batch in pieces(batches, "html"):
             texts = []
             for host, wrapper, page in zip(*(batch.column(c).to_pylist() for c in ("host", "wrapper", "html")), strict=True):
                 if host not in known:
                     if len(known) >= HELD_HOSTS:
                         known.clear()
-                    known[host] = frozenset(article_slots(json.loads(wrapper)[1]))
+                    known[host] = article_slots(json.loads(wrapper)[1])
                 texts.append(main_text(page, known[host]) if page else "")
             yield pa.record_batch([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
                                    pa.array([len(t) for t in texts], pa.int64())], schema=out)

@@ -11,7 +11,7 @@ def wrapper(*pages):
 
 
 def texts(*pages):
-    keep = frozenset(article_slots(wrapper(*pages).slots))
+    keep = article_slots(wrapper(*pages).slots)
     return [main_text(p, keep) for p in pages]
 
 
@@ -31,6 +31,12 @@ def test_article_without_the_rest():
     assert texts(page) == ["Title é\n\nFirst line of text\n\nSecond one\n\nitem\n\nitem 2\n\ntail"]
 
 
+def test_containers_around_the_article_and_pages_without_one():
+    page = '<div class="page has-sidebar"><main><p>{0}</p></main><div class="sidebar">side</div></div><div class="related-posts"><article>other</article></div>'
+    plain = '<nav>menu</nav><div class="story"><p>{0}</p></div><div class="cookie-bar">ok?</div>'
+    assert texts(page.format("one"), plain.format("two"), page.format("three")) == ["one", "two", "three"]
+
+
 def test_hosts_without_article_keep_where_the_text_is():
     page = "<body><div class='top'>Our site</div><div class='content'><p>{0} {0} {0}</p><p>{0}</p></div><div class='end'>All rights reserved</div></body>"
     assert texts(*(page.format(w * 9) for w in "abc")) == [f"{w * 9} {w * 9} {w * 9}\n\n{w * 9}" for w in "abc"]
@@ -53,7 +59,7 @@ def test_rows(spark):
         (3, "http://H.example.com/3", "<nav>menu</nav><article><p>text 3</p></article>", 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, host int").repartition(3)
     got = sorted((repr((r.page_id, r.url)), r.text, r.n_chars) for r in extract(pages).collect())
-    want = [f"text {i}" for i in range(5)] + ["no url", "", "", "", "text 3"]
+    want = [f"text {i}" for i in range(5)] + ["no url", "", "", "plain text", "text 3"]
     assert got == sorted((repr(r[:2]), t, len(t)) for r, t in zip(rows, want, strict=True))
     assert extract(pages.limit(0)).collect() == []
 
