@@ -8,12 +8,12 @@ result.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from terrapipe.session import run_dir
@@ -60,17 +60,33 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 <<
             yield batch.slice(begin)
 
 
-def write_file(folder: str, name: str, content: bytes) -> str:
-    """Write one file whole into a shared folder; returns its URI.
+class PartFiles:
+    """The files that one attempt of a write task puts into a shared folder.
 
-    The bytes go to a name of this attempt's own and are moved into place,
-    so a retried or speculative task replaces the file by an equal one and a
-    reader never meets half of it.
+    Names carry the partition and the attempt, so attempts never touch each
+    other's files. The table that the write task returns is committed by Spark
+    for one attempt of each partition; :func:`is_committed` tells a reader
+    whether a file is that attempt's.
     """
-    filesystem, base = pafs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pafs.LocalFileSystem(), folder)
-    filesystem.create_dir(base, recursive=True)
-    mine = f"{base}/_{name}.{uuid.uuid4().hex}"
-    with filesystem.open_output_stream(mine) as out:
-        out.write(content)
-    filesystem.move(mine, f"{base}/{name}")
-    return f"{folder}/{name}"
+
+    def __init__(self, folder: str, suffix: str):
+        context = TaskContext.get()
+        self.part, self.attempt = context.partitionId(), context.taskAttemptId()
+        self.suffix, self.count = suffix, 0
+        self.filesystem, self.base = pafs.FileSystem.from_uri(folder) if ":" in folder else (pafs.LocalFileSystem(), folder)
+
+    def write(self, content: bytes) -> str:
+        """Write one file whole: under a hidden name first, then moved into place. Returns its name."""
+        self.filesystem.create_dir(self.base, recursive=True)
+        name = f"part-{self.part:06d}-{self.attempt}-{self.count:05d}{self.suffix}"
+        with self.filesystem.open_output_stream(f"{self.base}/_{name}", compression=None) as out:
+            out.write(content)
+        self.filesystem.move(f"{self.base}/_{name}", f"{self.base}/{name}")
+        self.count += 1
+        return name
+
+
+def is_committed(path: str, attempts: dict[int, int]) -> bool:
+    """``attempts``: the committed attempt of each partition."""
+    _, part, attempt, _ = path.rsplit("/", 1)[-1].split("-")
+    return attempts.get(int(part)) == int(attempt)

@@ -21,11 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrapipe.llm.shared import pieces, staged, write_file
+from terrapipe.llm.shared import PartFiles, is_committed, pieces, staged
 from terrapipe.llm.tokens import encoder
 from terrapipe.session import run_dir
 
@@ -168,7 +167,7 @@ class Shard:
 
 def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int, shard_ids: int = 1 << 20,
                       id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Encode whole texts and write them in ascending id order; a row per file: ``part, file, documents, ids``.
+    """Encode whole texts and write them in ascending id order; a row per file: ``part, attempt, file, documents, ids``.
 
     Documents are range-partitioned by id (null first; repeated ids by their
     place in the input, so that they too can be split); a partition closes a
@@ -177,20 +176,20 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"),
                        F.monotonically_increasing_id().alias("place"))
     rows = rows.repartitionByRange("doc_id", "place").sortWithinPartitions("doc_id", "place")
-    out = pa.schema([("part", pa.int64()), ("file", pa.string()), ("documents", pa.int64()), ("ids", pa.int64())])
+    out = pa.schema([("part", pa.int64()), ("attempt", pa.int64()), ("file", pa.string()), ("documents", pa.int64()), ("ids", pa.int64())])
     end = np.array([end_id], "<u4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(vocabulary)
-        first, part = code.tokenizer.get_vocab_size(with_added_tokens=True), TaskContext.get().partitionId()
-        first = max(first, end_id + 1)
+        first = max(code.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
+        parts = PartFiles(folder, ".rpt")
         files, docs, held, n, before = [], [], [], 0, 0
 
         def close() -> None:
             nonlocal docs, held, n, before
             ids = np.frombuffer(b"".join(held), "<u4")
-            content = shard_bytes(part, len(files), before, docs, [len(h) // 4 for h in held], ids, first)
-            files.append((part, write_file(folder, f"part-{part:06d}-{len(files):05d}.rpt", content), len(docs), n))
+            content = shard_bytes(parts.part, len(files), before, docs, [len(h) // 4 for h in held], ids, first)
+            files.append((parts.part, parts.attempt, parts.write(content), len(docs), n))
             docs, held, n, before = [], [], 0, before + n
 
         for batch in pieces(batches, "text"):
@@ -204,14 +203,15 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
             close()
         yield pa.RecordBatch.from_pylist([dict(zip(out.names, f, strict=True)) for f in files], schema=out)
 
-    return rows.mapInArrow(write, "part long, file string, documents long, ids long")
+    return rows.mapInArrow(write, "part long, attempt long, file string, documents long, ids long")
 
 
-def read_token_files(spark: SparkSession, folder: str, totals: dict[int, int]) -> DataFrame:
+def read_token_files(spark: SparkSession, folder: str, totals: dict[int, int], attempts: dict[int, int]) -> DataFrame:
     """Every document from the files in ``folder``: ``doc_id, start, n_tokens, ids`` (little-endian u32).
 
-    ``totals`` gives the ids of each part, one number per write task; ``start``
-    counts the ids of all documents before.
+    ``totals`` gives the ids of each part, ``attempts`` the attempt that Spark
+    committed, one number each per write task; ``start`` counts the ids of all
+    documents before.
     """
     size = max(totals, default=-1) + 1
     base = np.zeros(size + 1, np.int64)
@@ -223,7 +223,9 @@ def read_token_files(spark: SparkSession, folder: str, totals: dict[int, int]) -
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column("content"):
+            for path, content in zip(*batch.columns, strict=True):
+                if not is_committed(path.as_py(), attempts):
+                    continue
                 shard = Shard(content.as_py())
                 begin, at = int(shipped.value[shard.part]) + shard.before, 0
                 rows, held = [], 0
@@ -238,7 +240,7 @@ def read_token_files(spark: SparkSession, folder: str, totals: dict[int, int]) -
                     yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.rpt").load(folder)
-    return files.select("content").mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
+    return files.select("path", "content").mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def token_files(docs: DataFrame, vocabulary: str, end_id: int = 2, **options) -> DataFrame:
@@ -250,7 +252,7 @@ def token_files(docs: DataFrame, vocabulary: str, end_id: int = 2, **options) ->
     spark = docs.sparkSession
     folder = run_dir(spark, "token-files") + "/shards"
     written = staged(write_token_files(docs, folder, vocabulary, end_id, **options), "token-manifest")
-    totals = {r["part"]: r["n"] for r in written.groupBy("part").agg(F.sum("ids").alias("n")).collect()}  # a row per write task
-    if not totals:
+    tasks = written.groupBy("part", "attempt").agg(F.sum("ids").alias("n")).collect()  # a row per write task
+    if not tasks:
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids binary")
-    return read_token_files(spark, folder, totals)
+    return read_token_files(spark, folder, {r["part"]: r["n"] for r in tasks}, {r["part"]: r["attempt"] for r in tasks})

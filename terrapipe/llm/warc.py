@@ -17,11 +17,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrapipe.llm.shared import pieces, staged, write_file
+from terrapipe.llm.shared import PartFiles, is_committed, pieces, staged
 from terrapipe.session import run_dir
 
 DICTIONARY_FRAME = 0x184D2A5D
@@ -140,7 +139,7 @@ def train_dictionary(pages: DataFrame, html_column: str = "html", sample: int =
 
 
 def write_warc(pages: DataFrame, folder: str, dictionary: bytes, least: int = 100, archive_bytes: int = 16 << 20) -> DataFrame:
-    """Write a record per row of ``page_id, url, html`` below ``folder``; a row per file: ``file, records``.
+    """Write a record per row of ``page_id, url, html`` below ``folder``; a row per file: ``part, attempt, file, records``.
 
     Null html: the empty payload; null ``page_id``: a record without number;
     null url: no target field. Of records with equal payloads of ``least``
@@ -166,11 +165,11 @@ def write_warc(pages: DataFrame, folder: str, dictionary: bytes, least: int = 10
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trained = zstandard.ZstdCompressionDict(shipped.value) if shipped.value else None
         encoder = zstandard.ZstdCompressor(level=3, dict_data=trained, write_checksum=True)
-        part, files, out, raw, n = TaskContext.get().partitionId(), [], [leading_frame(shipped.value)], 0, 0
+        parts, files, out, raw, n = PartFiles(folder, ".warc.zst"), [], [leading_frame(shipped.value)], 0, 0
 
         def close() -> None:
             nonlocal out, raw, n
-            files.append((write_file(folder, f"part-{part:06d}-{len(files):04d}.warc.zst", b"".join(out)), n))
+            files.append({"part": parts.part, "attempt": parts.attempt, "file": parts.write(b"".join(out)), "records": n})
             out, raw, n = out[:1], 0, 0
 
         for batch in pieces(batches, "payload"):
@@ -183,19 +182,24 @@ def write_warc(pages: DataFrame, folder: str, dictionary: bytes, least: int = 10
                     close()
         if n:
             close()
-        yield pa.RecordBatch.from_pydict({"file": [f for f, _ in files], "records": [k for _, k in files]},
-                                         schema=pa.schema([("file", pa.string()), ("records", pa.int64())]))
+        yield pa.RecordBatch.from_pylist(files, schema=pa.schema(
+            [("part", pa.int64()), ("attempt", pa.int64()), ("file", pa.string()), ("records", pa.int64())]))
 
-    return rows.mapInArrow(write, "file string, records long")
+    return rows.mapInArrow(write, "part long, attempt long, file string, records long")
 
 
-def read_warc(spark, folder: str) -> DataFrame:
-    """Every record of the archives in ``folder``: the columns of ``RECORD``. A damaged file fails with :class:`BadArchive`."""
+def read_warc(spark: SparkSession, folder: str, attempts: dict[int, int] | None = None) -> DataFrame:
+    """Every record of the archives in ``folder``: the columns of ``RECORD``. A damaged file fails with :class:`BadArchive`.
+
+    ``attempts`` leaves out what write tasks left that Spark did not commit.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in RECORD.split(", ")]
         for batch in batches:
-            for content in batch.column("content"):
+            for path, content in zip(*batch.columns, strict=True):
+                if attempts is not None and not is_committed(path.as_py(), attempts):
+                    continue
                 rows, held = [], 0
                 for row in read_archive(content.as_py()):
                     rows.append(row)
@@ -207,7 +211,7 @@ def read_warc(spark, folder: str) -> DataFrame:
                     yield _batch(names, rows)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
-    return files.select("content").mapInArrow(read, RECORD)
+    return files.select("path", "content").mapInArrow(read, RECORD)
 
 
 def _batch(names: list[str], rows: list[tuple]) -> pa.RecordBatch:
@@ -220,6 +224,5 @@ def archive(pages: DataFrame, **options) -> DataFrame:
     spark = pages.sparkSession
     folder = run_dir(spark, "warc") + "/archives"
     written = staged(write_warc(pages, folder, train_dictionary(pages), **options), "warc-files")
-    if written.isEmpty():
-        return spark.createDataFrame([], RECORD)
-    return read_warc(spark, folder)
+    attempts = {r["part"]: r["attempt"] for r in written.select("part", "attempt").distinct().collect()}  # a row per write task
+    return read_warc(spark, folder, attempts) if attempts else spark.createDataFrame([], RECORD)

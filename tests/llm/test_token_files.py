@@ -60,5 +60,17 @@ def test_round_trip_in_id_order(documents, vocabulary):
     assert sorted(repr((r.doc_id, zlib.crc32(bytes(r.ids)))) for r in rows) == want
 
 
+def test_files_of_lost_attempts_are_not_read(spark, documents, vocabulary, scratch):
+    from pyspark.sql import functions as F
+
+    from terrapipe.llm.token_files import read_token_files, write_token_files
+
+    folder = f"{scratch}/files"
+    write_token_files(documents, folder, vocabulary, 2).collect()  # as if these attempts had been lost
+    tasks = write_token_files(documents, folder, vocabulary, 2).groupBy("part", "attempt").agg(F.sum("ids").alias("n")).collect()
+    rows = read_token_files(spark, folder, {r.part: r.n for r in tasks}, {r.part: r.attempt for r in tasks})
+    assert rows.count() == documents.count() and rows.select("start").distinct().count() == documents.count()
+
+
 def test_empty_table(empty, vocabulary):
     assert token_files(empty, vocabulary).collect() == []
