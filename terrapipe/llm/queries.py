@@ -93,6 +93,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_repeats": """
+        WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+        n AS (SELECT doc_id, b, octet_length(b) AS n FROM d),
+        w AS (SELECT doc_id, s, array_slice(b, s + 1, s + 50) AS k FROM (SELECT doc_id, b, unnest(range(n - 49)) AS s FROM n WHERE n >= 50)),
+        f AS (SELECT k, min(doc_id) AS least FROM w GROUP BY k),
+        hit AS (SELECT doc_id, s FROM w JOIN f USING (k) WHERE least < doc_id),
+        edge AS (SELECT doc_id, s, coalesce(s > lag(s) OVER o + 50, TRUE) AS fresh FROM hit WINDOW o AS (PARTITION BY doc_id ORDER BY s)),
+        run AS (SELECT doc_id, s, sum(CAST(fresh AS INT)) OVER (PARTITION BY doc_id ORDER BY s) AS g FROM edge),
+        span AS (SELECT doc_id, g, min(s) AS a, max(s) + 50 AS z FROM run GROUP BY doc_id, g),
+        cut AS (SELECT doc_id, list(a ORDER BY g) AS a, list(z ORDER BY g) AS z, sum(z - a) AS gone, count(*) AS spans FROM span GROUP BY doc_id)
+        SELECT doc_id, n AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+          sha256(CASE WHEN spans IS NULL THEN b ELSE unhex(array_to_string(list_transform(range(spans + 1), lambda i: coalesce(hex(array_slice(b,
+            CASE WHEN i = 0 THEN 1 ELSE z[i] + 1 END, CASE WHEN i = spans THEN n ELSE a[i + 1] END)), '')), '')) END) AS kept_sha256
+        FROM n LEFT JOIN cut USING (doc_id)""",
     "op10_warc": """
         WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS payload_digest,
                           octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes FROM pages),
