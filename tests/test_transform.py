@@ -7,11 +7,11 @@ from terrapipe.schemas import MUNICIPALITY_COLUMNS, MUNICIPALITY_RAW, STATE_COLU
 
 def _muni(mid, nome, uf_sigla, uf_id=33, micro=None):
     region = {"id": 3, "sigla": "se", "nome": "sudeste"}
-    uf = {"id": uf_id, "sigla": uf_sigla, "nome": " rio de janeiro", "regiao": region}
+    uf = {"id": uf_id, "sigla": uf_sigla, "nome": " porto claro", "regiao": region}
     meso = {"id": 3301, "nome": "metropolitana", "UF": uf}
     return {"id": mid, "nome": nome,
             "microrregiao": micro if micro is not None else {"id": 33018, "nome": "rio", "mesorregiao": meso},
-            "regiao-imediata": {"id": 330001, "nome": " rio de janeiro "}}
+            "regiao-imediata": {"id": 330001, "nome": " porto claro "}}
 
 
 def test_transform_states_cleans_and_types(spark):
@@ -26,19 +26,19 @@ def test_transform_states_cleans_and_types(spark):
 
 def test_transform_municipalities_columns_dedup_and_order(spark):
     raw = spark.createDataFrame([
-        _muni(3304557, "rio de janeiro", "rj"),
-        _muni(3304557, "rio de janeiro", "rj"),          # exact duplicate
-        _muni(3550308, "são paulo", "sp", uf_id=35),
-        _muni(3550308, "  ahh são paulo", "sp", uf_id=35),  # conflicting duplicate: smallest row wins
+        _muni(5100123, "porto claro", "rj"),
+        _muni(5100123, "porto claro", "rj"),          # exact duplicate
+        _muni(5200456, "são bento", "sp", uf_id=35),
+        _muni(5200456, "  ahh são bento", "sp", uf_id=35),  # conflicting duplicate: smallest row wins
         _muni(1, "beta", "rj"),
     ], MUNICIPALITY_RAW)
     out = transform_municipalities(raw.drop("regiao-intermediaria"))
     assert tuple(out.columns) == MUNICIPALITY_COLUMNS
     rows = out.collect()
-    assert [r.id for r in rows] == [3550308, 1, 3304557]  # ordered by nome
-    assert rows[0].nome == "Ahh São Paulo"
-    assert rows[2].sigla_uf == "RJ" and rows[2].uf_nome == "Rio De Janeiro"
-    assert rows[2].regiao_imediata_nome == "Rio De Janeiro"
+    assert [r.id for r in rows] == [5200456, 1, 5100123]  # ordered by nome
+    assert rows[0].nome == "Ahh São Bento"
+    assert rows[2].sigla_uf == "RJ" and rows[2].uf_nome == "Porto Claro"
+    assert rows[2].regiao_imediata_nome == "Porto Claro"
     assert rows[2].regiao_intermediaria_id is None and rows[2].regiao_intermediaria_nome is None
 
 
