@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,26 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, chars: int
     return [(r["_text"], int(r["_label"] != 0)) for r in sorted(found.collect(), key=lambda r: r["doc_id"])]
 
 
+def without_copies(drawn: list[tuple[str, int]], shared: float = 0.2) -> list[tuple[str, int]]:
+    """The texts that share at most ``shared`` of their word triples with those before them.
+
+    A text copied a hundred times would otherwise vouch a hundred times for
+    its rare words. Long texts are compared by a quarter of their triples,
+    chosen by hash.
+    """
+    seen: set[int] = set()
+    out = []
+    for text, label in drawn:
+        words = text.lower().split()
+        triples = {xxhash.xxh3_64_intdigest(" ".join(words[i:i + 3])) for i in range(max(1, len(words) - 2))}
+        if len(triples) > 64:
+            triples = {t for t in triples if t % 4 == 0}
+        if len(triples & seen) <= shared * len(triples):
+            out.append((text, label))
+        seen |= triples
+    return out
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 30) -> np.ndarray:
     """Weights (the last one the intercept) of a logistic model, by Newton's method. One class only: its smoothed rate."""
     x = np.column_stack([x, np.ones(len(x))])

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrapipe.llm.labelled import fit_logistic, probability, sample
+from terrapipe.llm.labelled import fit_logistic, probability, sample, without_copies
 from terrapipe.llm.shared import pieces
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -109,12 +109,12 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, where: Column | None = None, label: str = "toxic", rows: int = 6000,
         chars: int = 20_000, window: int = 12, ordinary_bytes: int = 8192) -> Model:
-    """Learn dictionaries and calibration from at most ``rows`` labelled documents.
+    """Learn dictionaries and calibration from at most ``rows`` labelled documents, copies among them left out.
 
     Without labels of both kinds every text gets one score, the smoothed rate
     (0 where there are no labels at all).
     """
-    drawn = sample(docs, labels, label, rows, chars, where)
+    drawn = without_copies(sample(docs, labels, label, rows, chars, where))
     texts = [[t for t, y in drawn if y == k] for k in (0, 1)]
     ordinary, toxic = b"", ""
     if all(texts):
