@@ -71,7 +71,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = F.crc32(F.col("doc_id").cast("string")) % 4
     model = toxicity.fit(docs, labels, where=fold != 2)
     return toxicity.score(docs, model).select(
-        "doc_id", (fold == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+        "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -112,3 +112,14 @@ def test_registered_queries(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     for r in QUERIES["op9_quality"](spark, sf).collect():
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute_base(texts[r.doc_id] or "")
+
+
+def test_copies_vouch_once():
+    from terrapipe.llm.labelled import without_copies
+
+    rng = random.Random(4)
+    rows = [(" ".join(f"w{rng.randrange(5000)}" for _ in range(200)), i % 2) for i in range(20)]
+    copies = [(t + " tail", y) for t, y in rows[:5] for _ in range(30)]
+    assert without_copies(rows) == rows
+    assert without_copies(rows + copies) == rows
+    assert without_copies([("", 0), ("", 1), ("one", 1), ("one two", 0)]) == [("", 0), ("one", 1), ("one two", 0)]
