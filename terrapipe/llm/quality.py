@@ -143,11 +143,12 @@ def train(drawn: list[tuple[str, int]], passes: int = 60, rate: float = 0.5, rid
                 value.append((n / len(s)).astype(np.float32))
                 row.append(np.full(len(at), i, np.int32))
     index, value, row = map(np.concatenate, (index, value, row))
+    slices = [slice(i, i + (1 << 20)) for i in range(0, len(index), 1 << 20)]  # bounds what is held besides the features
     weights, squares, intercept = np.zeros(size), np.full(size, 1e-12), 0.0
     for _ in range(passes):
-        margin = np.bincount(row, weights[index] * value, len(drawn)) + intercept
+        margin = sum(np.bincount(row[s], weights[index[s]] * value[s], len(drawn)) for s in slices) + intercept
         off = np.where(fitted, 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels, 0.0)
-        grad = np.bincount(index, off[row] * value, size) / fitted.sum() + ridge * weights
+        grad = sum(np.bincount(index[s], off[row[s]] * value[s], size) for s in slices) / fitted.sum() + ridge * weights
         squares += grad * grad
         weights -= rate * grad / np.sqrt(squares)
         intercept -= rate * off.sum() / fitted.sum()
