@@ -31,7 +31,8 @@ def frequency(df: DataFrame, column: str, k: int | None = None) -> DataFrame:
 
 def describe_counts(df: DataFrame, column: str, k: int | None = 10) -> DataFrame:
     """Eight-number summary of the (top-k) group counts, one row. Without
-    ``k`` the counts are summarised unordered (no global sort needed)."""
+    ``k`` the counts are summarised unordered (no global sort needed); the
+    exact percentiles then hold one entry per distinct count in one buffer."""
     counts = frequency(df, column, k) if k is not None else group_counts(df, column)
     q = F.percentile(F.col("count"), [0.25, 0.5, 0.75])
     return counts.agg(
