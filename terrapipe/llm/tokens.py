@@ -27,7 +27,7 @@ CLOSING = r"([A-Za-zÀ-ÖØ-öø-ÿ0-9])([.,!?;:&%$#*|]+)([ \n]|$)"
 PLAIN = re.compile(r"[a-zÀ-ÖØ-öø-ÿ]+|[.,!?;:&%$#*|]+")
 #: A text with this may hold a special token, which marks do not cut.
 SPECIAL = "<|"
-CACHED = 600_000
+CACHED = 300_000
 
 
 class Encoder:
