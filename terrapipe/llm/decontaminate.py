@@ -2,9 +2,8 @@
 
 A spaced seed is a fixed mask over token positions: the tokens under its ones
 are hashed, those under its zeros are ignored, so a changed token under a
-zero does not lose the hit. The masks here are ``1`` + a rotation of a sparse
-pattern; any window of ``SPAN`` tokens with up to one substitution, and most
-with more, keeps at least one whole seed.
+zero does not lose the hit. A window of 16 tokens with one substitution always
+keeps a whole seed of ``SEEDS``, and most with more do.
 
 The hashes of every position of the benchmark texts (the test side) meet those
 of every position of the documents (the training side). Around each hit the
@@ -36,6 +35,8 @@ SEEDS = ((0, 1, 2, 3, 4), (0, 2, 3, 5, 7), (0, 1, 4, 6, 9), (0, 3, 4, 7, 8))
 #: Tokens of benchmark texts in one broadcast block: some 100 MB of hashes at most.
 BLOCK_TOKENS = 1 << 20
 LEADING = 22
+#: Hits laid out at once.
+HITS = 1 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _EDGE = b".,;:!?\"'()[]{}|*#%&$<>"
 
@@ -97,9 +98,15 @@ def overlaps(words: np.ndarray, block: Block, coverage: float, least: int, run:
         at, low, n = at[n > 0], low[n > 0], n[n > 0]
         if not len(at):
             continue
-        k = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        place = block.places[k]
-        diagonals.append(np.column_stack([np.searchsorted(block.bounds, place, side="right") - 1, np.repeat(at, n) - place]))
+        upto, begin = np.cumsum(n), 0
+        while begin < len(at):  # words repeated on both sides give many hits on few diagonals
+            end = max(begin + 1, int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + HITS, side="right")))
+            m = n[begin:end]
+            k = np.repeat(low[begin:end] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+            place = block.places[k]
+            diagonals.append(np.unique(np.column_stack(
+                [np.searchsorted(block.bounds, place, side="right") - 1, np.repeat(at[begin:end], m) - place]), axis=0))
+            begin = end
     best: dict[int, tuple] = {}
     if not diagonals:
         return []

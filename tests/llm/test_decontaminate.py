@@ -73,6 +73,15 @@ def test_against_brute_force(spark):
         assert got == want and len(want) > 30
 
 
+def test_words_repeated_on_both_sides(monkeypatch):
+    from terrapipe.llm import decontaminate
+
+    monkeypatch.setattr(decontaminate, "HITS", 100)
+    text, item = "the " * 400 + ITEM, "the " * 60
+    block = Block.of([(1, item), (2, ITEM)])
+    assert [(f[0], f[3]) for f in overlaps(tokens(text), block, 0.5, 10, 20)] == [(0, 60), (1, 40)]
+
+
 def test_empty_tables(documents, empty):
     bench = documents.select(F.lit(1).cast("long").alias("item_id"), "text").limit(0)
     assert contamination(documents, bench).collect() == []
