@@ -10,7 +10,9 @@ what is known of each slot (how much text, whether it ever differs).
 The wrapper then tells the article's slots from the template's: those below
 ``article`` or ``main`` or, in hosts without either, below the element with
 most of the text; not those in navigation, headers, footers, asides, forms,
-scripts, adverts, notices or comments, nor strings that never differ.
+scripts, adverts, notices or comments, nor strings that never differ between
+three or more distinct pages (copies count once), unless nothing else is left
+or they are headings or inline parts of the article.
 
 Every task folds its pages into one wrapper per host before anything is
 shuffled, and hosts are merged in two steps (salted, then whole), so that a
@@ -54,6 +56,9 @@ LAYOUT_WORDS = frozenset("container has layout main no page site with without wr
 ARTICLE_TAGS = frozenset(("article", "main"))
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Distinct pages from which a slot with one text is the template's; so many marks are kept per slot.
+CONSTANT_FROM = 3
 #: Hosts a task folds before it hands them on.
 HELD_HOSTS = 2000
 
@@ -214,7 +219,10 @@ def expression(items: list) -> str:
 
 
 def observe(page: str) -> tuple[list, dict[str, list]]:
-    """The page's own folded sequence, and per slot ``[pages, least, greatest hash of its text, characters]``."""
+    """The page's own folded sequence, and per slot ``[pages' marks, least, greatest hash of its text, characters]``.
+
+    A page's mark hashes its texts outside templates, so copies have one mark.
+    """
     levels: list[list] = [[]]
     texts: dict[str, list[str]] = {}
     for kind, path, text in walk(page):
@@ -228,10 +236,15 @@ def observe(page: str) -> tuple[list, dict[str, list]]:
         elif text.strip():
             levels[-1].append(["#", [], False, False])
             texts.setdefault("/".join(path), []).append(" ".join(text.split()))
-    slots = {}
+    slots, whole = {}, xxhash.xxh64()
     for path, found in texts.items():
-        mark = xxhash.xxh64_intdigest("\n".join(found)) >> 1
-        slots[path] = [1, mark, mark, sum(map(len, found))]
+        text = "\n".join(found)
+        mark = xxhash.xxh64_intdigest(text) >> 1
+        slots[path] = [[], mark, mark, sum(map(len, found))]
+        if not in_template(path.split("/")):
+            whole.update(f"{path}\0{text}\0")
+    for slot in slots.values():
+        slot[0].append(whole.intdigest() >> 1)
     return fold(levels[0]), slots
 
 
@@ -242,10 +255,10 @@ class Wrapper:
 
     def add(self, items: list, slots: dict[str, list]) -> None:
         self.items = items if self.items is None else align(self.items, items)
-        for path, (n, low, high, size) in slots.items():
+        for path, (marks, low, high, size) in slots.items():
             known = self.slots.get(path)
-            self.slots[path] = [n, low, high, size] if known is None else [
-                known[0] + n, min(known[1], low), max(known[2], high), known[3] + size]
+            self.slots[path] = [marks, low, high, size] if known is None else [
+                sorted({*known[0], *marks})[:CONSTANT_FROM], min(known[1], low), max(known[2], high), known[3] + size]
 
     def dump(self) -> str:
         return json.dumps([self.items, self.slots])
@@ -272,12 +285,32 @@ def in_article(path: tuple[str, ...] | list[str]) -> bool:
     return any(part.split(".", 1)[0] in ARTICLE_TAGS for part in path)
 
 
-def article_slots(slots: dict[str, list]) -> tuple[frozenset[str], frozenset[str]]:
-    """The paths of the wrapper's text slots below an article element, and those that hold the article of a page without one."""
+def block_of(path: str) -> list[str]:
+    """The path without the inline elements at its end."""
+    parts = path.split("/")
+    while parts and parts[-1].split(".", 1)[0] in INLINE:
+        parts.pop()
+    return parts
+
+
+def with_constants(kept: frozenset[str], constant: frozenset[str]) -> frozenset[str]:
+    """``kept`` and the constant slots that belong to it: inline ones of a kept block, headings beside a kept slot."""
+    blocks = {tuple(block_of(p)) for p in kept}
+    parents = {b[:n] for b in blocks for n in range(len(b))}
+    found = set(kept)
+    for path in constant:
+        block = tuple(block_of(path))
+        if block in blocks or (block and block[-1].split(".", 1)[0] in HEADINGS and block[:-1] in parents):
+            found.add(path)
+    return frozenset(found)
+
+
+def article_slots(slots: dict[str, list]) -> tuple[frozenset[str], frozenset[str], frozenset[str]]:
+    """The paths of the wrapper's text slots below an article element, those that hold the article of a page without one, and all that may."""
     open_ = {path: path.split("/") for path in slots if not in_template(path.split("/"))}
     inside = frozenset(path for path, parts in open_.items() if in_article(parts))
     open_ = {path: parts for path, parts in open_.items() if path not in inside}
-    differ = [path for path in open_ if slots[path][0] < 3 or slots[path][1] != slots[path][2]]
+    differ = [path for path in open_ if len(slots[path][0]) < CONSTANT_FROM or slots[path][1] != slots[path][2]]
     total = sum(slots[p][3] for p in differ)
     prefix: list[str] = []
     while True:
@@ -290,12 +323,14 @@ def article_slots(slots: dict[str, list]) -> tuple[frozenset[str], frozenset[str
         if top is None or mass[top] < 0.6 * total:
             break
         prefix.append(top)
-    return inside, frozenset(p for p in differ if open_[p][:len(prefix)] == prefix)
+    kept = frozenset(p for p in differ if open_[p][:len(prefix)] == prefix)
+    constant = frozenset(p for p in set(open_) - set(differ) if open_[p][:len(prefix)] == prefix)
+    return inside, with_constants(kept, constant), frozenset(open_)
 
 
-def main_text(page: str, keep: tuple[frozenset[str], frozenset[str]]) -> str:
-    """The page's article: the slots below its article element or, where there is none, the others."""
-    return kept_text(page, keep[0]) or kept_text(page, keep[1])
+def main_text(page: str, keep: tuple[frozenset[str], frozenset[str], frozenset[str]]) -> str:
+    """The page's article: the slots below its article element or, where there is none, the others, constant ones if no other has text."""
+    return kept_text(page, keep[0]) or kept_text(page, keep[1]) or kept_text(page, keep[2])
 
 
 def kept_text(page: str, keep: frozenset[str]) -> str:
@@ -372,7 +407,7 @@ def extract(pages: DataFrame, url_column: str = "url", html_column: str = "html"
     out = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[frozenset[str], frozenset[str]]] = {}
+        known: dict[str, tuple[frozenset[str], frozenset[str], frozenset[str]]] = {}
         for batch in pieces(batches, "html"):
             texts = []
             for host, wrapper, page in zip(*(batch.column(c).to_pylist() for c in ("host", "wrapper", "html")), strict=True):

@@ -73,3 +73,16 @@ def test_whole_pages_of_the_fixture(spark, sf_small):
         inside = re.search(r"<article>(.*?)</article>", pages[r.page_id], re.S)[1]
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", inside)]
         assert r.text == "\n\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
+
+
+@pytest.mark.parametrize("copies", [1, 2, 3, 50])
+def test_copies_keep_their_text(copies):
+    page = "<nav>menu</nav><div class='story'><h1>Title</h1><p>The <b>one</b> text</p></div><script>track({0})</script>"
+    assert texts(*(page.format(k) for k in range(copies))) == ["Title\n\nThe one text"] * copies
+
+
+def test_constant_headings_and_inline_parts_stay():
+    page = "<div class='top'>Our site</div><div class='story'><h2>Summary</h2><p>{0} <b>told</b> {0}</p><p>All rights reserved</p></div>"
+    plain = "<div class='top'>Our site</div>"
+    got = texts(*(page.format(w * 9) for w in "abcd"), plain)
+    assert got[:4] == [f"Summary\n\n{w * 9} told {w * 9}\n\nAll rights reserved" for w in "abcd"] and got[4] == "Our site"
