@@ -8,8 +8,8 @@ Aligning a host's pages one after the other gives the wrapper, together with
 what is known of each slot (how much text, whether it ever differs).
 
 The wrapper then tells the article's slots from the template's: those below
-``article`` or ``main`` or, in hosts without either, below the element with
-most of the text; not those in navigation, headers, footers, asides, forms,
+``article`` or ``main`` or, in pages without either, below the container with
+most of the page's text and of the wrapper's; not those in navigation, headers, footers, asides, forms,
 scripts, adverts, notices or comments, nor strings that never differ between
 three or more distinct pages (copies count once), unless nothing else is left
 or they are headings or inline parts of the article.
@@ -57,6 +57,9 @@ ARTICLE_TAGS = frozenset(("article", "main"))
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Parts of an article, in which the search for its container ends.
+CONTENT = INLINE | HEADINGS | frozenset("p ul ol dl li dt dd table caption thead tbody tfoot tr td th pre blockquote figure figcaption "
+                                        "hgroup details summary address math".split())
 #: Distinct pages from which a slot with one text is the template's; so many marks are kept per slot.
 CONSTANT_FROM = 3
 #: Hosts a task folds before it hands them on.
@@ -305,35 +308,58 @@ def with_constants(kept: frozenset[str], constant: frozenset[str]) -> frozenset[
     return frozenset(found)
 
 
-def article_slots(slots: dict[str, list]) -> tuple[frozenset[str], frozenset[str], frozenset[str]]:
-    """The paths of the wrapper's text slots below an article element, those that hold the article of a page without one, and all that may."""
+def article_slots(slots: dict[str, list]) -> tuple[frozenset[str], dict[str, int], frozenset[str]]:
+    """The paths of the wrapper's text slots below an article element; those that may hold the article of a page without one, with
+    their characters in all pages; and these with the constant ones."""
     open_ = {path: path.split("/") for path in slots if not in_template(path.split("/"))}
     inside = frozenset(path for path, parts in open_.items() if in_article(parts))
-    open_ = {path: parts for path, parts in open_.items() if path not in inside}
-    differ = [path for path in open_ if len(slots[path][0]) < CONSTANT_FROM or slots[path][1] != slots[path][2]]
-    total = sum(slots[p][3] for p in differ)
-    prefix: list[str] = []
+    others = frozenset(open_) - inside
+    return inside, {p: slots[p][3] for p in others if len(slots[p][0]) < CONSTANT_FROM or slots[p][1] != slots[p][2]}, others
+
+
+def region(own: dict[str, int], mass: dict[str, int]) -> list[str]:
+    """The path of the container that holds the article of a page without an article element; ``own``: its slots' characters.
+
+    The region narrows to a container only if that holds most of this page's
+    text and most of what all pages have in this page's slots, so a page of
+    another layout keeps its own. Blocks of content are never a region.
+    """
+    parts = {p: p.split("/") for p in own}
+    need = [(weight, 0.6 * sum(weight[p] for p in own)) for weight in (own, mass)]
+    prefix, left = [], list(own)
     while True:
-        mass: dict[str, int] = {}
-        for p in differ:
-            parts = open_[p]
-            if len(parts) > len(prefix) and parts[:len(prefix)] == prefix and parts[len(prefix)].split(".", 1)[0] not in INLINE | {"p"}:
-                mass[parts[len(prefix)]] = mass.get(parts[len(prefix)], 0) + slots[p][3]
-        top = max(mass, key=lambda k: (mass[k], k), default=None)
-        if top is None or mass[top] < 0.6 * total:
-            break
-        prefix.append(top)
-    kept = frozenset(p for p in differ if open_[p][:len(prefix)] == prefix)
-    constant = frozenset(p for p in set(open_) - set(differ) if open_[p][:len(prefix)] == prefix)
-    return inside, with_constants(kept, constant), frozenset(open_)
-
-
-def main_text(page: str, keep: tuple[frozenset[str], frozenset[str], frozenset[str]]) -> str:
-    """The page's article: the slots below its article element or, where there is none, the others, constant ones if no other has text."""
-    return kept_text(page, keep[0]) or kept_text(page, keep[1]) or kept_text(page, keep[2])
-
-
-def kept_text(page: str, keep: frozenset[str]) -> str:
+        depth = len(prefix)
+        below: dict[str, list[str]] = {}
+        for p in left:
+            if len(parts[p]) > depth and parts[p][depth].split(".", 1)[0] not in CONTENT:
+                below.setdefault(parts[p][depth], []).append(p)
+        top = [k for k, paths in below.items() if all(sum(weight[p] for p in paths) >= least for weight, least in need)]
+        if not top:  # two cannot have 60 % each
+            return prefix
+        prefix, left = [*prefix, top[0]], below[top[0]]
+
+
+def main_text(page: str, keep: tuple[frozenset[str], dict[str, int], frozenset[str]]) -> str:
+    """The page's article: the slots below its article element or, where there is none, its region of the others, constant ones if no other has text."""
+    inside, mass, others = keep
+    events = list(walk(page))
+    if text := kept_text(events, inside):
+        return text
+    own: dict[str, int] = {}
+    found: set[str] = set()
+    for kind, parts, text in events:
+        if kind == "text" and text.strip() and (path := "/".join(parts)) in others:
+            found.add(path)
+            if path in mass:
+                own[path] = own.get(path, 0) + len(" ".join(text.split()))
+    if not own:
+        return kept_text(events, frozenset(found))
+    prefix = region(own, mass)
+    around = {p for p in found if p.split("/")[:len(prefix)] == prefix}
+    return kept_text(events, with_constants(frozenset(around & own.keys()), frozenset(around - own.keys())))
+
+
+def kept_text(events: list[tuple[str, tuple[str, ...], str]], keep: frozenset[str]) -> str:
     """The blocks of the kept slots, in page order, joined by an empty line."""
     if not keep:
         return ""
@@ -346,7 +372,7 @@ def kept_text(page: str, keep: frozenset[str]) -> str:
         if block:
             blocks.append(block)
 
-    for kind, path, text in walk(page):
+    for kind, path, text in events:
         if kind == "text":
             if "/".join(path) in keep:
                 held.append(text)
@@ -407,7 +433,7 @@ def extract(pages: DataFrame, url_column: str = "url", html_column: str = "html"
     out = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[frozenset[str], frozenset[str], frozenset[str]]] = {}
+        known: dict[str, tuple[frozenset[str], dict[str, int], frozenset[str]]] = {}
         for batch in pieces(batches, "html"):
             texts = []
             for host, wrapper, page in zip(*(batch.column(c).to_pylist() for c in ("host", "wrapper", "html")), strict=True):

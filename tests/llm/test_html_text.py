@@ -86,3 +86,24 @@ def test_constant_headings_and_inline_parts_stay():
     plain = "<div class='top'>Our site</div>"
     got = texts(*(page.format(w * 9) for w in "abcd"), plain)
     assert got[:4] == [f"Summary\n\n{w * 9} told {w * 9}\n\nAll rights reserved" for w in "abcd"] and got[4] == "Our site"
+
+
+def test_two_layouts_on_one_host():
+    one = "<body><div class='top'>Our site</div><div class='content'><h1>{0}</h1><p>{0} {0} {0}</p></div><div class='end'>All rights</div></body>"
+    two = "<body><div class='top'>Our site</div><div class='post'><p>{0}</p><p>{0}</p></div><div class='end'>All rights</div></body>"
+    both = "<body><div class='content'>Teaser {0}</div><div class='post'><p>{0} {0} {0}</p></div></body>"
+    long, words = "several words of {0} and more of {0} ", "abcdefghij"
+    pages = [(one if k < 7 else two).format(long.format(w * 5).strip()) for k, w in enumerate(words)]
+    got = texts(*pages, both.format("other text " * 9))
+    assert all(g.startswith("several") for g in got[:10]) and not any("Our site" in g or "All rights" in g for g in got)
+    assert [g.count("several") for g in got] == [4] * 7 + [2] * 3 + [0]
+    assert got[10].count("other text") >= 27
+
+
+@pytest.mark.parametrize("block,parts", [
+    ("<ul>{0}</ul>", "<li>{0}</li>"), ("<ol>{0}</ol>", "<li><p>{0}</p></li>"), ("<pre>{0}</pre>", "{0}"), ("<table>{0}</table>", "<tr><td>{0}</td></tr>"),
+    ("<blockquote>{0}</blockquote>", "<p>{0}</p>"), ("<h2>{0}</h2>", "{0}"), ("<dl>{0}</dl>", "<dd>{0}</dd>")])
+def test_blocks_of_content_are_not_the_whole_article(block, parts):
+    page = "<h1>Our site</h1><div class='content'><h1>title {0}</h1><p>lead {0}</p>" + block.format(parts.format("item {0} " * 30)) + "<p>end {0}</p></div>"
+    for w, got in zip("abcd", texts(*(page.format(w * 4) for w in "abcd")), strict=True):
+        assert got.startswith(f"title {w * 4}\n\nlead {w * 4}\n\nitem") and got.endswith(f"\n\nend {w * 4}") and got.count("item") == 30
