@@ -12,7 +12,9 @@ The wrapper then tells the article's slots from the template's: those below
 most of the page's text and of the wrapper's; not those in navigation, headers, footers, asides, forms,
 scripts, adverts, notices or comments, nor strings that never differ between
 three or more distinct pages (copies count once), unless nothing else is left
-or they are headings or inline parts of the article.
+or they are headings or inline parts of the article. Inside an article, a
+class word (notice, share, related) makes a block the template's only if its
+text is the same wherever the host shows it.
 
 Every task folds its pages into one wrapper per host before anything is
 shuffled, and hosts are merged in two steps (salted, then whole), so that a
@@ -244,7 +246,7 @@ def observe(page: str) -> tuple[list, dict[str, list]]:
         text = "\n".join(found)
         mark = xxhash.xxh64_intdigest(text) >> 1
         slots[path] = [[], mark, mark, sum(map(len, found))]
-        if not in_template(path.split("/")):
+        if not template_part(path.split("/")):
             whole.update(f"{path}\0{text}\0")
     for slot in slots.values():
         slot[0].append(whole.intdigest() >> 1)
@@ -267,21 +269,27 @@ class Wrapper:
         return json.dumps([self.items, self.slots])
 
 
-def in_template(path: tuple[str, ...] | list[str]) -> bool:
-    """Whether an element of the path is one of a template; a header inside an article is the article's."""
-    inside = False
+def template_part(path: tuple[str, ...] | list[str]) -> str:
+    """``"all"`` below an element of a template, ``"word"`` below one that only its words, inside an article, make one, else ``""``.
+
+    A header inside an article is the article's, whatever its other words.
+    """
+    inside, word = False, ""
     around = sum(1 for part in path if part.split(".", 1)[0] in ARTICLE_TAGS)
     for part in path:
         tag, *words = part.split(".")
         if tag in ARTICLE_TAGS:
             inside, around = True, around - 1
         if tag in TEMPLATE_TAGS and not (inside and tag == "header"):
-            return True
-        if tag in ("html", "body", *ARTICLE_TAGS) or TEMPLATE_WORDS.isdisjoint(words) or (inside and words == ["header"]):
+            return "all"
+        if tag in ("html", "body", *ARTICLE_TAGS):
             continue
-        if not (around and not LAYOUT_WORDS.isdisjoint(words)):
-            return True
-    return False
+        found = TEMPLATE_WORDS.intersection(words) - ({"header"} if inside else set())
+        if found and not (around and not LAYOUT_WORDS.isdisjoint(words)):
+            if not inside:
+                return "all"
+            word = "word"
+    return word
 
 
 def in_article(path: tuple[str, ...] | list[str]) -> bool:
@@ -310,8 +318,16 @@ def with_constants(kept: frozenset[str], constant: frozenset[str]) -> frozenset[
 
 def article_slots(slots: dict[str, list]) -> tuple[frozenset[str], dict[str, int], frozenset[str]]:
     """The paths of the wrapper's text slots below an article element; those that may hold the article of a page without one, with
-    their characters in all pages; and these with the constant ones."""
-    open_ = {path: path.split("/") for path in slots if not in_template(path.split("/"))}
+    their characters in all pages; and these with the constant ones.
+
+    A block inside an article that a word makes a template's stays where the wrapper has seen its text differ.
+    """
+    open_ = {}
+    for path, (_, low, high, _) in slots.items():
+        parts = path.split("/")
+        part = template_part(parts)
+        if not part or (part == "word" and low != high):
+            open_[path] = parts
     inside = frozenset(path for path, parts in open_.items() if in_article(parts))
     others = frozenset(open_) - inside
     return inside, {p: slots[p][3] for p in others if len(slots[p][0]) < CONSTANT_FROM or slots[p][1] != slots[p][2]}, others

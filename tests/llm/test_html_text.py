@@ -107,3 +107,18 @@ def test_blocks_of_content_are_not_the_whole_article(block, parts):
     page = "<h1>Our site</h1><div class='content'><h1>title {0}</h1><p>lead {0}</p>" + block.format(parts.format("item {0} " * 30)) + "<p>end {0}</p></div>"
     for w, got in zip("abcd", texts(*(page.format(w * 4) for w in "abcd")), strict=True):
         assert got.startswith(f"title {w * 4}\n\nlead {w * 4}\n\nitem") and got.endswith(f"\n\nend {w * 4}") and got.count("item") == 30
+
+
+def test_headers_of_an_article_stay():
+    page = ('<article class="post"><header class="entry-header"><h1>Title {0}</h1></header><div class="post-header">Lead {0}</div><p>text {0}</p>'
+            '<header class="header">Sub {0}</header></article><div class="page-header">site</div><header>site</header>')
+    want = "Title {0}\n\nLead {0}\n\ntext {0}\n\nSub {0}"
+    assert texts(page.format("a")) == [want.format("a")]
+    assert texts(*(page.format(w) for w in "abcd")) == [want.format(w) for w in "abcd"]
+
+
+def test_the_wrapper_decides_on_blocks_with_template_words_inside_an_article():
+    page = ('<article><p>text {0}</p><div class="notice-box"><p>Results of trial {0}</p></div><div class="share-bar">Share this</div>'
+            '<div class="search-method">Searched {0}</div><nav>next {0}</nav></article>')
+    assert texts(*(page.format(w) for w in "abc")) == [f"text {w}\n\nResults of trial {w}\n\nSearched {w}" for w in "abc"]
+    assert texts(*[page.format("a")] * 3) == ["text a"] * 3
