@@ -30,10 +30,15 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.reject(docs, model, TOXIC_FROM)
 
 
+def placed(docs: DataFrame, place: str) -> DataFrame:
+    """``docs`` with a number per row, stored: numbers computed again could fall on other rows, as they follow the splits."""
+    return staged(docs.withColumn(place, F.monotonically_increasing_id()), "pipeline-rows")
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (4-word shingles, 4 bits) the row with the smallest id, the first of equal ones."""
     place, key = unused(docs, "_place"), unused(docs, "_key")
-    rows = docs.withColumn(place, F.monotonically_increasing_id())
+    rows = placed(docs, place)
     keyed = rows.withColumn(key, F.struct(F.col("doc_id"), F.col(place).alias("place")))
     groups = near_duplicates(keyed, shingle=4, max_bits=4, id_column=key)
     others = staged(groups.where("id <> component_id").select(F.col("id.place").alias(place)), "pipeline-copies")
@@ -43,7 +48,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def not_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     place = unused(docs, "_place")
-    rows = docs.withColumn(place, F.monotonically_increasing_id())
+    rows = placed(docs, place)
     found = contamination(rows, table(spark, sf_dir, "benchmark"), id_column=place)
     found = staged(found.select(F.col("id").alias(place)).distinct(), "pipeline-leaks")
     return rows.join(found, place, "left_anti").select(*docs.columns)

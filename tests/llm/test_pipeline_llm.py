@@ -77,3 +77,32 @@ def test_empty_documents(spark, tmp_path):
         stage(spark, docs, SF).write.parquet(f"{tmp_path}/{name}")
         docs = spark.read.parquet(f"{tmp_path}/{name}")
         assert docs.count() == 0
+
+
+@pytest.mark.parametrize("stage", [C.one_of_each, C.not_benchmark])
+def test_other_splits_between_the_plans(spark, tmp_path, monkeypatch, stage):
+    leak = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 100").orderBy("item_id").first().text
+    texts = [f"clean {k} " + " ".join(f"w{zlib.crc32(b'%d %d' % (k, n)) % 5000}" for n in range(60 * (k + 1))) for k in range(6)]
+    bad = texts[2] if stage is C.one_of_each else leak
+    for k, text in enumerate(texts):
+        rows = [(k, text), (100 + k, bad)] if k == 5 else [(k, text)]
+        spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/docs")
+    conf, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost, cost_before = "spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.openCostInBytes")
+    kept = C.staged
+
+    def staged(df, name):
+        out = kept(df, name)
+        spark.conf.set(conf, "1k")  # a split per piece of a file from here on
+        spark.conf.set(cost, "1k")
+        return out
+
+    monkeypatch.setattr(C, "staged", staged)
+    spark.conf.set(conf, "1g")
+    spark.conf.set(cost, "0")
+    try:
+        got = stage(spark, spark.read.parquet(f"{tmp_path}/docs"), SF)
+        assert sorted(r.doc_id for r in got.collect()) == list(range(6))
+    finally:
+        spark.conf.set(conf, before)
+        spark.conf.set(cost, cost_before)
