@@ -8,7 +8,8 @@ keeps a whole seed of ``SEEDS``, and most with more do.
 The hashes of every position of the benchmark texts (the test side) meet those
 of every position of the documents (the training side). Around each hit the
 two texts are laid on the same diagonal and compared token by token; an
-overlap is reported when enough tokens agree (``coverage`` of the item).
+overlap is reported when enough tokens agree (``coverage`` of the item, or a
+run of neighbouring ones).
 
 The benchmark is read in blocks of a bounded number of tokens; each block is
 broadcast as sorted arrays and met by a pass over the documents, so what is
@@ -35,6 +36,8 @@ SEEDS = ((0, 1, 2, 3, 4), (0, 2, 3, 5, 7), (0, 1, 4, 6, 9), (0, 3, 4, 7, 8))
 #: Tokens of benchmark texts in one broadcast block: some 100 MB of hashes at most.
 BLOCK_TOKENS = 1 << 20
 LEADING = 22
+#: Neighbouring tokens of a diagonal in which a run has to agree.
+RUN_WITHIN = 64
 #: Hits laid out at once.
 HITS = 1 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -87,6 +90,13 @@ class Block:
         return cls([i for i, _ in items], np.concatenate([*each, np.zeros(0, np.uint64)]), bounds, hashes[order], places[order], present)
 
 
+def densest(agree: np.ndarray) -> int:
+    """The most tokens that agree among ``RUN_WITHIN`` neighbours."""
+    upto = np.concatenate(([0], np.cumsum(agree)))
+    width = min(RUN_WITHIN, len(agree))
+    return int((upto[width:] - upto[:len(upto) - width]).max())
+
+
 def overlaps(words: np.ndarray, block: Block, coverage: float, least: int, run: int) -> list[tuple]:
     """``(item index, document's first token, end, tokens that agree)`` of the verified overlaps, the best per item."""
     diagonals = []
@@ -115,7 +125,7 @@ def overlaps(words: np.ndarray, block: Block, coverage: float, least: int, run:
         a, b = max(0, begin + shift), min(len(words), end + shift)
         agree = words[a:b] == block.words[a - shift:b - shift]
         n = int(agree.sum())
-        if n >= min(run, max(min(least, end - begin), coverage * (end - begin))):
+        if n >= max(min(least, end - begin), coverage * (end - begin)) or (n >= run and densest(agree) >= run):
             inside = np.flatnonzero(agree)
             found = (item, a + int(inside[0]), a + int(inside[-1]) + 1, n)
             if item not in best or (n, -found[1]) > (best[item][3], -best[item][1]):
@@ -144,8 +154,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5,
 
     A document holds an item when, on one diagonal around a seed hit, at
     least ``coverage`` of the item's tokens agree, and ``least`` of them (all,
-    for a shorter item); ``run_tokens`` that agree are enough for any item. Null texts and items shorter than the shortest seed
-    (five tokens) hold nothing; null ids stay null; repeated benchmark rows
+    for a shorter item); ``run_tokens`` that agree within ``RUN_WITHIN`` neighbouring ones are enough for any item, so words that
+    agree here and there along a long one are not. Null texts and items shorter than the shortest seed (five tokens) hold nothing; null ids stay null; repeated benchmark rows
     count once; repeated documents are reported each; no benchmark, no rows.
     """
     spark = docs.sparkSession

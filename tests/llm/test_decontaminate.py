@@ -87,3 +87,16 @@ def test_empty_tables(documents, empty):
     assert contamination(documents, bench).collect() == []
     full = documents.select(F.lit(1).cast("long").alias("item_id"), "text")
     assert contamination(empty, full).collect() == []
+
+
+def test_scattered_words_of_a_long_item_are_no_run():
+    rng = random.Random(11)
+    weights = [1 / (k + 1) for k in range(3000)]
+    item, other = (rng.choices(VOCABULARY, weights, k=2000) for _ in range(2))
+    other[700:705] = item[700:705]
+    block = Block.of([(1, " ".join(item)), (2, ITEM)])
+    assert sum(a == b for a, b in zip(item, other, strict=True)) >= 20
+    assert overlaps(tokens(" ".join(other)), block, 0.5, 10, 20) == []
+    assert [f[0] for f in overlaps(tokens(" ".join(other[:600] + item[900:925] + other[625:])), block, 0.5, 10, 20)] == [0]
+    assert [f[0] for f in overlaps(tokens(" ".join(other[:600] + ITEM.split()[:25])), block, 0.5, 10, 20)] == [1]
+    assert [f[0] for f in overlaps(tokens(changed(" ".join(item), range(0, 2000, 3))), block, 0.5, 10, 20)] == [0]
