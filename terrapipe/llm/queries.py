@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrapipe.llm import quality, toxicity
+from terrapipe.llm.collocations import collocations
 from terrapipe.llm.decontaminate import contamination
 from terrapipe.llm.html_text import extract
 from terrapipe.llm.packing import pack
@@ -79,6 +80,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")), threshold=0.5)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_pack": op2_pack,
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -115,4 +121,24 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN first_id IS NOT NULL AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN first_id IS NOT NULL AND page_id <> first_id THEN first_id END AS refers_to
         FROM p LEFT JOIN f USING (payload_digest)""",
+    "op13_collocations": r"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+        g AS (SELECT lang, i, k, w[i:i + k - 1] AS g FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                                                           FROM (SELECT *, unnest([1, 2, 3]) AS k FROM w))),
+        f AS MATERIALIZED (SELECT lang, k, g, count(*) AS f FROM g GROUP BY ALL),
+        total AS (SELECT lang, count(*) AS n FROM g WHERE k = 1 GROUP BY lang),
+        c AS (SELECT * FROM f WHERE k > 1 AND f >= 10),
+        part AS MATERIALIZED (SELECT *, g[:m] AS gl, g[m + 1:] AS gr FROM (SELECT *, unnest(range(1, k)) AS m FROM c)),
+        cut AS (SELECT part.lang, part.k, part.g, part.f AS a, l.f AS l, r.f AS r, m,
+                       CAST((1000000::HUGEINT * part.f * part.f) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+                FROM part JOIN f AS l ON l.lang = part.lang AND l.g = gl JOIN f AS r ON r.lang = part.lang AND r.g = gr),
+        worst AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, m) = 1),
+        longer AS (SELECT lang, part, max(f) AS most FROM (SELECT lang, f, unnest([g[:2], g[2:]]) AS part FROM c WHERE k = 3) GROUP BY ALL)
+        SELECT worst.lang, row_number() OVER (PARTITION BY worst.lang ORDER BY score DESC, a DESC, encode(array_to_string(g, ' '))) AS rank,
+               array_to_string(g, ' ') AS phrase, a, l, r, n, score
+        FROM worst JOIN total ON worst.lang = total.lang LEFT JOIN longer ON longer.lang = worst.lang AND longer.part = worst.g
+        WHERE most IS NULL OR 100 * most < 50 * a
+        QUALIFY rank <= 2000""",
 }
