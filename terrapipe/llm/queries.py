@@ -17,7 +17,9 @@ from terrapipe.llm.repeats import remove_repeats
 from terrapipe.llm.shared import table
 from terrapipe.llm.simhash import near_duplicates
 from terrapipe.llm.token_files import token_files
+from terrapipe.llm.url_rules import judge
 from terrapipe.llm.warc import archive
+from terrapipe.llm.whitening import whiten
 
 #: The key of the registered queries; a deployment passes its own, kept secret.
 PSEUDONYM_KEY = b"terrapipe registered query"
@@ -80,6 +82,21 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")), threshold=0.5)
 
 
+#: The curated part of the URL filter.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page is bad where its document is labelled of low quality or toxic."""
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    return judge(table(spark, sf_dir, "pages"), labels, URL_RULES)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), components=32)
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
@@ -95,6 +112,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
+    "op11_url_rules": op11_url_rules,
+    "op12_whitening": op12_whitening,
     "op13_collocations": op13_collocations,
 }
 

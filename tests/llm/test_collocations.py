@@ -1,0 +1,78 @@
+"""Phrases equal a count of every sequence in plain Python."""
+
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import Row
+
+from terrapipe.llm.collocations import collocations, parts_of, words_of
+from terrapipe.llm.shared import table
+
+
+def expected(rows, least=10, inside=50, top=2000):
+    counts, total = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split("[.,;:!?\x0a-\x0d]", text):
+            words = re.findall("[^\x20\x09]+", piece)
+            total[lang] += len(words)
+            for k in (1, 2, 3):
+                counts.update((lang, tuple(words[i:i + k])) for i in range(len(words) - k + 1))
+    found = []
+    for (lang, g), a in counts.items():
+        if len(g) == 1 or a < least:
+            continue
+        score, k = min((1_000_000 * a * a // (counts[lang, g[:k]] * counts[lang, g[k:]]), k) for k in range(1, len(g)))
+        found.append((lang, " ".join(g), a, counts[lang, g[:k]], counts[lang, g[k:]], total[lang], score, g))
+    longer = {}
+    for lang, _, a, *_, g in found:
+        if len(g) == 3:
+            for part in (g[:2], g[1:]):
+                longer[lang, part] = max(a, longer.get((lang, part), 0))
+    out = []
+    for lang in {f[0] for f in found}:
+        kept = [f for f in found if f[0] == lang and 100 * longer.get((lang, f[7]), 0) < inside * f[2]]
+        kept += [f for f in found if f[0] == lang and f not in kept and (lang, f[7]) not in longer]
+        kept.sort(key=lambda f: (-f[6], -f[2], f[1].encode()))
+        out += [(lang, r, *f[1:7]) for r, f in enumerate(kept[:top], 1)]
+    return sorted(out)
+
+
+def got(df):
+    return sorted(tuple(r) for r in df.select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect())
+
+
+@pytest.mark.parametrize("chunk_bytes", [8 << 20, 700])
+def test_equals_plain_count(spark, sf_small, chunk_bytes):
+    docs = table(spark, sf_small, "documents").limit(60)
+    rows = [(r.lang, r.text) for r in docs.collect()]
+    result = got(collocations(spark.createDataFrame(rows, "lang string, text string").repartition(3), min_count=3, top=50, chunk_bytes=chunk_bytes))
+    assert result == expected(rows, least=3, top=50) and result
+
+
+def test_edges(spark):
+    """Nulls, empty and long texts, repeated rows, pieces, odd bytes, ties, clashing columns."""
+    rows = [("en", "the the the the " * 30), ("en", "The\tcat sat. the CAT, sat;the cat\nsat " * 10), (None, "Ärger über Ärger über " * 12),
+            ("und", "Ärger über"), ("en", None), ("en", ""), ("en", " \t\n"), ("fr", "a\x01 \x02b\x85 a\x01 \x02b\x85 " * 10), ("", "x y " * 10),
+            ("en", "b a c a " * 10), ("de", "wort " * 20_000), ("en", "seldom said")] * 2
+    df = spark.createDataFrame([Row(lang=lang, text=t, n=1, word="w", x="x", chunk=None, a=2.0) for lang, t in rows],
+                               "lang string, text string, n int, word string, x string, chunk string, a double").repartition(3)
+    assert got(collocations(df)) == expected(rows)
+    assert got(collocations(df, min_count=1, top=5, inside_percent=100)) == expected(rows, 1, 100, 5)
+    assert collocations(df.limit(0)).collect() == [] and collocations(df.where("text = ''")).collect() == []
+
+
+def test_scores_past_64_bits(spark):
+    """1,000,000 a² passes 64 bits from a = 3,037,001 on."""
+    found = got(collocations(spark.createDataFrame([("en", "a b ! " * 100_000)] * 31, "lang string, text string").repartition(2)))
+    assert found == [("en", 1, "a b", 3_100_000, 3_100_000, 3_100_000, 6_200_000, 1_000_000)]
+
+
+def test_long_texts_are_cut_at_edges():
+    text = b"one two. three four! " + b"x" * 50 + b" five,six"
+    parts = list(parts_of(text, 16))
+    assert b"".join(parts) == text and all(p[-1:] in b".,!" for p in parts[:-1])
+    words, first = words_of(b"A b.c  D\t\xc3\xa9")
+    assert words.to_pylist() == ["a", "b", "c", "d", "é"] and first.tolist() == [True, False, True, False, False]

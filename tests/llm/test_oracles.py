@@ -24,4 +24,4 @@ def test_query_matches_oracle(spark, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and set(ORACLE_SQL) <= set(QUERIES)
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and set(ORACLE_SQL) <= set(QUERIES)
