@@ -151,7 +151,7 @@ def q_list_states(spark, sf):
 
 def _stored_municipalities(spark, sf):
     """The processed Parquet, as listings read it."""
-    return _materialised(spark, municipalities(spark, sf, sort=False), "listed_municipalities")
+    return materialised(spark, municipalities(spark, sf, sort=False), "listed_municipalities")
 
 
 def q_list_all_municipalities(spark, sf):
@@ -258,7 +258,7 @@ def q_fallback_scan(spark, sf):
 
 # --- landing -------------------------------------------------------------
 
-def _landed(df: DataFrame) -> DataFrame:
+def landed(df: DataFrame) -> DataFrame:
     """Landed rows with the load time without its zone, as the oracle has it."""
     return df.withColumn("loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
 
@@ -269,15 +269,15 @@ def q_stamp_day(spark, sf):
     batch = municipalities(spark, sf, sort=False).select("id", "nome")
     for ts in (LOAD_TS, LOAD_TS_DAY2):
         stamp(batch, ts).write.mode("append").partitionBy("load_date").parquet(target)
-    return _landed(read_day(spark, target, LOAD_DAY))
+    return landed(read_day(spark, target, LOAD_DAY))
 
 
-def _changed_batch(muni: DataFrame) -> DataFrame:
+def changed_batch(muni: DataFrame) -> DataFrame:
     return (muni.where(F.col("sigla_uf") != CHANGED_STATE)
                 .withColumn("nome", F.upper("nome")))
 
 
-def _materialised(spark, df: DataFrame, name: str) -> DataFrame:
+def materialised(spark, df: DataFrame, name: str) -> DataFrame:
     """Write a processed batch once (as the daily job does) and read it back,
     so gates and loads scan Parquet instead of recomputing the lineage."""
     return read_parquet(spark, write_parquet(df, run_dir(spark, name)))
@@ -285,11 +285,11 @@ def _materialised(spark, df: DataFrame, name: str) -> DataFrame:
 
 def q_replace_day(spark, sf):
     target = run_dir(spark, "landing_municipalities")
-    muni = _materialised(spark, municipalities(spark, sf, sort=False), "processed_municipalities")
+    muni = materialised(spark, municipalities(spark, sf, sort=False), "processed_municipalities")
     limits = Q.MUNICIPALITY_LANDING_RULES
     replace_day(muni, target, LOAD_TS, Q.MUNICIPALITIES_CONTRACT, limits)
     replace_day(muni, target, LOAD_TS_DAY2, Q.MUNICIPALITIES_CONTRACT, limits)
-    replace_day(_changed_batch(muni), target, LOAD_TS_DAY2, Q.MUNICIPALITIES_CONTRACT, limits)
+    replace_day(changed_batch(muni), target, LOAD_TS_DAY2, Q.MUNICIPALITIES_CONTRACT, limits)
     return read_parquet(spark, target).select("id", "nome", "sigla_uf", "load_date")
 
 
@@ -303,46 +303,46 @@ def q_landing_dupes(spark, sf):
 def q_load_counts(spark, sf):
     base = run_dir(spark, "landing")
     # landing tables have no order: materialise the batches unsorted
-    load_all(spark, {"states": _materialised(spark, states(spark, sf, sort=False), "processed_states"),
-                     "municipalities": _materialised(spark, municipalities(spark, sf, sort=False),
+    load_all(spark, {"states": materialised(spark, states(spark, sf, sort=False), "processed_states"),
+                     "municipalities": materialised(spark, municipalities(spark, sf, sort=False),
                                                      "processed_municipalities")},
              base, LOAD_TS)
-    return _landing_rows(spark, base)
+    return landing_rows(spark, base)
 
 
-def _landing_rows(spark, base):
-    """The day's landed rows of both tables: id, name, state code and load time."""
-    parts = [_landed(read_day(spark, landing_path(base, name), LOAD_DAY)).select(
+def landing_rows(spark, base, datasets=("states", "municipalities")):
+    """The day's landed rows of the tables: id, name, state code and load time."""
+    parts = [landed(read_day(spark, landing_path(base, name), LOAD_DAY)).select(
                  F.lit(name).alias("dataset"), "id", "nome", F.col(code).alias("code"), "load_date", "loaded_at")
-             for name, code in (("states", "sigla"), ("municipalities", "sigla_uf"))]
-    return parts[0].unionByName(parts[1])
+             for name, code in (("states", "sigla"), ("municipalities", "sigla_uf")) if name in datasets]
+    return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]
 
 
 def q_daily_run(spark, sf):
     base = run_dir(spark, "daily")
     for _ in range(2):
         run_day(spark, fx.raw_states(spark, sf), fx.raw_municipalities(spark, sf), base, LOAD_TS)
-    return _landing_rows(spark, base)
+    return landing_rows(spark, base)
 
 
 def q_landing_ddl(spark, sf):
     """A landing table made by DDL, loaded through the catalogue by column name, read back."""
     table = f"terrapipe_landing.states_{uuid.uuid4().hex}"
     create_landing(spark, table, STATE_PROCESSED, STATE_COMMENT, run_dir(spark, "landing_ddl"))
-    batch = _materialised(spark, states(spark, sf, sort=False), "ddl_states")
+    batch = materialised(spark, states(spark, sf, sort=False), "ddl_states")
     swapped = batch.select(*reversed(batch.columns))
     replace_day(swapped, table, LOAD_TS, Q.STATES_CONTRACT, Q.STATE_LANDING_RULES, as_table=True)
-    return _landed(spark.table(table))
+    return landed(spark.table(table))
 
 
 def q_reject_keeps_day(spark, sf):
     """A batch with repeated ids is refused; the day keeps the rows of the good load."""
     target = run_dir(spark, "landing_reject")
-    good = _materialised(spark, municipalities(spark, sf, sort=False), "good_municipalities")
+    good = materialised(spark, municipalities(spark, sf, sort=False), "good_municipalities")
     replace_day(good, target, LOAD_TS, Q.MUNICIPALITIES_CONTRACT, Q.MUNICIPALITY_LANDING_RULES)
-    bad = _materialised(spark, faulted_municipalities(spark, sf), "bad_municipalities")
+    bad = materialised(spark, faulted_municipalities(spark, sf), "bad_municipalities")
     refused = _refused(lambda: replace_day(bad, target, LOAD_TS, Q.MUNICIPALITIES_CONTRACT, Q.MUNICIPALITY_LANDING_RULES))
-    return _landed(read_day(spark, target, LOAD_DAY)).select("id", "nome", "sigla_uf", "loaded_at", F.lit(refused).alias("refused"))
+    return landed(read_day(spark, target, LOAD_DAY)).select("id", "nome", "sigla_uf", "loaded_at", F.lit(refused).alias("refused"))
 
 
 def _refused(load: Callable[[], object]) -> bool:
@@ -356,13 +356,13 @@ def _refused(load: Callable[[], object]) -> bool:
 def q_unregistered_load(spark, sf):
     """A table without a contract is loaded as it is, faults and repeated ids included."""
     base = run_dir(spark, "landing_unregistered")
-    load_all(spark, {"drafts": _materialised(spark, faulted_municipalities(spark, sf), "drafts")}, base, LOAD_TS)
+    load_all(spark, {"drafts": materialised(spark, faulted_municipalities(spark, sf), "drafts")}, base, LOAD_TS)
     return read_day(spark, landing_path(base, "drafts"), LOAD_DAY).select("id", "nome", "sigla_uf", "load_date")
 
 
 def q_column_contract(spark, sf):
     """A processed table with a text id and without the state code, against the contract."""
-    batch = _materialised(spark, municipalities(spark, sf, sort=False).withColumn("id", F.col("id").cast("string")).drop("sigla_uf"), "mistyped")
+    batch = materialised(spark, municipalities(spark, sf, sort=False).withColumn("id", F.col("id").cast("string")).drop("sigla_uf"), "mistyped")
     return Q.MUNICIPALITIES_CONTRACT.column_report(batch).withColumn("rows", batch.select(F.count(F.lit(1))).scalar())
 
 

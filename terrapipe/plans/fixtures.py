@@ -9,6 +9,8 @@ pass over the joined rows; no row is ever fixed or made up on the driver.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ FACT_VARIABLE_ID = 9324
 
 # Fault and duplicate injection, keyed on the order key. These
 # add copies or alter values on every n-th row; they never drop rows.
+HISTORY_TS_DAY3 = "2024-01-03 09:00:00"
+PAYLOAD_FAULTS = {"cut": 13, "no_results": 17, "no_locality": 23, "no_number": 19}
 STATE_FAULTS = {"zero_id": 13, "empty_code": 17, "null_name": 19}
 MUNICIPALITY_FAULTS = {"null_micro": 23, "empty_uf_code": 29, "blank_name": 31,
                        "zero_id": 37, "long_name": 41}
@@ -38,6 +42,7 @@ DRIVER_SCHEMAS = {
                 "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
                 "l_linestatus string, l_shipdate timestamp_ntz",
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
 }
 
@@ -171,3 +176,73 @@ def aggregate_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("_g") == 1, F.lit(1)).otherwise(F.col("state")).alias("locality_id"),
         F.round("total", 2).alias("value"),
     )
+
+
+def _yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cents ordered per customer and year."""
+    return _cents(table(spark, sf_dir, "orders")).groupBy(
+        F.col("o_custkey").alias("c"), F.year("o_orderdate").cast("string").alias("period")).agg(F.sum("cents").alias("cents"))
+
+
+def _cents(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("bigint"))
+
+
+def _facts(rows: DataFrame) -> DataFrame:
+    return rows.select(F.lit(FACT_TABLE_ID).alias("table_id"), "period", F.lit(FACT_VARIABLE_ID).alias("variable_id"), F.lit("N6").alias("level"),
+                       F.col("locality").cast("int").alias("locality_id"), F.col("cents").cast("double").alias("value"))
+
+
+def customer_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long series with gaps: what each customer (a locality, N6) ordered per year, in cents."""
+    return _facts(_yearly(spark, sf_dir).withColumn("locality", F.col("c") + 1))
+
+
+def municipality_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The value of each order, in cents, as a fact of its municipality (N6) and year."""
+    rows = _cents(table(spark, sf_dir, "orders"))
+    return _facts(rows.select((F.col("o_orderkey") + 1).alias("locality"), F.year("o_orderdate").cast("string").alias("period"), "cents"))
+
+
+def payload_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One answer of the statistical service per customer, as a line of JSON: the customer's yearly series.
+
+    On every n-th customer something is wrong: a line is cut off, lacks its
+    results or its locality, or has values that are no numbers.
+    """
+    def hit(fault: str) -> Column:
+        return F.col("c_custkey") % PAYLOAD_FAULTS[fault] == 0
+
+    years = _yearly(spark, sf_dir).groupBy("c").agg(F.sort_array(F.collect_list(F.struct("period", "cents"))).alias("years"))  # a few years each
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name").join(years, F.col("c") == F.col("c_custkey"), "left")
+    text = F.when(hit("no_number"), F.lit("...")).otherwise(F.lit(None))
+    serie = F.map_from_entries(F.transform(F.coalesce("years", F.array().cast("array<struct<period: string, cents: bigint>>")),
+                                           lambda y: F.struct(y.period, F.coalesce(text, y.cents.cast("string")))))
+    place = F.struct((F.col("c_custkey") + 1).cast("string").alias("id"), F.struct(F.lit("N6").alias("id"), F.lit("Município").alias("nome")).alias("nivel"),
+                     F.col("c_name").alias("nome"))
+    one = F.struct(F.when(~hit("no_locality") | hit("cut"), place).alias("localidade"), serie.alias("serie"))
+    result = F.struct(F.array().cast("array<string>").alias("classificacoes"), F.array(one).alias("series"))
+    answer = F.struct(F.lit(str(FACT_VARIABLE_ID)).alias("id"), F.lit("Pedidos").alias("variavel"), F.lit("Centavos").alias("unidade"),
+                      F.when(~hit("no_results") | hit("cut"), F.array(result)).alias("resultados"))
+    line = F.to_json(F.array(answer))
+    return rows.withColumn("line", line).select(
+        F.when(hit("cut"), F.expr("substring(line, 1, length(line) - 5)")).otherwise(F.col("line")).alias("value"))
+
+
+def event_files(spark: SparkSession, sf_dir: str, files: int = 3) -> list[DataFrame]:
+    """The events as ``files`` deliveries by time: every 7th record twice, and of the last hour of a delivery every
+    3rd record (and every 7th's copy) only with the next one."""
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    step, hour = (last - first) / files, dt.timedelta(hours=1)
+    out = []
+    for k in range(files):
+        begin, end = first + k * step, first + (k + 1) * step if k < files - 1 else last + step
+        own = events.where((F.col("ts") >= F.lit(begin)) & (F.col("ts") < F.lit(end)))
+        late = (F.col("ts") >= F.lit(end - hour)) if k < files - 1 else F.lit(False)
+        held = events.where((F.col("ts") >= F.lit(begin - hour)) & (F.col("ts") < F.lit(begin))) if k else events.limit(0)
+        repeated = F.col("event_id") % 7 == 0
+        out.append(own.where(~(late & (F.col("event_id") % 3 == 0)))
+                   .unionByName(own.where(repeated & ~late))
+                   .unionByName(held.where((F.col("event_id") % 3 == 0) | repeated)))
+    return out

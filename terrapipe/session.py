@@ -86,3 +86,11 @@ def count_files(spark: SparkSession, path: str) -> int:
         files.next()
         n += 1
     return n
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders right below ``path``; none when it does not exist."""
+    file_system, target = _file_system(spark, path)
+    if not file_system.exists(target):
+        return []
+    return sorted(str(entry.getPath()) for entry in file_system.listStatus(target) if entry.isDirectory())
