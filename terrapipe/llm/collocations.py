@@ -58,6 +58,8 @@ RUNS = "shard int, size int, pairs binary, thirds binary, counts binary"
 SEQUENCES = "x long, y long, z long, a long"
 #: Entries of a shard, about.
 SHARD = 2_000_000
+#: Parts in which a language's candidates are ranked first.
+PARTS = 64
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -275,6 +277,10 @@ def collocations(docs: DataFrame, min_count: int = 10, inside_percent: int = 50,
                          F.when(early, F.col("l1")).otherwise(F.col("l2")).alias("l"),
                          F.when(early, F.col("r1")).otherwise(F.col("r2")).alias("r"),
                          F.least("s1", "s2").alias("score"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = two.unionByName(three).withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    # a language's best are among the best of its parts, so no task ranks all candidates of a language
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    best = two.unionByName(three).withColumn("part", part).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
+    best = staged(best.where(F.col("rank") <= top).drop("part", "rank"), "phrase-best")
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
