@@ -4,7 +4,8 @@ Candidates are found by pattern and validated (Luhn, IBAN modulo 97, calendar,
 octets, number plans); what is valid is replaced by another valid value of
 the same format, chosen by a keyed permutation of all values of that format.
 Equal values get equal pseudonyms in every document, different ones stay
-different, and only the key's owner can go back (:func:`Cipher.invert`).
+different, and only the key's owner can go back (:func:`Cipher.invert`). A day
+has one pseudonym, shown in whatever notation the day was found in.
 
 The permutation is a Feistel network over Z_a x Z_b with keyed BLAKE2b round
 functions, walked along its cycle until it falls into the format's domain. It
@@ -13,6 +14,7 @@ is applied as ``P^-1(P(x) + 1)``, so that no value stands for itself.
 
 from __future__ import annotations
 
+import bisect
 import datetime as dt
 import hashlib
 import math
@@ -174,14 +176,21 @@ def _day(y: str, m: str, d: str) -> int | None:
     return day - FIRST_DAY if FIRST_DAY <= day <= LAST_DAY else None
 
 
-def _moved(cipher: Cipher, tweak: str, x: int, valid: Callable[[dt.date], bool] = lambda d: True) -> dt.date:
-    return dt.date.fromordinal(FIRST_DAY + cipher.walk(tweak, LAST_DAY - FIRST_DAY + 1, x, lambda y: valid(dt.date.fromordinal(FIRST_DAY + y))))
+def _moved(cipher: Cipher, x: int) -> dt.date:
+    """The day that stands for day ``x`` in every notation.
+
+    Days after the 12th become such days and earlier ones earlier ones, as
+    ``17/05/1999`` says which number is the day only after the 12th.
+    """
+    late = dt.date.fromordinal(FIRST_DAY + x).day > 12
+    return dt.date.fromordinal(FIRST_DAY + cipher.walk("date", LAST_DAY - FIRST_DAY + 1, x,
+                                                       lambda y: (dt.date.fromordinal(FIRST_DAY + y).day > 12) == late))
 
 
 def iso_date(cipher: Cipher, m: re.Match) -> str | None:
     if (x := _day(m[1], m[3], m[4])) is None:
         return None
-    new = _moved(cipher, "date", x)
+    new = _moved(cipher, x)
     return f"{new.year:04d}{m[2]}{new.month:02d}{m[2]}{new.day:02d}"
 
 
@@ -191,14 +200,9 @@ def short_date(cipher: Cipher, m: re.Match) -> str | None:
     if (x := _day(m[4], m[3], m[1]) if day_first else _day(m[4], m[1], m[3])) is None:
         return None
     padded = len(m[1]) == 2 and len(m[3]) == 2
-    show = (lambda v: f"{v:02d}") if padded else str
-    fits = lambda d: padded or d.day < 10 or d.month < 10
-    if day_first and m[2] != ".":
-        new = _moved(cipher, f"date-day{padded}", x, lambda d: d.day > 12 and fits(d))
-    else:
-        new = _moved(cipher, f"date-{day_first}{padded}", x, fits)
+    new = _moved(cipher, x)
     first, second = (new.day, new.month) if day_first else (new.month, new.day)
-    return f"{show(first)}{m[2]}{show(second)}{m[2]}{new.year:04d}"
+    return f"{first:02d}{m[2]}{second:02d}{m[2]}{new.year:04d}" if padded else f"{first}{m[2]}{second}{m[2]}{new.year:04d}"
 
 
 def email(cipher: Cipher, m: re.Match) -> str | None:
@@ -229,7 +233,7 @@ _DIGIT = re.compile(r"\d\D{0,4}\d")
 
 def spans(text: str, cipher: Cipher) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, replacement)`` in order, without overlaps."""
-    found: list[tuple[int, int, str, str]] = []
+    found: list[tuple[int, int, str, str]] = []  # in order: what overlaps a match is beside its place
     numbers = None
     for kind, needs, pattern, fmt in KINDS:
         if needs == "9":
@@ -239,12 +243,13 @@ def spans(text: str, cipher: Cipher) -> list[tuple[int, int, str, str]]:
         elif not any(c in text for c in needs):
             continue
         for m in pattern.finditer(text):
-            if any(a < m.end() and m.start() < b for a, b, _, _ in found):
+            place = bisect.bisect_left(found, m.end(), key=lambda f: f[0])
+            if place and found[place - 1][1] > m.start():
                 continue
             new = fmt(cipher, m)
             if new is not None:
-                found.append((*m.span(), kind, new))
-    return sorted(found)
+                found.insert(place, (*m.span(), kind, new))
+    return found
 
 
 def replaced(text: str, found: list[tuple[int, int, str, str]]) -> str:

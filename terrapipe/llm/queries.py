@@ -21,8 +21,12 @@ from terrapipe.llm.url_rules import judge
 from terrapipe.llm.warc import archive
 from terrapipe.llm.whitening import whiten
 
-#: The key of the registered queries; a deployment passes its own, kept secret.
-PSEUDONYM_KEY = b"terrapipe registered query"
+#: The key of a session that names none; a deployment sets ``spark.terrapipe.pseudonymKey`` to its own, kept secret.
+PSEUDONYM_KEY = "terrapipe registered query"
+
+
+def pseudonym_key(spark: SparkSession) -> bytes:
+    return spark.conf.get("spark.terrapipe.pseudonymKey", PSEUDONYM_KEY).encode()
 
 
 def vocabulary() -> str:
@@ -47,7 +51,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudonymise(docs, PSEUDONYM_KEY).withColumn("n_replaced", F.size("pii").cast("long"))
+    return pseudonymise(docs, pseudonym_key(spark)).withColumn("n_replaced", F.size("pii").cast("long"))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

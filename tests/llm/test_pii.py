@@ -65,6 +65,30 @@ def test_dates_stay_apart(days):
         assert len(set(new)) == len(days) and not set(zip(shown, new, strict=True)) & {(s, s) for s in shown}
 
 
+NOTATIONS = {"%Y-%m-%d": "{0.year:04d}-{0.month:02d}-{0.day:02d}", "%Y/%m/%d": "{0.year:04d}/{0.month:02d}/{0.day:02d}",
+             "%d.%m.%Y": "{0.day:02d}.{0.month:02d}.{0.year:04d}", "unpadded": "{0.day}.{0.month}.{0.year:04d}", "%m/%d/%Y": "{0.month:02d}/{0.day:02d}/{0.year:04d}",
+             "month first": "{0.month}/{0.day}/{0.year:04d}", "day first": "{0.day}/{0.month}/{0.year:04d}", "%d-%m-%Y": "{0.day:02d}-{0.month:02d}-{0.year:04d}"}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.dates(dt.date(1900, 1, 1), dt.date(2099, 12, 31)))
+def test_a_day_has_one_pseudonym_in_all_notations(day):
+    new = dt.date.fromisoformat(replaced(s := day.isoformat(), spans(s, CIPHER)))
+    assert new != day and (new.day > 12) == (day.day > 12)
+    for name, form in NOTATIONS.items():
+        if name not in ("day first", "%d-%m-%Y") or day.day > 12:  # else these read as month first
+            shown = form.format(day)
+            got = replaced(shown, spans(shown, CIPHER))
+            assert got == form.format(new) or [int(x) for x in re.split(r"\D", got)] == [int(x) for x in re.split(r"\D", form.format(new))]
+
+
+def test_many_values_in_one_text():
+    days = [dt.date(1950, 1, 1) + dt.timedelta(days=k) for k in range(20_000)]
+    text = " ".join(d.isoformat() for d in days)
+    found = spans(text, CIPHER)
+    assert len(found) == 20_000 and found == sorted(found) and all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+
+
 def test_rows(documents, empty, spark):
     out = pseudonymise(documents, b"k")
     assert out.columns == [*documents.columns, "pii"] and out.drop("pii").exceptAll(documents).count() == 0
