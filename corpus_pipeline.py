@@ -15,7 +15,7 @@ from terrapipe.llm import toxicity
 from terrapipe.llm.decontaminate import contamination
 from terrapipe.llm.packing import pack
 from terrapipe.llm.pii import pseudonymise
-from terrapipe.llm.queries import PSEUDONYM_KEY, vocabulary
+from terrapipe.llm.queries import pseudonym_key, vocabulary
 from terrapipe.llm.shared import staged, table, unused
 from terrapipe.llm.simhash import near_duplicates
 from terrapipe.session import run_dir
@@ -56,7 +56,7 @@ def not_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal values replaced in the texts; ``n_chars`` follows the new text."""
-    return pseudonymise(docs, PSEUDONYM_KEY, found_column=None).withColumn(
+    return pseudonymise(docs, pseudonym_key(spark), found_column=None).withColumn(
         "n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast("long"))).select(*docs.columns)
 
 
