@@ -1,33 +1,49 @@
 """Main text of web pages by wrappers inferred per host.
 
 A page's token stream (tags and text slots, nested by its tags) is aligned
-with the host's wrapper, a union-free regular expression: where both agree
-the token stays; a text mismatch becomes a text slot; tags that repeat
-become a repeated group; tags that only one side has become optional.
-Aligning a host's pages one after the other gives the wrapper, together with
-what is known of each slot (how much text, whether it ever differs).
-
-The wrapper then tells the article's slots from the template's: those below
-``article`` or ``main`` or, in pages without either, below the container with
-most of the page's text and of the wrapper's; not those in navigation, headers, footers, asides, forms,
-scripts, adverts, notices or comments, nor strings that never differ between
-three or more distinct pages (copies count once), unless nothing else is left
-or they are headings or inline parts of the article. Inside an article, a
-class word (notice, share, related) makes a block the template's only if its
-text is the same wherever the host shows it.
+with the host's wrapper, a union-free regular expression, one per element: where
+both agree a child stays; a text mismatch becomes a text slot; children that
+repeat become a repeated group; children that only one side has become
+optional (:func:`align`, :func:`fold`). Aligning a host's pages one after the
+other gives the wrapper, together with what is known of each slot (how much
+text, whether it ever differs).
+
+What belongs to the article follows from the page, as far as the page says it,
+so that a page's text does not depend on how many others its host has:
+
+- navigation, headers, footers, asides, forms, scripts and the like never do,
+  nor do blocks whose words name adverts, comments, consent, newsletters or
+  related articles, inside the article too, whatever their text;
+- blocks of other template words (notice, share, search, widget) do only if they
+  hold most of the page's paragraph text;
+- else all text below ``article`` or ``main`` does.
+
+The wrapper decides where a page has neither: strings that never differ between
+three or more distinct pages (copies count once) are the template's, unless
+nothing else is left or they are headings or inline parts of the article, and
+the article is the container with most of the page's text and of the wrapper's.
+
+Nothing recurses or copies paths: an element is known by a hash of its path, so
+time and memory are linear in the page, however deep or broken it is. A label
+has the words of the class that look like a name; of longer ones (a slug, an
+identifier) only the words listed here, so that labels repeat between pages.
 
 Every task folds its pages into one wrapper per host before anything is
 shuffled, and hosts are merged in two steps (salted, then whole), so that a
-host with a third of all pages is no single task's work.
+host with a third of all pages is no single task's work. To its pages a host
+sends 16 bytes for each slot that several pages have.
 """
 
 from __future__ import annotations
 
+import bisect
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
@@ -55,13 +71,21 @@ TEMPLATE_WORDS = frozenset("ad ads adv advert adverts advertisement advertising
                            "sponsor sponsored subscribe toolbar topbar widget".split())
 #: Words of a container around the article ("has-sidebar"), which its template words do not make a template.
 LAYOUT_WORDS = frozenset("container has layout main no page site with without wrap wrapper".split())
+#: Of these, what is never part of an article, however much text it has.
+NEVER_WORDS = frozenset("ad ads adv advert adverts advertisement advertising comment commentlist comments consent cookie cookiebar cookies "
+                        "copyright footer gdpr nav navbar navigation newsletter recommended related replies reply respond sidebar signup "
+                        "sponsor sponsored subscribe".split())
 ARTICLE_TAGS = frozenset(("article", "main"))
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: In a tag a quote opens a value only right behind the equals sign.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
+                   r"|<(/?)([A-Za-z][^\s/>]*)((?:(?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>]))*+)>|<", re.S)
+ATTRIBUTE = re.compile(r"(?<![^\s\"'/])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Parts of an article, in which the search for its container ends.
 CONTENT = INLINE | HEADINGS | frozenset("p ul ol dl li dt dd table caption thead tbody tfoot tr td th pre blockquote figure figcaption "
                                         "hgroup details summary address math".split())
+#: Words that a name in a class may have to count whole.
+NAME_WORDS = 2
 #: Distinct pages from which a slot with one text is the template's; so many marks are kept per slot.
 CONSTANT_FROM = 3
 #: Hosts a task folds before it hands them on.
@@ -72,7 +96,12 @@ def label(tag: str, attributes: str) -> str:
     """The tag with the words of its class, id and role, without digits: what may be equal between pages."""
     if not attributes or "=" not in attributes:
         return tag
-    words = {w for m in ATTRIBUTE.finditer(attributes) for w in re.split(r"[^a-z]+", (m[2] or m[3] or m[4] or "").lower()) if w}
+    words: set[str] = set()
+    for m in ATTRIBUTE.finditer(attributes):
+        for name in (m[2] or m[3] or m[4] or "").lower().split():
+            found = [w for w in re.split(r"[^a-z]+", name) if w]
+            whole = len(found) <= NAME_WORDS and m[1].lower() == "class"
+            words.update(found if whole else (w for w in found if w in TEMPLATE_WORDS or w in LAYOUT_WORDS))
     return ".".join([tag, *sorted(words)])
 
 
@@ -82,8 +111,8 @@ def stream(page: str) -> Iterator[tuple[str, str]]:
     Comments, declarations and marked sections are dropped; a ``<`` that opens
     no tag is text; the content of raw elements is one text.
     """
-    at, text = 0, []
-    while m := TOKEN.search(page, at):
+    at, text, last = 0, [], page.rfind(">") + 1  # behind the last ">" only comments can be, and text
+    while m := TOKEN.search(page, at, last) or (TOKEN.search(page, at) if page.find("<!", at) >= 0 else None):
         text.append(page[at:m.start()])
         at = m.end()
         if m[2] is None:
@@ -112,270 +141,328 @@ def stream(page: str) -> Iterator[tuple[str, str]]:
         yield "text", html.unescape("".join(text))
 
 
-def walk(page: str) -> Iterator[tuple[str, tuple[str, ...], str]]:
-    """``(kind, path, text)`` with the open elements' labels; missing end tags are supplied.
+ROOT = 0
 
-    Kinds: ``in`` and ``out`` of an element (the path ends with it), ``void``, ``text``.
-    """
-    path: list[str] = []
-    tags: list[str] = []
 
-    def pop(n: int) -> Iterator[tuple[str, tuple[str, ...], str]]:
-        while len(path) > n:
-            yield "out", tuple(path), ""
-            path.pop()
-            tags.pop()
+class Page:
+    """A page as events over its paths: ``(kind, path, text)``, kinds ``in`` and ``out`` of an element, ``void`` and ``text``.
 
-    for kind, value in stream(page):
-        if kind == "text":
-            yield "text", tuple(path), value
-            continue
-        tag = value.split(".", 1)[0]
-        if kind == "close":
-            if tag in tags:
+    Paths are numbered, parents before children; the lists have for each its
+    parent, tag, label, hash, nearest block, whether it is below an article,
+    whether it can have no text of the article, and the innermost block around
+    it that only holds some if it holds most (:attr:`soft`). Missing end tags
+    are supplied.
+    """
+
+    def __init__(self, page: str):
+        self.parent, self.tag, self.label, self.key, self.block = [-1], [""], [""], [0], [ROOT]
+        self.inside, self.never, self.unless, self.soft = [False], [False], [False], [-1]
+        self.known: dict[tuple[int, str], int] = {}
+        self.events: list[tuple[str, int, str]] = []
+        self._read(page)
+
+    def path(self, parent: int, text: str) -> int:
+        """The number of the child path, made if new."""
+        at = self.known.get((parent, text))
+        if at is not None:
+            return at
+        at = self.known[parent, text] = len(self.parent)
+        tag, *words = text.split(".")
+        inside = self.inside[parent] or tag in ARTICLE_TAGS
+        self.parent.append(parent)
+        self.tag.append(tag)
+        self.label.append(text)
+        self.key.append(xxhash.xxh64_intdigest(text, seed=self.key[parent]) >> 1)
+        self.block.append(self.block[parent] if tag in INLINE else at)
+        self.inside.append(inside)
+        never, unless, soft = self.never[parent], self.unless[parent], self.soft[parent]
+        if tag in ARTICLE_TAGS:
+            unless = False  # what lies around an article as its layout is no template
+        elif tag in TEMPLATE_TAGS and not (inside and tag == "header"):
+            never = True
+        elif tag not in ("html", "body"):
+            found = TEMPLATE_WORDS.intersection(words) - ({"header"} if inside else set())
+            if found and not LAYOUT_WORDS.isdisjoint(words):
+                unless = True
+            elif found & NEVER_WORDS:
+                never = True
+            elif found:
+                soft = at
+        self.never.append(never)
+        self.unless.append(unless)
+        self.soft.append(soft)
+        return at
+
+    def _read(self, page: str) -> None:
+        here, events = [ROOT], self.events
+        tags: Counter[str] = Counter()
+        inline: list[Counter[str]] = [Counter()]  # open inline elements since each open block
+
+        def leave() -> None:
+            at = here.pop()
+            tag = self.tag[at]
+            tags[tag] -= 1
+            if tag in INLINE:
+                inline[-1][tag] -= 1
+            else:
+                inline.pop()
+            events.append(("out", at, ""))
+
+        for kind, value in stream(page):
+            if kind == "text":
+                events.append(("text", here[-1], value))
+                continue
+            tag = value.split(".", 1)[0]
+            if kind == "close":
                 # an inline end tag does not end a block around it
-                n = len(tags) - 1 - tags[::-1].index(tag)
-                if tag not in INLINE or not any(t not in INLINE for t in tags[n + 1:]):
-                    yield from pop(n)
-            continue
-        ended = ENDS.get(tag, set()) | ({"p"} if tag not in INLINE else set())
-        for n in range(len(tags) - 1, -1, -1):
-            if tags[n] in ended:
-                yield from pop(n)
-                break
-            if tags[n] in SCOPE:
-                break
-        if kind == "void":
-            yield "void", (*path, value), ""
-        else:
-            path.append(value)
-            tags.append(tag)
-            yield "in", tuple(path), ""
-    yield from pop(0)
+                if inline[-1][tag] if tag in INLINE else tags[tag]:
+                    while self.tag[here[-1]] != tag:
+                        leave()
+                    leave()
+                continue
+            ended = ENDS.get(tag, set()) | ({"p"} if tag not in INLINE else set())
+            if any(tags[t] for t in ended):
+                for n in range(len(here) - 1, 0, -1):
+                    if self.tag[here[n]] in ended:
+                        while len(here) > n:
+                            leave()
+                        break
+                    if self.tag[here[n]] in SCOPE:
+                        break
+            at = self.path(here[-1], value)
+            if kind == "void":
+                events.append(("void", at, ""))
+            else:
+                here.append(at)
+                tags[tag] += 1
+                if tag in INLINE:
+                    inline[-1][tag] += 1
+                else:
+                    inline.append(Counter())
+                events.append(("in", at, ""))
+        while len(here) > 1:
+            leave()
+
+    def open(self, at: int) -> bool:
+        """Whether text of the path can be the article's, as far as the words around it say."""
+        return not (self.never[at] or self.unless[at])
+
+    def below(self, weight: dict[int, int]) -> list[int]:
+        """For each path the weight of all paths below it, itself included."""
+        out = [0] * len(self.parent)
+        for at, n in weight.items():
+            out[at] = n
+        for at in range(len(out) - 1, 0, -1):
+            out[self.parent[at]] += out[at]
+        return out
+
+    def slots(self) -> dict[int, int]:
+        """The paths whose text may be the article's, with their characters."""
+        sizes, shown = {}, {}
+        for kind, at, text in self.events:
+            if kind == "text" and self.open(at) and (n := len(" ".join(text.split()))):
+                sizes[at] = sizes.get(at, 0) + n
+                if self.tag[self.block[at]] == "p":
+                    shown[at] = shown.get(at, 0) + n
+        whole = self.below(shown or sizes)
+        article = sum(n for at, n in (shown or sizes).items() if self.inside[at])
+        kept: dict[int, bool] = {-1: True}
+        for at in range(len(self.parent)):  # soft blocks from the outermost in
+            if self.soft[at] == at:
+                kept[at] = kept[self.soft[self.parent[at]]] and 2 * whole[at] > (article if self.inside[at] else whole[ROOT])
+        return {at: n for at, n in sizes.items() if kept[self.soft[at]]}
 
 
 # ---- wrappers ----------------------------------------------------------------------
-# An item is [key, items, optional, repeated]; the key is a label, "#" for a text slot or "()" for a group.
+# An item is [label, items, optional, repeated]; "#" is a text slot, "()" a group, the only one with items.
 
-def _key(item: list) -> str:
-    return "(" + " ".join(map(_key, item[1])) + ")" if item[0] == "()" else item[0]
+def _name(item: list) -> str:
+    return "(" + " ".join(map(_name, item[1])) + ")" if item[0] == "()" else item[0]
 
 
 def merge(a: list, b: list) -> list:
-    return [a[0], align(a[1], b[1]), a[2] or b[2], a[3] or b[3]]
+    return [a[0], [merge(x, y) for x, y in zip(a[1], b[1])], a[2] or b[2], a[3] or b[3]]
+
+
+def _rising(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Places of equal names that rise in both: of the k-th with the k-th of each name, the longest such run."""
+    places: dict[str, list[int]] = {}
+    for y, name in enumerate(b):
+        places.setdefault(name, []).append(y)
+    seen: Counter[str] = Counter()
+    ends, top, before = [], [], []
+    pairs: list[tuple[int, int]] = []
+    for x, name in enumerate(a):
+        k = seen[name]
+        seen[name] += 1
+        if k < len(places.get(name, ())):
+            y = places[name][k]
+            at = bisect.bisect_left(ends, y)
+            before.append(top[at - 1] if at else -1)
+            ends[at:at + 1], top[at:at + 1] = [y], [len(pairs)]
+            pairs.append((x, y))
+    run, at = [], top[-1] if top else -1
+    while at >= 0:
+        run.append(pairs[at])
+        at = before[at]
+    return run[::-1]
 
 
 def align(a: list, b: list) -> list:
     """The union-free expression of two sequences: common items merged, others optional, repeats folded."""
     if a == b:
         return a
-    out, tail = [], []
-    i, m, n = 0, len(a), len(b)
-    ka, kb = [_key(x) for x in a], [_key(x) for x in b]
-    while i < m and i < n and ka[i] == kb[i]:
-        out.append(merge(a[i], b[i]))
-        i += 1
-    while m > i and n > i and ka[m - 1] == kb[n - 1]:
-        m, n = m - 1, n - 1
-        tail.append(merge(a[m], b[n]))
-    rows, columns = m - i, n - i
-    best = [[0] * (columns + 1) for _ in range(rows + 1)]
-    for x in range(rows - 1, -1, -1):
-        for y in range(columns - 1, -1, -1):
-            best[x][y] = 1 + best[x + 1][y + 1] if ka[i + x] == kb[i + y] else max(best[x + 1][y], best[x][y + 1])
+    out: list = []
     x = y = 0
-    while x < rows or y < columns:
-        if x < rows and y < columns and ka[i + x] == kb[i + y]:
-            out.append(merge(a[i + x], b[i + y]))
-            x, y = x + 1, y + 1
-        elif y == columns or (x < rows and best[x + 1][y] >= best[x][y + 1]):
-            out.append([*a[i + x][:2], True, a[i + x][3]])
-            x += 1
-        else:
-            out.append([*b[i + y][:2], True, b[i + y][3]])
-            y += 1
-    return fold(out + tail[::-1])
+    for to_x, to_y in [*_rising([_name(i) for i in a], [_name(i) for i in b]), (len(a), len(b))]:
+        out += [[*item[:2], True, item[3]] for item in (*a[x:to_x], *b[y:to_y])]
+        if to_x < len(a):
+            out.append(merge(a[to_x], b[to_y]))
+        x, y = to_x + 1, to_y + 1
+    return fold(out)
 
 
 def fold(items: list) -> list:
     """Fold neighbours that repeat: equal items, then pairs and triples, into repeated groups."""
     out: list = []
     for item in items:
-        if out and _key(out[-1]) == _key(item) and item[0] != "()":
+        if out and item[0] != "()" and out[-1][0] == item[0]:
             both = merge(out[-1], item)
             out[-1] = [both[0], both[1], out[-1][2] and item[2], True]
         else:
             out.append(item)
         for size in (2, 3):
             last, before = out[-size:], out[-2 * size:-size]
-            if len(before) == size and [_key(x) for x in last] == [_key(x) for x in before]:
+            if len(before) == size and [_name(x) for x in last] == [_name(x) for x in before] and not any(x[0] == "()" for x in last):
                 out[-2 * size:] = [["()", [merge(x, y) for x, y in zip(before, last, strict=True)], False, True]]
                 break
-            if len(out) > size and out[-size - 1][0] == "()" and [_key(x) for x in out[-size - 1][1]] == [_key(x) for x in last]:
+            if len(out) > size and out[-size - 1][0] == "()" and [_name(x) for x in out[-size - 1][1]] == [_name(x) for x in last]:
                 out[-size - 1:] = [["()", [merge(x, y) for x, y in zip(out[-size - 1][1], last, strict=True)], out[-size - 1][2], True]]
                 break
     return out
 
 
-def expression(items: list) -> str:
-    """The wrapper as text: ``?`` optional, ``+`` repeated, ``*`` both."""
-    mark = lambda x: "*" if x[2] and x[3] else "?" if x[2] else "+" if x[3] else ""
-    return " ".join((x[0] if not x[1] else (f"({expression(x[1])})" if x[0] == "()" else f"{x[0]}[{expression(x[1])}]")) + mark(x) for x in items)
+def expression(items: dict[str, list], key: int = 0) -> str:
+    """The wrapper as text, to be read: ``?`` optional, ``+`` repeated, ``*`` both."""
+    def show(item: list) -> str:
+        mark = "*" if item[2] and item[3] else "?" if item[2] else "+" if item[3] else ""
+        if item[0] == "()":
+            return f"({' '.join(map(show, item[1]))}){mark}"
+        inner = "" if item[0] == "#" else expression(items, xxhash.xxh64_intdigest(item[0], seed=key) >> 1)
+        return (f"{item[0]}[{inner}]" if inner else item[0]) + mark
 
+    return " ".join(map(show, items.get(str(key), [])))
 
-def observe(page: str) -> tuple[list, dict[str, list]]:
-    """The page's own folded sequence, and per slot ``[pages' marks, least, greatest hash of its text, characters]``.
+
+def observe(page: Page) -> tuple[dict[str, list], dict[str, list]]:
+    """Per element (the hash of its path) the page's own expression, and per slot ``[pages' marks, least, greatest hash of its text, characters]``.
 
     A page's mark hashes its texts outside templates, so copies have one mark.
     """
+    items: dict[str, list] = {}
     levels: list[list] = [[]]
-    texts: dict[str, list[str]] = {}
-    for kind, path, text in walk(page):
+
+    def done(at: int) -> None:
+        own, key = fold(levels.pop()), str(page.key[at])
+        items[key] = align(items[key], own) if key in items else own
+
+    texts: dict[int, list[str]] = {}
+    for kind, at, text in page.events:
         if kind == "in":
+            levels[-1].append([page.label[at], [], False, False])
             levels.append([])
         elif kind == "out":
-            items = levels.pop()
-            levels[-1].append([path[-1], fold(items), False, False])
+            done(at)
         elif kind == "void":
-            levels[-1].append([path[-1], [], False, False])
+            levels[-1].append([page.label[at], [], False, False])
         elif text.strip():
             levels[-1].append(["#", [], False, False])
-            texts.setdefault("/".join(path), []).append(" ".join(text.split()))
+            if page.open(at):
+                texts.setdefault(at, []).append(" ".join(text.split()))
+    done(ROOT)
     slots, whole = {}, xxhash.xxh64()
-    for path, found in texts.items():
+    for at, found in texts.items():
         text = "\n".join(found)
         mark = xxhash.xxh64_intdigest(text) >> 1
-        slots[path] = [[], mark, mark, sum(map(len, found))]
-        if not template_part(path.split("/")):
-            whole.update(f"{path}\0{text}\0")
+        slots[str(page.key[at])] = [[], mark, mark, sum(map(len, found))]
+        whole.update(f"{page.key[at]}\0{text}\0")
     for slot in slots.values():
         slot[0].append(whole.intdigest() >> 1)
-    return fold(levels[0]), slots
+    return items, slots
 
 
 class Wrapper:
     def __init__(self):
-        self.items: list | None = None
+        self.items: dict[str, list] = {}
         self.slots: dict[str, list] = {}
 
-    def add(self, items: list, slots: dict[str, list]) -> None:
-        self.items = items if self.items is None else align(self.items, items)
-        for path, (marks, low, high, size) in slots.items():
-            known = self.slots.get(path)
-            self.slots[path] = [marks, low, high, size] if known is None else [
+    def add(self, items: dict[str, list], slots: dict[str, list]) -> None:
+        for key, own in items.items():
+            known = self.items.get(key)
+            self.items[key] = own if known is None else align(known, own)
+        for key, (marks, low, high, size) in slots.items():
+            known = self.slots.get(key)
+            self.slots[key] = [marks, low, high, size] if known is None else [
                 sorted({*known[0], *marks})[:CONSTANT_FROM], min(known[1], low), max(known[2], high), known[3] + size]
 
     def dump(self) -> str:
         return json.dumps([self.items, self.slots])
 
+    def evidence(self) -> bytes:
+        """What the host tells its pages: of each slot of several pages its hash and its characters, negative if its text never differs."""
+        found = [(int(key), -size if len(marks) >= CONSTANT_FROM and low == high else size)
+                 for key, (marks, low, high, size) in self.slots.items() if len(marks) > 1]
+        return np.array(sorted(found), "<i8").tobytes()
 
-def template_part(path: tuple[str, ...] | list[str]) -> str:
-    """``"all"`` below an element of a template, ``"word"`` below one that only its words, inside an article, make one, else ``""``.
-
-    A header inside an article is the article's, whatever its other words.
-    """
-    inside, word = False, ""
-    around = sum(1 for part in path if part.split(".", 1)[0] in ARTICLE_TAGS)
-    for part in path:
-        tag, *words = part.split(".")
-        if tag in ARTICLE_TAGS:
-            inside, around = True, around - 1
-        if tag in TEMPLATE_TAGS and not (inside and tag == "header"):
-            return "all"
-        if tag in ("html", "body", *ARTICLE_TAGS):
-            continue
-        found = TEMPLATE_WORDS.intersection(words) - ({"header"} if inside else set())
-        if found and not (around and not LAYOUT_WORDS.isdisjoint(words)):
-            if not inside:
-                return "all"
-            word = "word"
-    return word
 
+def read_evidence(data: bytes | None) -> dict[int, int]:
+    return dict(np.frombuffer(data or b"", "<i8").reshape(-1, 2).tolist())
 
-def in_article(path: tuple[str, ...] | list[str]) -> bool:
-    return any(part.split(".", 1)[0] in ARTICLE_TAGS for part in path)
 
-
-def block_of(path: str) -> list[str]:
-    """The path without the inline elements at its end."""
-    parts = path.split("/")
-    while parts and parts[-1].split(".", 1)[0] in INLINE:
-        parts.pop()
-    return parts
-
-
-def with_constants(kept: frozenset[str], constant: frozenset[str]) -> frozenset[str]:
+def with_constants(page: Page, kept: set[int], constant: set[int]) -> set[int]:
     """``kept`` and the constant slots that belong to it: inline ones of a kept block, headings beside a kept slot."""
-    blocks = {tuple(block_of(p)) for p in kept}
-    parents = {b[:n] for b in blocks for n in range(len(b))}
-    found = set(kept)
-    for path in constant:
-        block = tuple(block_of(path))
-        if block in blocks or (block and block[-1].split(".", 1)[0] in HEADINGS and block[:-1] in parents):
-            found.add(path)
-    return frozenset(found)
-
+    blocks = {page.block[at] for at in kept}
+    around: set[int] = set()
+    for at in blocks:
+        at = page.parent[at]
+        while at >= 0 and at not in around:
+            around.add(at)
+            at = page.parent[at]
+    return kept | {at for at in constant if (b := page.block[at]) in blocks or (page.tag[b] in HEADINGS and page.parent[b] in around)}
 
-def article_slots(slots: dict[str, list]) -> tuple[frozenset[str], dict[str, int], frozenset[str]]:
-    """The paths of the wrapper's text slots below an article element; those that may hold the article of a page without one, with
-    their characters in all pages; and these with the constant ones.
 
-    A block inside an article that a word makes a template's stays where the wrapper has seen its text differ.
-    """
-    open_ = {}
-    for path, (_, low, high, _) in slots.items():
-        parts = path.split("/")
-        part = template_part(parts)
-        if not part or (part == "word" and low != high):
-            open_[path] = parts
-    inside = frozenset(path for path, parts in open_.items() if in_article(parts))
-    others = frozenset(open_) - inside
-    return inside, {p: slots[p][3] for p in others if len(slots[p][0]) < CONSTANT_FROM or slots[p][1] != slots[p][2]}, others
-
-
-def region(own: dict[str, int], mass: dict[str, int]) -> list[str]:
+def region(page: Page, own: dict[int, int], mass: dict[int, int]) -> int:
     """The path of the container that holds the article of a page without an article element; ``own``: its slots' characters.
 
     The region narrows to a container only if that holds most of this page's
     text and most of what all pages have in this page's slots, so a page of
     another layout keeps its own. Blocks of content are never a region.
     """
-    parts = {p: p.split("/") for p in own}
-    need = [(weight, 0.6 * sum(weight[p] for p in own)) for weight in (own, mass)]
-    prefix, left = [], list(own)
-    while True:
-        depth = len(prefix)
-        below: dict[str, list[str]] = {}
-        for p in left:
-            if len(parts[p]) > depth and parts[p][depth].split(".", 1)[0] not in CONTENT:
-                below.setdefault(parts[p][depth], []).append(p)
-        top = [k for k, paths in below.items() if all(sum(weight[p] for p in paths) >= least for weight, least in need)]
-        if not top:  # two cannot have 60 % each
-            return prefix
-        prefix, left = [*prefix, top[0]], below[top[0]]
-
-
-def main_text(page: str, keep: tuple[frozenset[str], dict[str, int], frozenset[str]]) -> str:
+    weights = [page.below(own), page.below(mass)]
+    need = [0.6 * w[ROOT] for w in weights]
+    at = ROOT
+    for child in range(1, len(page.parent)):  # parents before children; two children cannot have 60 % each
+        if page.parent[child] == at and page.tag[child] not in CONTENT and all(w[child] >= n for w, n in zip(weights, need)):
+            at = child
+    return at
+
+
+def main_text(page: Page, evidence: dict[int, int]) -> str:
     """The page's article: the slots below its article element or, where there is none, its region of the others, constant ones if no other has text."""
-    inside, mass, others = keep
-    events = list(walk(page))
-    if text := kept_text(events, inside):
-        return text
-    own: dict[str, int] = {}
-    found: set[str] = set()
-    for kind, parts, text in events:
-        if kind == "text" and text.strip() and (path := "/".join(parts)) in others:
-            found.add(path)
-            if path in mass:
-                own[path] = own.get(path, 0) + len(" ".join(text.split()))
+    slots = page.slots()
+    if inside := {at for at in slots if page.inside[at]}:
+        return kept_text(page, inside)
+    own = {at: n for at, n in slots.items() if evidence.get(page.key[at], n) > 0}
     if not own:
-        return kept_text(events, frozenset(found))
-    prefix = region(own, mass)
-    around = {p for p in found if p.split("/")[:len(prefix)] == prefix}
-    return kept_text(events, with_constants(frozenset(around & own.keys()), frozenset(around - own.keys())))
+        return kept_text(page, set(slots))
+    top = region(page, own, {at: evidence.get(page.key[at], n) for at, n in own.items()})
+    under = [False] * len(page.parent)
+    for at in range(top, len(under)):
+        under[at] = at == top or (at > 0 and under[page.parent[at]])
+    return kept_text(page, with_constants(page, {at for at in own if under[at]}, {at for at in slots if at not in own and under[at]}))
 
 
-def kept_text(events: list[tuple[str, tuple[str, ...], str]], keep: frozenset[str]) -> str:
+def kept_text(page: Page, keep: set[int]) -> str:
     """The blocks of the kept slots, in page order, joined by an empty line."""
     if not keep:
         return ""
@@ -388,15 +475,15 @@ def kept_text(events: list[tuple[str, tuple[str, ...], str]], keep: frozenset[st
         if block:
             blocks.append(block)
 
-    for kind, path, text in events:
+    for kind, at, text in page.events:
         if kind == "text":
-            if "/".join(path) in keep:
+            if at in keep:
                 held.append(text)
             elif not text.strip():
                 held.append(" ")
-        elif (tag := path[-1].split(".", 1)[0]) not in INLINE:
+        elif page.tag[at] not in INLINE:
             close()
-        elif tag == "br":
+        elif page.tag[at] == "br":
             held.append(" ")
     close()
     return "\n\n".join(blocks)
@@ -405,7 +492,7 @@ def kept_text(events: list[tuple[str, tuple[str, ...], str]], keep: frozenset[st
 # ---- Spark ---------------------------------------------------------------------------
 
 def infer(pages: DataFrame) -> DataFrame:
-    """``host, items, slots``: one wrapper per host of ``host, html``."""
+    """``host, wrapper, evidence``: one wrapper per host of ``host, html``, and what it tells the host's pages."""
     out = pa.schema([("host", pa.string()), ("salt", pa.int32()), ("wrapper", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -418,21 +505,28 @@ def infer(pages: DataFrame) -> DataFrame:
 
         for batch in pieces(batches, "html"):
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held.setdefault(host, Wrapper()).add(*observe(page or ""))
+                held.setdefault(host, Wrapper()).add(*observe(Page(page or "")))
             if len(held) >= HELD_HOSTS:
                 yield emit()
         if held:
             yield emit()
 
-    def together(rows: pd.DataFrame) -> pd.DataFrame:
+    def joined(rows: pd.DataFrame) -> Wrapper:
         whole = Wrapper()
         for text in sorted(rows["wrapper"]):
             whole.add(*json.loads(text))
-        return pd.DataFrame({"host": rows["host"].iloc[:1], "salt": rows["salt"].iloc[:1], "wrapper": [whole.dump()]})
+        return whole
+
+    def together(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"host": rows["host"].iloc[:1], "salt": rows["salt"].iloc[:1], "wrapper": [joined(rows).dump()]})
+
+    def whole(rows: pd.DataFrame) -> pd.DataFrame:
+        wrapper = joined(rows)
+        return pd.DataFrame({"host": rows["host"].iloc[:1], "wrapper": [wrapper.dump()], "evidence": [wrapper.evidence()]})
 
     shape = "host string, salt int, wrapper string"
-    folded = pages.select("host", "html").mapInArrow(run, shape)
-    return folded.groupBy("host", "salt").applyInPandas(together, shape).groupBy("host").applyInPandas(together, shape).select("host", "wrapper")
+    folded = pages.select("host", "html").mapInArrow(run, shape).groupBy("host", "salt").applyInPandas(together, shape)
+    return folded.groupBy("host").applyInPandas(whole, "host string, wrapper string, evidence binary")
 
 
 def extract(pages: DataFrame, url_column: str = "url", html_column: str = "html", id_column: str = "page_id") -> DataFrame:
@@ -445,19 +539,20 @@ def extract(pages: DataFrame, url_column: str = "url", html_column: str = "html"
     """
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_column), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     source = pages.select(F.col(id_column).cast("long").alias("page_id"), F.col(url_column).alias("url"), F.col(html_column).alias("html"), host.alias("host"))
-    wrappers = staged(infer(source), "html-wrappers")
+    wrappers = staged(infer(source), "html-wrappers").select("host", "evidence")
     out = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[frozenset[str], dict[str, int], frozenset[str]]] = {}
+        known: dict[str, dict[int, int]] = {}
         for batch in pieces(batches, "html"):
             texts = []
-            for host, wrapper, page in zip(*(batch.column(c).to_pylist() for c in ("host", "wrapper", "html")), strict=True):
-                if host not in known:
+            for host, evidence, page in zip(*(batch.column(c) for c in ("host", "evidence", "html")), strict=True):
+                if (host := host.as_py()) not in known:
                     if len(known) >= HELD_HOSTS:
                         known.clear()
-                    known[host] = article_slots(json.loads(wrapper)[1])
-                texts.append(main_text(page, known[host]) if page else "")
+                    known[host] = read_evidence(evidence.as_py())
+                page = page.as_py()
+                texts.append(main_text(Page(page), known[host]) if page else "")
             yield pa.record_batch([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
                                    pa.array([len(t) for t in texts], pa.int64())], schema=out)
 
