@@ -25,6 +25,8 @@ UNITS = ("level", "id", "name", "parent_level", "parent_id")
 #: The dimensions from the top, with their level codes. The service's territorial levels.
 LEVELS = (("N2", "regiao"), ("N3", "uf"), ("N8", "mesorregiao"), ("N9", "microrregiao"))
 COUNTRY, LEAF = "N1", "N6"
+#: Spark ends a recursive query beyond so many rows; a walk returns a row per unit and step, so the limit is lifted in the session.
+ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
 #: A bound on the steps, far above any hierarchy; cycles end by themselves.
 DEPTH = 64
 
@@ -59,6 +61,7 @@ def _walk(tree: DataFrame, start: DataFrame, up: bool) -> DataFrame:
     is returned once more, marked, and not walked on from.
     """
     spark = tree.sparkSession
+    spark.conf.set(ROW_LIMIT, "-1")
     link, other = (("parent_level", "parent_id"), ("level", "id")) if up else (("level", "id"), ("parent_level", "parent_id"))
     here = "concat('/', u.level, ':', u.id, '/')"
     query = f"""

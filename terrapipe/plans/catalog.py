@@ -29,6 +29,7 @@ from terrapipe.schemas import (
     MUNICIPALITY_PROCESSED,
     MUNICIPALITY_RAW,
     STATE_COMMENT,
+    STATE_LIMITS,
     STATE_PROCESSED,
     STATE_RAW,
     UF_CODES,
@@ -149,9 +150,24 @@ def q_list_states(spark, sf):
     return list_states(states(spark, sf)).select("id", "sigla", "nome")
 
 
+#: What listings and slices read, stored once per application and input.
+_stores: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf: str, name: str, write: Callable[[str], object]) -> str:
+    """The folder of a store that several queries read; ``write`` fills it when it is first asked for."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _stores:
+        path = run_dir(spark, name)
+        write(path)
+        _stores[key] = path
+    return _stores[key]
+
+
 def _stored_municipalities(spark, sf):
     """The processed Parquet, as listings read it."""
-    return materialised(spark, municipalities(spark, sf, sort=False), "listed_municipalities")
+    return read_parquet(spark, stored(spark, sf, "listed_municipalities",
+                                      lambda path: write_parquet(municipalities(spark, sf, sort=False), path)))
 
 
 def q_list_all_municipalities(spark, sf):
@@ -167,7 +183,7 @@ def q_list_by_state_code(spark, sf):
 
 
 def _slice(spark, sf, period, territory):
-    facts = read_facts(spark, write_facts(fx.aggregate_facts(spark, sf), run_dir(spark, "facts")))
+    facts = read_facts(spark, stored(spark, sf, "facts", lambda path: write_facts(fx.aggregate_facts(spark, sf), path)))
     return (aggregate_slice(facts, fx.FACT_TABLE_ID, period, fx.FACT_VARIABLE_ID, territory)
             .select("period", "locality_id", "value"))
 
@@ -266,7 +282,7 @@ def landed(df: DataFrame) -> DataFrame:
 def q_stamp_day(spark, sf):
     """Two days written, one read back from its own folder."""
     target = run_dir(spark, "stamped")
-    batch = municipalities(spark, sf, sort=False).select("id", "nome")
+    batch = materialised(spark, municipalities(spark, sf, sort=False).select("id", "nome"), "stamped_batch")
     for ts in (LOAD_TS, LOAD_TS_DAY2):
         stamp(batch, ts).write.mode("append").partitionBy("load_date").parquet(target)
     return landed(read_day(spark, target, LOAD_DAY))
@@ -328,7 +344,7 @@ def q_daily_run(spark, sf):
 def q_landing_ddl(spark, sf):
     """A landing table made by DDL, loaded through the catalogue by column name, read back."""
     table = f"terrapipe_landing.states_{uuid.uuid4().hex}"
-    create_landing(spark, table, STATE_PROCESSED, STATE_COMMENT, run_dir(spark, "landing_ddl"))
+    create_landing(spark, table, STATE_PROCESSED, STATE_COMMENT, run_dir(spark, "landing_ddl"), STATE_LIMITS)
     batch = materialised(spark, states(spark, sf, sort=False), "ddl_states")
     swapped = batch.select(*reversed(batch.columns))
     replace_day(swapped, table, LOAD_TS, Q.STATES_CONTRACT, Q.STATE_LANDING_RULES, as_table=True)

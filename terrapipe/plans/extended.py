@@ -25,10 +25,10 @@ from terrapipe.operators.sketches import (
 )
 from terrapipe.plans import fixtures as fx
 from terrapipe.plans.catalog import (
-    LOAD_DAY, LOAD_TS, LOAD_TS_DAY2, SLICE_YEAR, changed_batch, landed, landing_rows, materialised, municipalities,
+    LOAD_DAY, LOAD_TS, LOAD_TS_DAY2, SLICE_YEAR, changed_batch, landed, landing_rows, materialised, municipalities, stored,
 )
 from terrapipe.plans.daily import ingest
-from terrapipe.schemas import MUNICIPALITY_COMMENT, MUNICIPALITY_PROCESSED, MUNICIPALITY_RAW
+from terrapipe.schemas import MUNICIPALITY_COMMENT, MUNICIPALITY_LIMITS, MUNICIPALITY_PROCESSED, MUNICIPALITY_RAW
 from terrapipe.session import run_dir
 from terrapipe.sinks.bucketed import append_bucketed_day, bucketed_day
 from terrapipe.sinks.files import write_parquet
@@ -62,7 +62,7 @@ def _table_name(name: str) -> str:
 def q_switch_day(spark, sf):
     """Two days, the second loaded again with other rows: each load moved in by one statement of the catalogue."""
     table = _table_name("switched")
-    create_landing(spark, table, MUNICIPALITY_PROCESSED, MUNICIPALITY_COMMENT, run_dir(spark, "landing_switched"))
+    create_landing(spark, table, MUNICIPALITY_PROCESSED, MUNICIPALITY_COMMENT, run_dir(spark, "landing_switched"), MUNICIPALITY_LIMITS)
     batch = materialised(spark, municipalities(spark, sf, sort=False), "switched_municipalities")
     for rows, ts in ((batch, LOAD_TS), (batch, LOAD_TS_DAY2), (changed_batch(batch), LOAD_TS_DAY2)):
         switch_day(rows, table, ts, Q.MUNICIPALITIES_CONTRACT, Q.MUNICIPALITY_LANDING_RULES)
@@ -143,8 +143,11 @@ def _orders(spark, sf) -> DataFrame:
 
 
 def _sketched(spark, sf) -> DataFrame:
-    sketches = day_sketches(_orders(spark, sf), "load_date", "o_totalprice", "o_custkey", "o_orderpriority")
-    return materialised(spark, sketches, "day_sketches")
+    """The days' sketches, stored once per application and input."""
+    def write(path: str) -> None:
+        write_parquet(day_sketches(_orders(spark, sf), "load_date", "o_totalprice", "o_custkey", "o_orderpriority"), path)
+
+    return read_parquet(spark, stored(spark, sf, "day_sketches", write))
 
 
 def _in_range(rows: DataFrame) -> DataFrame:
@@ -177,7 +180,11 @@ def q_sketch_top(spark, sf):
 # --- hierarchy as a graph ----------------------------------------------------
 
 def _tree(spark, sf) -> DataFrame:
-    return materialised(spark, units(materialised(spark, municipalities(spark, sf, sort=False), "unit_municipalities")), "units")
+    """The units, stored once per application and input."""
+    def write(path: str) -> None:
+        write_parquet(units(materialised(spark, municipalities(spark, sf, sort=False), "unit_municipalities")), path)
+
+    return read_parquet(spark, stored(spark, sf, "units", write))
 
 
 def q_ancestry(spark, sf):

@@ -55,9 +55,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def order_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders x customer x nation x region, only the columns the fixtures use."""
+    """orders x customer x nation x region, only the columns the fixtures use.
+
+    The orders are dealt by key first: a raw batch comes in many pieces, this
+    table in a single row group, which one task would read and transform.
+    """
     o = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate", "o_totalprice")
+        "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate", "o_totalprice").repartition("o_orderkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")

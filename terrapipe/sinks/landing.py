@@ -3,9 +3,11 @@
 ``replace_day`` is the idempotent daily load: gate first (nothing is
 touched when the batch is rejected), then stamp ``loaded_at`` and
 ``load_date`` and write with *dynamic* partition overwrite, so only the
-batch's day is replaced, other days stay, and a job that dies midway
-leaves the previous version of the day in place (the new files are staged
-and only renamed in at commit).
+batch's day is replaced and other days stay. New files are staged first: a
+batch that fails while it is written leaves the previous day in place. The
+commit itself deletes the day and renames the new files in, so a driver lost
+between these two leaves no day until the load is run again; where readers
+must never see that, load with :func:`terrapipe.sinks.switch.switch_day`.
 """
 
 from __future__ import annotations
@@ -37,12 +39,17 @@ def stamp(df: DataFrame, load_ts: dt.datetime | str | None = None) -> DataFrame:
 
 
 def create_landing(spark: SparkSession, table: str, processed: StructType,
-                   comment: str, location: str | None = None) -> None:
-    """L1: namespace and partitioned landing table, if missing."""
+                   comment: str, location: str | None = None, limits: dict[str, int] | None = None) -> None:
+    """L1, L3: namespace and partitioned landing table, if missing.
+
+    Columns in ``limits`` are declared ``VARCHAR(n)``, so the table itself
+    refuses a longer value, whoever writes it.
+    """
+    limits = limits or {}
     if "." in table:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
     cols = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}"
+        f"`{f.name}` {f'varchar({limits[f.name]})' if f.name in limits else f.dataType.simpleString()}"
         + (" NOT NULL" if f.name == "id" else "")
         for f in landing_schema(processed).fields
     )

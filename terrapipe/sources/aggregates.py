@@ -30,7 +30,9 @@ def parse_territory(territory: str) -> tuple[str, int | None]:
 
 
 def write_facts(facts: DataFrame, path: str) -> str:
-    facts.write.mode("overwrite").partitionBy(*FACT_PARTITIONS).parquet(path)
+    """Store the series. Rows are brought together by folder before they are written, so a folder has few
+    files, not one per task; adaptive execution splits large folders by size and joins small ones in a task."""
+    facts.hint("rebalance", *[F.col(c) for c in FACT_PARTITIONS]).write.mode("overwrite").partitionBy(*FACT_PARTITIONS).parquet(path)
     return path
 
 

@@ -1,8 +1,8 @@
 """Run the daily load whenever a new raw collection lands (X3 as a stream).
 
 A collection is a run directory of raw JSON Lines files below ``raw_dir``. A
-file stream tells which directories have new files; each of them is then
-read whole, in the order in which they were finished, and goes through gate
+stream of files (names and times, no content) tells which directories have new
+ones; each of them is then read whole, once, in the order in which they were finished, and goes through gate
 1, the transform, a Parquet write of its own, gate 2 and ``replace_day``. So
 a later collection of the day replaces an earlier one even if one trigger
 finds both, and a collection whose files are found by two triggers is loaded
@@ -21,11 +21,13 @@ from pyspark.sql import functions as F
 
 from terrapipe.operators import quality as Q
 from terrapipe.plans.daily import DATASETS, landing_path
-from terrapipe.schemas import with_corrupt_column
 from terrapipe.sinks.files import write_parquet
 from terrapipe.sinks.landing import replace_day
 from terrapipe.sources.readers import read_json, read_parquet
 
+#: What a stream of files has; ``content`` is never read here.
+FILES = "path string, modificationTime timestamp, length long, content binary"
+
 
 def load_new_collections(spark: SparkSession, raw_dir: str, dataset: str, base: str,
                          checkpoint: str, load_ts: dt.datetime | str | None = None) -> list[int]:
@@ -34,9 +36,8 @@ def load_new_collections(spark: SparkSession, raw_dir: str, dataset: str, base:
     Returns the row count loaded by each collection, in load order.
     """
     schema, raw_rules, transform, key, limits = DATASETS[dataset]
-    files = (spark.readStream.schema(with_corrupt_column(schema)).json(raw_dir)
-             .select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"),
-                     F.col("_metadata.file_modification_time").alias("finished")))
+    files = (spark.readStream.format("binaryFile").schema(FILES).load(raw_dir)
+             .select(F.regexp_replace("path", "/[^/]*$", "").alias("folder"), F.col("modificationTime").alias("finished")))
     loaded: list[int] = []
 
     def handle(batch: DataFrame, epoch_id: int) -> None:

@@ -153,3 +153,17 @@ def test_replace_day_is_dynamic_even_in_a_static_session(spark, tmp):
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
     assert _day_rows(spark, target, "2024-03-01") == [(1, "A")]
     assert _day_rows(spark, target, "2024-03-02") == [(3, "C")]
+
+
+def test_the_table_itself_refuses_longer_values(spark, tmp):
+    """L3: limits are VARCHAR(n) in the DDL, so no writer gets past them."""
+    from terrapipe.schemas import STATE_COMMENT, STATE_LIMITS, STATE_PROCESSED
+
+    create_landing(spark, "terrapipe_landing.limited_states", STATE_PROCESSED, STATE_COMMENT, os.path.join(tmp, "limited"), STATE_LIMITS)
+    ddl = spark.sql("SHOW CREATE TABLE terrapipe_landing.limited_states").first()[0]
+    assert "sigla VARCHAR(2)" in ddl and "nome VARCHAR(100)" in ddl and "id INT" in ddl
+    good = spark.createDataFrame([(1, "AC", "Acre", 1, "N", "Norte")], STATE_PROCESSED)
+    replace_day(good, "terrapipe_landing.limited_states", "2024-01-01 10:00:00", as_table=True)
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        replace_day(good.withColumn("nome", F.repeat("nome", 30)), "terrapipe_landing.limited_states", "2024-01-01 11:00:00", as_table=True)
+    assert [r.nome for r in spark.table("terrapipe_landing.limited_states").collect()] == ["Acre"]

@@ -116,3 +116,15 @@ def test_aggregate_slice(spark, tmp):
     for bad in ("N3", "X1[all]", "N3[abc]"):
         with pytest.raises(ValueError):
             parse_territory(bad)
+
+
+def test_stored_series_has_few_files_per_folder(spark, tmp, sf_small):
+    """A folder's rows come together before they are written: files grow with folders, not with tasks x folders."""
+    from terrapipe.plans import fixtures as fx
+    from terrapipe.sources.aggregates import read_facts, write_facts
+
+    facts = fx.aggregate_facts(spark, sf_small).repartition(16)
+    path = write_facts(facts, f"{tmp}/facts")
+    folders = facts.select("table_id", "variable_id", "level", "period").distinct().count()
+    files = len(read_facts(spark, path).inputFiles())
+    assert folders <= files <= 2 * folders and read_facts(spark, path).count() == facts.count()
