@@ -15,11 +15,15 @@ one *context* (the choice with the bytes around it).
 1. Texts are put into compressed chunks, written once.
 2. Pass one over the chunks sends the hashes of the choices, 4 bytes each;
    choices seen in one document only are dropped (singletons of the first
-   digit). What comes back is a bit per choice.
+   digit). What comes back is a bit per choice, and another for the choices
+   that are *crowded*: found more than ``CROWDED`` times in all.
 3. Pass two sends the distinct contexts of the choices that are left, with the
    smallest id of the chunk. A task per bucket orders the windows in them by
    8-byte digits, dropping singletons after each pass, and returns a mask of
-   the covered windows of each context.
+   the covered windows of each context. A crowded choice (a phrase that many
+   documents hold in ever different surroundings) would be one task's work, so
+   its windows go one by one, each dealt by all of its bytes: the same window
+   still meets itself, and no group grows with the phrase.
 4. Pass three lays the masks over the texts and cuts them.
 
 A passage that many documents share reaches its bucket once per chunk, not
@@ -46,6 +50,8 @@ CONTEXT = WIDTH + SIDE
 CHUNK_BYTES = 8 << 20
 #: Text bytes that a bucket stands for.
 BUCKET_BYTES = 32 << 20
+#: Places of a choice beyond which its windows are dealt one by one.
+CROWDED = 1 << 17
 #: Window starts handled at once, so that the arrays stay in the cache.
 SLICE = 1 << 18
 #: Contexts ordered at once, unless one choice alone has more.
@@ -101,7 +107,10 @@ class Chunk:
         self.doc = np.array([i if i is not None else 0 for i in self.ids], np.int64)[self.text]
 
     def digits(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct first digits ordered by bucket: ``bucket``, ``value``, whether in several documents, and each choice's place among them."""
+        """Distinct first digits ordered by bucket: ``bucket``, ``value``, whether in several documents, and each choice's place among them.
+
+        How often each occurs follows from the places.
+        """
         bucket = ((self.hash >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint64)
         both, place = np.unique(bucket << np.uint64(32) | (self.hash & np.uint64(0xFFFFFFFF)), return_inverse=True)
         least, most = np.full(len(both), np.iinfo(np.int64).max), np.full(len(both), np.iinfo(np.int64).min)
@@ -109,22 +118,27 @@ class Chunk:
         np.maximum.at(most, place, self.doc)
         return both >> np.uint64(32), both.astype(np.uint32), least != most, place
 
-    def survivors(self, buckets: int, bits: list) -> np.ndarray:
-        """The choices whose digit occurs in another document too."""
+    def survivors(self, buckets: int, bits: list) -> tuple[np.ndarray, np.ndarray]:
+        """The choices whose digit occurs in another document too, and whether each is crowded."""
         bucket, _, _, place = self.digits(buckets)
-        keep = np.zeros(len(bucket), bool)
-        for k, packed in bits:
+        keep, crowd = np.zeros(len(bucket), bool), np.zeros(len(bucket), bool)
+        for k, packed, crowded in bits:
             a, b = np.searchsorted(bucket, [k, k + 1])
             keep[a:b] = np.unpackbits(np.frombuffer(packed, np.uint8), count=b - a).astype(bool)
-        return np.flatnonzero(keep[place]) if len(place) else place
+            if crowded:
+                crowd[a:b] = np.unpackbits(np.frombuffer(crowded, np.uint8), count=b - a).astype(bool)
+        if not len(place):
+            return place, np.zeros(0, bool)
+        kept = np.flatnonzero(keep[place])
+        return kept, crowd[place[kept]]
 
-    def contexts(self, buckets: int, bits: list) -> tuple:
-        """Distinct contexts ordered by bucket: ``bucket, records, least doc``; and the survivors with each one's place among them.
+    def contexts(self, buckets: int, bits: list) -> Contexts:
+        """What the chunk sends in pass two, and how to read the answer.
 
         A record: the context's bytes (zero outside its windows), then the
         first and last distance of a window start before the choice.
         """
-        kept = self.survivors(buckets, bits)
+        kept, crowd = self.survivors(buckets, bits)
         records = np.zeros((len(kept), CONTEXT + 2 + 8), np.uint8)
         at, low, high = self.at[kept], self.low[kept], self.high[kept]
         bucket = ((self.hash[kept] >> np.uint64(32)) % np.uint64(buckets)).astype(">u8")
@@ -138,7 +152,9 @@ class Chunk:
         least = np.full(len(distinct), np.iinfo(np.int64).max)
         np.minimum.at(least, place, self.doc[kept])
         order = distinct[:, :8].copy().view(">u8").ravel().astype(np.int64)
-        return order, distinct[:, 8:], least, kept, place
+        apart = np.zeros(len(distinct), bool)
+        apart[place] = crowd
+        return Contexts(order, distinct[:, 8:], least, apart, buckets, self.doc[kept], kept, place)
 
     def cut(self, kept: np.ndarray, covered: np.ndarray) -> Iterator[tuple]:
         """``id, size, spans, rest`` per text; bit ``j`` of ``covered`` marks the window that starts ``j`` bytes before its choice."""
@@ -154,6 +170,73 @@ class Chunk:
             yield self.ids[i], size, edge.reshape(-1, 2).tolist(), text[~mark].tobytes()
 
 
+class Contexts:
+    """A chunk's distinct contexts; those of crowded choices as single windows.
+
+    ``bucket``, ``records`` and ``least`` (document) are what is sent, ordered by bucket.
+    """
+
+    def __init__(self, bucket: np.ndarray, records: np.ndarray, least: np.ndarray, apart: np.ndarray, buckets: int, docs: np.ndarray,
+                 kept: np.ndarray, place: np.ndarray):
+        self.docs, self.kept, self.place = docs, kept, place
+        self.whole, self.first_doc = records, least
+        alone = np.flatnonzero(apart)
+        self.window = np.full((len(alone), SIDE + 1), -1)  # of each such context and distance, its place in what is sent
+        self.alone = np.full(len(apart), -1)
+        self.alone[alone] = np.arange(len(alone))
+        windows, owner = [np.zeros((0, 8 + CONTEXT + 2), np.uint8)], []
+        for j in range(SIDE + 1):
+            own = alone[(records[alone, -2] <= j) & (records[alone, -1] >= j)]
+            one = np.zeros((len(own), 8 + CONTEXT + 2), np.uint8)
+            one[:, 8 + SIDE - j:8 + CONTEXT - j] = records[own, SIDE - j:CONTEXT - j]
+            one[:, -2:] = j
+            mixed = np.full(len(own), j, np.uint64)
+            for k in range(SIDE - j, CONTEXT - j):
+                mixed = (mixed ^ records[own, k]) * _M1
+                mixed ^= mixed >> np.uint64(29)
+            one[:, :8] = ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(">u8").view(np.uint8).reshape(-1, 8)
+            windows.append(one)
+            owner += [own]
+        single, at = _distinct(np.concatenate(windows))
+        owner = np.concatenate(owner) if owner else np.zeros(0, np.int64)
+        lowest = np.full(len(single), np.iinfo(np.int64).max)
+        np.minimum.at(lowest, at, least[owner])
+        self.bucket = np.concatenate([bucket[~apart], single[:, :8].copy().view(">u8").ravel().astype(np.int64)])
+        order = np.argsort(self.bucket, kind="stable")
+        self.bucket = self.bucket[order]
+        self.records = np.concatenate([records[~apart], single[:, 8:]])[order]
+        self.least = np.concatenate([least[~apart], lowest])[order]
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        self.sent = np.full(len(apart), -1)
+        self.sent[~apart] = back[:int((~apart).sum())]
+        begin = 0
+        for j in range(SIDE + 1):
+            own = alone[(records[alone, -2] <= j) & (records[alone, -1] >= j)]
+            self.window[self.alone[own], j] = back[int((~apart).sum()) + at[begin:begin + len(own)]]
+            begin += len(own)
+
+    def covered(self, masks: np.ndarray) -> np.ndarray:
+        """For each kept choice the mask of its covered windows, from the masks of what was sent.
+
+        A document after the chunk's first one with a context (or a window) repeats it.
+        """
+        out = np.zeros(len(self.kept), np.uint64)
+        sent = self.sent[self.place]
+        plain = np.flatnonzero(sent >= 0)
+        first, final = (self.whole[self.place[plain], k].astype(np.uint64) for k in (-2, -1))
+        every = (np.uint64(1) << (final + np.uint64(1))) - (np.uint64(1) << first)
+        out[plain] = np.where(self.docs[plain] > self.first_doc[self.place[plain]], every, masks[sent[plain]])
+        single = np.flatnonzero(sent < 0)
+        for j in range(SIDE + 1):
+            at = self.window[self.alone[self.place[single]], j]
+            has = at >= 0
+            rows, at = single[has], at[has]
+            hit = (self.docs[rows] > self.least[at]) | ((masks[at] >> np.uint64(j)) & np.uint64(1) == 1)
+            out[rows] |= hit.astype(np.uint64) << np.uint64(j)
+        return out
+
+
 def _distinct(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows in byte order, and each row's place among them."""
     if not len(records):
@@ -256,35 +339,48 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 
 def _send_digits(buckets: int):
-    out = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("digits", pa.binary()), ("several", pa.binary())])
+    out = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("digits", pa.binary()), ("several", pa.binary()), ("often", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1).compress
         for row in _rows(batches):
-            bucket, value, several, _ = Chunk(row["blob"], row["ids"], row["sizes"]).digits(buckets)
+            bucket, value, several, place = Chunk(row["blob"], row["ids"], row["sizes"]).digits(buckets)
+            often = np.bincount(place, minlength=len(bucket)).astype("<u4")
             here = np.unique(bucket)
             edges = np.append(np.searchsorted(bucket, here), len(bucket)).tolist()
             cut = list(zip(edges[:-1], edges[1:], strict=True))
             yield pa.record_batch([here.astype(np.int64), [row["chunk"]] * len(here), [value[a:b].astype("<u4").tobytes() for a, b in cut],
-                                   [np.packbits(several[a:b]).tobytes() for a, b in cut]], schema=out)
+                                   [np.packbits(several[a:b]).tobytes() for a, b in cut],
+                                   [squeeze(often[a:b].tobytes()) for a, b in cut]], schema=out)
 
     return run
 
 
-def _repeated_digits(rows: pd.DataFrame) -> pd.DataFrame:
-    values = [np.frombuffer(d, "<u4") for d in rows["digits"]]
-    size = [len(v) for v in values]
-    keep = np.concatenate([np.unpackbits(np.frombuffer(s, np.uint8), count=n).astype(bool) for s, n in zip(rows["several"], size, strict=True)])
-    every = np.concatenate(values)
-    order = np.argsort(every, kind="stable")
-    same = every[order[1:]] == every[order[:-1]]
-    keep[order[1:][same]] = keep[order[:-1][same]] = True
-    ends = np.cumsum(size)
-    return pd.DataFrame({"chunk": rows["chunk"], "bucket": rows["bucket"],
-                         "bits": [np.packbits(keep[e - n:e]).tobytes() for e, n in zip(ends, size, strict=True)]})
+def _repeated_digits(crowded: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        open_ = zstandard.ZstdDecompressor().decompress
+        values = [np.frombuffer(d, "<u4") for d in rows["digits"]]
+        size = [len(v) for v in values]
+        keep = np.concatenate([np.unpackbits(np.frombuffer(s, np.uint8), count=n).astype(bool) for s, n in zip(rows["several"], size, strict=True)])
+        often = np.concatenate([np.frombuffer(open_(o), "<u4") for o in rows["often"]]).astype(np.int64)
+        every = np.concatenate(values)
+        order = np.argsort(every, kind="stable")
+        same = every[order[1:]] == every[order[:-1]]
+        keep[order[1:][same]] = keep[order[:-1][same]] = True
+        start = np.flatnonzero(np.concatenate(([True], ~same))) if len(every) else np.zeros(0, np.int64)
+        crowd = np.zeros(len(every), bool)
+        if len(every):
+            crowd[order] = np.repeat(np.add.reduceat(often[order], start) > crowded, np.diff(np.append(start, len(every))))
+        ends = np.cumsum(size)
+        return pd.DataFrame({"chunk": rows["chunk"], "bucket": rows["bucket"],
+                             "bits": [np.packbits(keep[e - n:e]).tobytes() for e, n in zip(ends, size, strict=True)],
+                             "crowded": [np.packbits(crowd[e - n:e]).tobytes() if crowd[e - n:e].any() else None for e, n in zip(ends, size, strict=True)]})
+
+    return run
 
 
 def _bits(row: dict) -> list:
-    return [(b["bucket"], b["bits"]) for b in row["found"] or ()]
+    return [(b["bucket"], b["bits"], b["crowded"]) for b in row["found"] or ()]
 
 
 def _send_contexts(buckets: int):
@@ -293,7 +389,8 @@ def _send_contexts(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
         for row in _rows(batches):
-            bucket, records, least, _, _ = Chunk(row["blob"], row["ids"], row["sizes"]).contexts(buckets, _bits(row))
+            found = Chunk(row["blob"], row["ids"], row["sizes"]).contexts(buckets, _bits(row))
+            bucket, records, least = found.bucket, found.records, found.least
             here = np.unique(bucket)
             edges = np.append(np.searchsorted(bucket, here), len(bucket)).tolist()
             cut = list(zip(edges[:-1], edges[1:], strict=True))
@@ -333,17 +430,13 @@ def _cut(buckets: int):
         open_ = zstandard.ZstdDecompressor().decompress
         for row in _rows(batches):
             chunk = Chunk(row["blob"], row["ids"], row["sizes"])
-            bucket, records, least, kept, place = chunk.contexts(buckets, _bits(row))
-            masks = np.zeros(len(bucket), np.uint64)
+            found = chunk.contexts(buckets, _bits(row))
+            masks = np.zeros(len(found.bucket), np.uint64)
             for m in row["covered"] or ():
-                a, b = np.searchsorted(bucket, [m["bucket"], m["bucket"] + 1])
+                a, b = np.searchsorted(found.bucket, [m["bucket"], m["bucket"] + 1])
                 masks[a:b] = np.frombuffer(open_(m["masks"]), np.uint64)
-            # a document after the chunk's first one with a context repeats all of its windows
-            first, final = records[:, -2].astype(np.uint64), records[:, -1].astype(np.uint64)
-            whole = (np.uint64(1) << (final + np.uint64(1))) - (np.uint64(1) << first)
-            covered = np.where(chunk.doc[kept] > least[place], whole[place], masks[place]) if len(kept) else masks
             rows, held = [], 0
-            for i, size, spans, rest in chunk.cut(kept, covered):
+            for i, size, spans, rest in chunk.cut(found.kept, found.covered(masks)):
                 rows.append((i, size, [{"start": a, "end": b} for a, b in spans], rest))
                 held += len(rest)
                 if held > CHUNK_BYTES:
@@ -355,7 +448,8 @@ def _cut(buckets: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", chunk_bytes: int = CHUNK_BYTES,
+                   crowded: int = CROWDED) -> DataFrame:
     """``id, n_bytes, spans, kept`` per row: what is cut from the UTF-8 bytes, and the bytes that stay.
 
     A byte goes if a 50-byte window over it also starts in a document with a
@@ -368,9 +462,9 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     chunks = staged(_chunks(docs, id_column, text_column, chunk_bytes), "repeats-chunks")
     total = chunks.select(F.expr("aggregate(sizes, 0L, (a, x) -> a + x)").alias("n")).agg(F.sum("n")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
-    digits = chunks.mapInArrow(_send_digits(buckets), "bucket long, chunk long, digits binary, several binary")
-    bits = digits.groupBy("bucket").applyInPandas(_repeated_digits, "chunk long, bucket long, bits binary")
-    found = staged(bits.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("found")), "repeats-digits")
+    digits = chunks.mapInArrow(_send_digits(buckets), "bucket long, chunk long, digits binary, several binary, often binary")
+    bits = digits.groupBy("bucket").applyInPandas(_repeated_digits(crowded), "chunk long, bucket long, bits binary, crowded binary")
+    found = staged(bits.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits", "crowded")).alias("found")), "repeats-digits")
     marked = chunks.join(found, "chunk", "left")
     contexts = marked.mapInArrow(_send_contexts(buckets), "bucket long, chunk long, n long, packed binary")
     masks = contexts.groupBy("bucket").applyInPandas(_cover, "chunk long, bucket long, masks binary")

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from terrapipe.llm import repeats
 from terrapipe.llm.repeats import radix_groups, remove_repeats
@@ -57,7 +58,33 @@ def test_against_brute_force(spark, monkeypatch, seed, alphabet):
         rows.append((rng.choice([None, *range(-5, 40)]), "".join(parts) if k % 13 else None))
     rows += [rows[3], rows[3], (99, "".join(passages) * 8), (100, "".join(passages) * 8), (101, rows[5][1])]
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, chunk string").repartition(4)
-    assert found(df, chunk_bytes=1500) == brute(rows)
+    want = brute(rows)
+    for crowded in (repeats.CROWDED, 0, 5):  # no choice dealt window by window, all, some
+        assert found(df, chunk_bytes=1500, crowded=crowded) == want
+
+
+def test_a_phrase_of_many_documents_is_not_one_task(spark):
+    """A third of the documents hold one phrase in ever different surroundings: the same result, its windows dealt to all buckets."""
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    phrase = "terms and conditions apply to all of this"
+    rows = [(k, noise(90) + (phrase + noise(60) if k % 3 == 0 else noise(80))) for k in range(600)]
+    rows += [(1000 + k, rows[3 * k][1][40:]) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    chunks = repeats.staged(repeats._chunks(df, "doc_id", "text", 4000), "test-chunks")
+
+    def largest(crowded):
+        shape = "bucket long, chunk long, digits binary, several binary, often binary"
+        bits = chunks.mapInArrow(repeats._send_digits(8), shape).groupBy("bucket").applyInPandas(
+            repeats._repeated_digits(crowded), "chunk long, bucket long, bits binary, crowded binary")
+        marked = chunks.join(bits.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits", "crowded")).alias("found")), "chunk", "left")
+        sent = marked.mapInArrow(repeats._send_contexts(8), "bucket long, chunk long, n long, packed binary").groupBy("bucket").agg(F.sum("n").alias("n"))
+        sizes = [r.n for r in sent.collect()]
+        return max(sizes) / sum(sizes)
+
+    assert largest(10 ** 9) > 0.3 and largest(50) < 0.2
+    want = brute(rows)
+    assert found(df, chunk_bytes=4000, crowded=50) == want == found(df, chunk_bytes=4000)
 
 
 def test_edge_cases(documents, empty):
