@@ -53,7 +53,7 @@ def test_leaks_go_and_others_stay(spark, steps):
     assert sorted(repr(r.doc_id) for r in steps[3].collect()) == sorted(repr(r.doc_id) for r in steps[2].collect() if r.doc_id not in leaks or r.doc_id is None)
 
 
-def test_personal_values_change(steps):
+def test_personal_values_change(spark, steps):
     cipher = pii.Cipher(C.pseudonym_key(spark))
     want = sorted(repr((r.doc_id, t := None if r.text is None else pii.replaced(r.text, pii.spans(r.text, cipher)), None if r.n_chars is None else len(t or ""))) for r in steps[3].collect())
     assert sorted(repr((r.doc_id, r.text, r.n_chars)) for r in steps[4].collect()) == want
