@@ -19,7 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrapipe.operators.hierarchy import dimension
+from terrapipe.session import run_dir
+from terrapipe.sinks.files import write_parquet
 from terrapipe.sources.aggregates import parse_territory
+from terrapipe.sources.readers import read_parquet
 
 UNITS = ("level", "id", "name", "parent_level", "parent_id")
 #: The dimensions from the top, with their level codes. The service's territorial levels.
@@ -97,6 +100,7 @@ def hierarchy_faults(tree: DataFrame) -> DataFrame:
     inner = tree.select("level", "id", "parent_level", "parent_id").where("parent_id IS NOT NULL").join(
         keys.select(F.col("parent_level").alias("level"), F.col("parent_id").alias("id")), ["level", "id"], "left_semi")
     inner = inner.withColumn("name", F.lit(None).cast("string")).distinct()
+    inner = read_parquet(tree.sparkSession, write_parquet(inner, run_dir(tree.sparkSession, "inner_units")))  # read again in every step
     cycle = (_walk(inner, inner.select("level", "id").distinct(), up=True).where("again AND level = start_level AND id = start_id")
              .select("level", "id", F.lit("cycle").alias("fault")).distinct())
     return repeated.unionByName(orphan).unionByName(cycle)
