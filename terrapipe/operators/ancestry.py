@@ -80,14 +80,50 @@ def _walk(tree: DataFrame, start: DataFrame, up: bool) -> DataFrame:
     return spark.sql(query, start=start, tree=tree)
 
 
+def _parents(tree: DataFrame) -> DataFrame:
+    """The keys (level, id) that units name as their parent, stored: they are few beside the units, and Spark then knows how few."""
+    keys = tree.select(F.col("parent_level").alias("level"), F.col("parent_id").alias("id")).where("level IS NOT NULL AND id IS NOT NULL").distinct()
+    return _stored(keys, "unit_parents")
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    return read_parquet(df.sparkSession, write_parquet(df, run_dir(df.sparkSession, name)))
+
+
+def _inner_and_leaves(tree: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Units that are a parent, stored as every step of a walk reads them, and those that are not.
+
+    A leaf is only ever the first unit of a way up or the last of a way down.
+    So the inner units alone are walked, and each leaf joins the ways of its
+    parent once: the leaves, most of the units, take no part in the steps.
+    """
+    tree = tree.select(*UNITS)
+    keys = _parents(tree)
+    return _stored(tree.join(keys, ["level", "id"], "left_semi"), "inner_units"), tree.join(keys, ["level", "id"], "left_anti")
+
+
 def ancestors(tree: DataFrame, start: DataFrame) -> DataFrame:
     """Every unit above each unit of ``start``, itself included (``steps`` 0)."""
-    return _walk(tree, start, up=True).where("NOT again").drop("way", "again")
+    inner, leaves = _inner_and_leaves(tree)
+    ways = _stored(_walk(inner, inner.select("level", "id").distinct(), up=True).where("NOT again").drop("way", "again"), "unit_ways")
+    # each leaf once for itself and once for the ways of its parent, in one pass over the leaves
+    own = leaves.join(start.select("level", "id"), ["level", "id"]).withColumn("up", F.explode(F.array(F.lit(False), F.lit(True)))).alias("s")
+    above = own.join(ways.alias("w"), F.expr("s.up AND s.parent_level = w.start_level AND s.parent_id = w.start_id"), "left").where("NOT s.up OR w.steps IS NOT NULL")
+    picked = [F.when(F.col("s.up"), F.col(f"w.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in UNITS]
+    above = above.select(F.col("s.level").alias("start_level"), F.col("s.id").alias("start_id"), *picked,
+                         F.when(F.col("s.up"), F.col("w.steps") + 1).otherwise(0).alias("steps"))
+    return _walk(inner, start, up=True).where("NOT again").drop("way", "again").unionByName(above)
 
 
 def descendants(tree: DataFrame, start: DataFrame) -> DataFrame:
     """Every unit below each unit of ``start``, itself included (``steps`` 0)."""
-    return _walk(tree, start, up=False).where("NOT again").drop("way", "again")
+    inner, leaves = _inner_and_leaves(tree)
+    ways = _stored(_walk(inner, start, up=False).where("NOT again").drop("way", "again"), "unit_ways")
+    below = leaves.alias("u").join(ways.alias("w"), F.expr("u.parent_level = w.level AND u.parent_id = w.id")).select(
+        "w.start_level", "w.start_id", *[f"u.{c}" for c in UNITS], (F.col("w.steps") + 1).alias("steps"))
+    own = leaves.join(start.select("level", "id"), ["level", "id"]).select(
+        F.col("level").alias("start_level"), F.col("id").alias("start_id"), *UNITS, F.lit(0).alias("steps"))
+    return ways.unionByName(below).unionByName(own)
 
 
 def hierarchy_faults(tree: DataFrame) -> DataFrame:

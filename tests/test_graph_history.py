@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_text
+from terrapipe.operators import ancestry
 from terrapipe.operators.ancestry import aggregate_below, ancestors, descendants, hierarchy_faults
 from terrapipe.operators.changes import day_changes
 from terrapipe.operators.history import as_of, versions
@@ -43,6 +44,40 @@ def test_faults_and_walks_over_them(spark):
     assert hierarchy_faults(tree(spark)).collect() == []
 
 
+def walked_units(monkeypatch):
+    """The units that each walk steps over, as sets, filled while the walks are made."""
+    seen, walk = [], ancestry._walk
+
+    def noted(tree, start, up):
+        seen.append({(r.level, r.id) for r in tree.collect()})
+        return walk(tree, start, up)
+
+    monkeypatch.setattr(ancestry, "_walk", noted)
+    return seen
+
+
+def test_leaves_take_no_part_in_the_steps(spark, monkeypatch):
+    seen, inner = walked_units(monkeypatch), {r[:2] for r in TREE if r[0] != "N6"}
+    t = tree(spark)
+    everyone = sorted((r.start_level, r.start_id, r.level, r.id, r.name, r.steps) for r in ancestors(t, t.select("level", "id")).collect())
+    assert len(everyone) == 1 + 2 * 2 + 2 * 3 + 3 * 4 and ("N6", 12, "N1", 1, "Brasil", 3) in everyone
+    down = sorted((r.start_level, r.start_id, r.level, r.id, r.steps) for r in descendants(t, t.select("level", "id")).collect())
+    assert down == sorted((level, i, start_level, start, steps) for start_level, start, level, i, _, steps in everyone)
+    assert seen and all(units <= inner for units in seen)
+
+
+def test_walks_of_repeated_and_lost_units(spark):
+    rows = TREE + [("N3", 2, "Pará", "N2", 2), ("N6", 12, "c", "N3", 2), ("N6", 14, "lost", "N3", 9), ("N6", 15, "top", None, None), ("N6", None, "no id", "N3", 1)]
+    t = tree(spark, rows)
+    up = sorted((r.level, r.id, r.steps) for r in ancestors(t, one(spark, "N6", 12)).collect())
+    assert up == sorted(2 * [("N6", 12, 0)] + 4 * [("N3", 2, 1)] + 2 * [("N2", 1, 2), ("N2", 2, 2)] + 4 * [("N1", 1, 3)])  # a row for each way
+    for lost in (14, 15):
+        assert [(r.id, r.steps) for r in ancestors(t, one(spark, "N6", lost)).collect()] == [(lost, 0)]
+        assert [(r.id, r.steps) for r in descendants(t, one(spark, "N6", lost)).collect()] == [(lost, 0)]
+    twice = one(spark, "N3", 1).unionByName(one(spark, "N3", 1))
+    assert sorted((r.id or 0, r.steps) for r in descendants(t, twice).collect()) == sorted(2 * [(1, 0), (10, 1), (11, 1), (0, 1)])
+
+
 def test_sums_for_any_ancestor(spark):
     facts = spark.createDataFrame([(1, p, 2, "N6", i, float(i)) for i in (10, 11, 12, 99) for p in ("2020", "2021")]
                                   + [(1, "2022", 2, "N3", 1, 5.0), (7, "2021", 2, "N6", 10, 100.0)], FACTS)
