@@ -129,14 +129,14 @@ def descendants(tree: DataFrame, start: DataFrame) -> DataFrame:
 def hierarchy_faults(tree: DataFrame) -> DataFrame:
     """What keeps the units from being a tree: level, id, fault (``repeated``, ``orphan`` or ``cycle``)."""
     repeated = tree.groupBy("level", "id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("level", "id", F.lit("repeated").alias("fault"))
-    keys = tree.select(F.col("level").alias("parent_level"), F.col("id").alias("parent_id")).distinct()
-    orphan = (tree.where("parent_id IS NOT NULL OR parent_level IS NOT NULL").join(keys, ["parent_level", "parent_id"], "left_anti")
+    parents = _parents(tree)
+    found = _stored(tree.select("level", "id").join(parents, ["level", "id"], "left_semi").distinct(), "found_parents")
+    orphan = (tree.where("parent_id IS NOT NULL OR parent_level IS NOT NULL")
+              .join(found.select(F.col("level").alias("parent_level"), F.col("id").alias("parent_id")), ["parent_level", "parent_id"], "left_anti")
               .select("level", "id", F.lit("orphan").alias("fault")).distinct())
     # only units that have a parent and are a parent can be on a cycle: leaves and the top need no walk
-    inner = tree.select("level", "id", "parent_level", "parent_id").where("parent_id IS NOT NULL").join(
-        keys.select(F.col("parent_level").alias("level"), F.col("parent_id").alias("id")), ["level", "id"], "left_semi")
-    inner = inner.withColumn("name", F.lit(None).cast("string")).distinct()
-    inner = read_parquet(tree.sparkSession, write_parquet(inner, run_dir(tree.sparkSession, "inner_units")))  # read again in every step
+    inner = tree.select("level", "id", "parent_level", "parent_id").where("parent_id IS NOT NULL").join(parents, ["level", "id"], "left_semi")
+    inner = _stored(inner.withColumn("name", F.lit(None).cast("string")).distinct(), "inner_units")  # read again in every step
     cycle = (_walk(inner, inner.select("level", "id").distinct(), up=True).where("again AND level = start_level AND id = start_id")
              .select("level", "id", F.lit("cycle").alias("fault")).distinct())
     return repeated.unionByName(orphan).unionByName(cycle)

@@ -78,6 +78,14 @@ def test_walks_of_repeated_and_lost_units(spark):
     assert sorted((r.id or 0, r.steps) for r in descendants(t, twice).collect()) == sorted(2 * [(1, 0), (10, 1), (11, 1), (0, 1)])
 
 
+def test_faults_walk_only_units_that_have_a_parent_and_are_one(spark, monkeypatch):
+    seen = walked_units(monkeypatch)
+    rows = [r for r in TREE if r[:2] != ("N2", 1)] + [("N2", 1, "Norte", "N3", 2), ("N6", 13, "half", "N3", None), ("N6", 14, "half", None, 1)]
+    found = {(r.level, r.id, r.fault) for r in hierarchy_faults(tree(spark, rows)).collect()}
+    assert found == {("N2", 1, "cycle"), ("N3", 2, "cycle"), ("N6", 13, "orphan"), ("N6", 14, "orphan")}
+    assert seen == [{("N2", 1), ("N3", 1), ("N3", 2)}]
+
+
 def test_sums_for_any_ancestor(spark):
     facts = spark.createDataFrame([(1, p, 2, "N6", i, float(i)) for i in (10, 11, 12, 99) for p in ("2020", "2021")]
                                   + [(1, "2022", 2, "N3", 1, 5.0), (7, "2021", 2, "N6", 10, 100.0)], FACTS)
