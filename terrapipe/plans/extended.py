@@ -294,8 +294,8 @@ def q_events_stream(spark, sf):
     """Hours finished by a stream that is stopped half way and started again, over late and repeated records."""
     source, base = run_dir(spark, "events_source"), run_dir(spark, "events_stream")
     for part in fx.event_files(spark, sf):
-        part.coalesce(1).write.mode("append").parquet(source)
-        run_hourly(spark, source, f"{base}/hours", f"{base}/checkpoint")
+        part.write.mode("append").parquet(source)  # many files, by many tasks: a delivery is one micro-batch, as its files are not in order of time
+        run_hourly(spark, source, f"{base}/hours", f"{base}/checkpoint", files_per_batch=None)
     return spark.read.parquet(f"{base}/hours")
 
 

@@ -37,13 +37,19 @@ def hourly(events: DataFrame) -> DataFrame:
             .select(F.col("w.start").alias("hour"), "event_type", "events", "least", "greatest", "cents"))
 
 
-def run_hourly(spark: SparkSession, source: str, target: str, checkpoint: str, delay: str = "2 hours", files_per_batch: int = 1) -> int:
+def run_hourly(spark: SparkSession, source: str, target: str, checkpoint: str, delay: str = "2 hours", files_per_batch: int | None = 1) -> int:
     """Read the files not seen yet below ``source``, in the order in which they came, append the finished hours, and stop.
 
-    Returns the number of micro-batches. The hours still open stay in the state
-    for the next call.
+    ``files_per_batch=None`` takes all files not seen yet as one delivery, in one
+    micro-batch: after each micro-batch the watermark moves on, so the files of a
+    delivery that many tasks wrote, each with records of all its time, must not
+    be spread over several. Returns the number of micro-batches. The hours still
+    open stay in the state for the next call.
     """
-    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    reader = spark.readStream.schema(EVENTS)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.parquet(source)
     query = (hourly(distinct_events(stream, delay)).writeStream.format("parquet").outputMode("append").option("path", target)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
