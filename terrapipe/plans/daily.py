@@ -39,7 +39,7 @@ def landing_path(base: str, dataset: str) -> str:
 
 
 def ingest(df: DataFrame, dataset: str, raw_base: str, single_pass: bool = False) -> str:
-    """Gate 1 on a raw batch, land it as JSON Lines, return the path.
+    """Gate 1 on a raw batch, land it as compressed JSON Lines, return the path.
 
     The gate runs before anything is written. ``single_pass`` gates while
     writing (one read of the input instead of two) and deletes the run
@@ -48,13 +48,13 @@ def ingest(df: DataFrame, dataset: str, raw_base: str, single_pass: bool = False
     path = f"{raw_base.rstrip('/')}/{dataset}/run={_run_id()}"
     if single_pass:
         try:
-            Q.enforce_while_writing(df, rules, lambda checked: write_json(checked, path), f"raw {dataset}")
+            Q.enforce_while_writing(df, rules, lambda checked: write_json(checked, path, compressed=True), f"raw {dataset}")
         except Exception:
             delete_path(df.sparkSession, path)
             raise
         return path
     Q.enforce(df, rules, f"raw {dataset}")
-    return write_json(df, path)
+    return write_json(df, path, compressed=True)
 
 
 def transform_stage(spark: SparkSession, raw_paths: dict[str, str | None], out_base: str,

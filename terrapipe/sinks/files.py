@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Lines of a compressed JSON file at most: some 100 MB of raw municipalities, as much as a task reads of a file that splits.
+COMPRESSED_LINES = 250_000
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None) -> str:
@@ -29,9 +32,17 @@ def write_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True,
     return path
 
 
-def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """JSON Lines, UTF-8, non-ASCII kept as is, NULL fields kept."""
-    df.write.mode(mode).option("ignoreNullFields", "false").json(path)
+def write_json(df: DataFrame, path: str, mode: str = "overwrite", compressed: bool = False) -> str:
+    """JSON Lines, UTF-8, non-ASCII kept as is, NULL fields kept.
+
+    ``compressed`` writes files a fraction of the size, which readers know by
+    their names. Such a file is read whole by one task, so none has more than
+    ``COMPRESSED_LINES`` lines.
+    """
+    writer = df.write.mode(mode).option("ignoreNullFields", "false")
+    if compressed:
+        writer = writer.option("compression", "snappy").option("maxRecordsPerFile", COMPRESSED_LINES)
+    writer.json(path)
     return path
 
 

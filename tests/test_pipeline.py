@@ -85,3 +85,19 @@ def test_rejected_day_leaves_no_file(spark, tmp, sf_small, dataset, single_pass)
     with pytest.raises(Q.DataQualityError, match="truthy"):
         run_day(spark, batches["states"], batches["municipalities"], tmp, TS, single_pass_ingest=single_pass)
     assert not any(files for _, _, files in os.walk(tmp))
+
+
+def test_landed_text_is_small_and_in_bounded_files(spark, tmp, sf_small, monkeypatch):
+    from terrapipe.schemas import MUNICIPALITY_RAW
+    from terrapipe.sinks import files
+    from terrapipe.sources.readers import read_json
+    monkeypatch.setattr(files, "COMPRESSED_LINES", 100)
+    raw = fx.raw_municipalities(spark, sf_small)
+    plain = files.write_json(raw, os.path.join(tmp, "plain"))
+    for single_pass in (False, True):
+        path = ingest(raw, "municipalities", os.path.join(tmp, f"raw{single_pass}"), single_pass)
+        size = {p: sum(os.path.getsize(os.path.join(p, f)) for f in os.listdir(p) if f.startswith("part-")) for p in (plain, path)}
+        assert size[path] * 3 < size[plain]
+        rows = read_json(spark, path, MUNICIPALITY_RAW)
+        assert rows.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 100
+        assert rows.exceptAll(read_json(spark, plain, MUNICIPALITY_RAW)).count() == 0 and rows.count() == raw.count()
