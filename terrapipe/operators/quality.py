@@ -295,6 +295,8 @@ def enforce_while_writing(df: DataFrame, rules: Sequence[Rule], write: Callable[
     write(df.observe(observation, F.count(F.lit(1)).alias("_total"),
                      *[F.count_if(r.bad(df)).alias(f"_bad{i}") for i, r in enumerate(row_rules)]))
     metrics = observation.get
+    if "_total" not in metrics:  # of a batch without rows Spark drops the rest of the plan, and the counts with it
+        return enforce(df, rules[:-1], source)
     total = int(metrics["_total"])
     failing = [r for r in rules
                if (total == 0 if r.whole_batch else metrics[f"_bad{row_rules.index(r)}"] > 0)]

@@ -285,7 +285,7 @@ def q_daily_stream(spark, sf):
     base, raw = run_dir(spark, "streamed"), run_dir(spark, "stream_raw")
     for renamed in (True, False):
         batch = fx.raw_municipalities(spark, sf)
-        ingest(batch.withColumn("nome", F.lit("Old Name")) if renamed else batch, "municipalities", raw)
+        ingest(batch.withColumn("nome", F.lit("Old Name")) if renamed else batch, "municipalities", raw, single_pass=True)
         load_new_collections(spark, f"{raw}/municipalities", "municipalities", base, f"{base}/checkpoint", LOAD_TS)
     return landing_rows(spark, base, ["municipalities"]).drop("dataset")
 
